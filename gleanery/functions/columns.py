@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WHITESPACE = " \t\n\r\x0b\x0c ﻿  "
+_WHITESPACE = " \t\n\r\x0b\x0c\xa0\u2028\u2029\ufeff"
 
 
 def col(c: str | Column) -> Column:

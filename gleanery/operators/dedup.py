@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_text
-from gleanery.functions.ranking import first_per_key
+from gleanery.functions.ranking import first_per_key, materialize
 
 REPO_REASON = "Multiple entries for repository: "
 URL_REASON = "Multiple entries with same URL: "
@@ -74,31 +74,27 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
     reduced to their distinct values first, so a hot key never becomes one array
     of rows.
     """
-    columns = [c for c in items.columns]
+    columns = items.columns
     keyed = items.withColumn("_key", key).withColumn(
         "_rank", F.struct((-F.col("stars")).alias("s"), F.col(tie).alias("t"))
     )
 
-    def first(value: str | Column, where: Column, rank: Column) -> Column:
-        shown = F.col(value) if isinstance(value, str) else value
-        return F.min_by(F.when(where, shown), F.when(where, rank))
+    def first(column: str, where: Column, rank: Column) -> Column:
+        return F.min_by(F.when(where, F.col(column)), F.when(where, rank))
 
-    rank = F.col("_rank")
-    described, licensed = has_text("description"), has_text("license")
+    rank, noted = F.col("_rank"), has_text("notes")
     groups = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"),
+        F.coalesce(F.sum(F.when(noted, F.length("notes") + 2)), F.lit(0)).alias("_chars"),
         F.min_by(F.struct(*columns), rank).alias("_p"),
         F.max("stars").alias("_stars"),
         F.max("pushed_at").alias("_pushed_at"),
-        first("description", described, F.struct(-F.length("description"), rank)).alias("_description"),
+        first("description", has_text("description"), F.struct(-F.length("description"), rank)).alias("_description"),
         F.min_by(F.struct("score", "confidence"), F.struct(-F.col("score"), rank)).alias("_scored"),
-        first("license", licensed, rank).alias("_license"),
+        first("license", has_text("license"), rank).alias("_license"),
     )
-    repeated = keyed.join(groups.filter("_n > 1").select("_key"), "_key", "left_semi")
-
-    lists = _distinct_lists(repeated)
-    notes = _joined_notes(repeated)
-    full = groups.join(lists, "_key", "left").join(notes, "_key", "left")
+    repeated = keyed.join(groups.filter("_n > 1").select("_key", "_chars"), "_key")
+    full = groups.join(_merged_lists(repeated), "_key", "left")
 
     many = F.col("_n") > 1
     empty = F.array().cast("array<string>")
@@ -109,50 +105,49 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
         "score": F.col("_scored.score"),
         "confidence": F.col("_scored.confidence"),
         "license": F.coalesce("_license", "_p.license"),
-        "notes": F.when(many, F.coalesce("_notes", "_p.notes")).otherwise(F.col("_p.notes")),
+        "notes": F.when(many & (F.size("_notes") > 0), F.array_join("_notes", "; ")).otherwise(F.col("_p.notes")),
         "tags": F.when(many, F.coalesce("_tags", empty)).otherwise(F.col("_p.tags")),
         "topics": F.when(many, F.coalesce("_topics", empty)).otherwise(F.col("_p.topics")),
     }
     return full.select(*[(merged[c] if c in merged else F.col(f"_p.{c}")).alias(c) for c in columns])
 
 
-def _distinct_lists(keyed: DataFrame) -> DataFrame:
-    """Ordered distinct union of tags and of topics per key."""
+def _merged_lists(keyed: DataFrame) -> DataFrame:
+    """Per key: ordered distinct union of tags and of topics, and all notes in
+    rank order where their joined text fits a cell (``group_notes`` has the rest)."""
+
+    def entries(name: str, values: Column) -> Column:
+        return F.transform(
+            values,
+            lambda v, i: F.struct(F.lit(name).alias("list"), i.alias("i"), v.alias("value")),
+        )
+
+    notes = F.when(
+        has_text("notes") & (F.col("_chars") <= MAX_NOTES_CHARS), F.array("notes")
+    ).otherwise(F.array().cast("array<string>"))
     values = keyed.select(
         "_key",
         "_rank",
         F.explode(
-            F.concat(
-                F.transform("tags", lambda v, i: F.struct(F.lit("tags").alias("list"), i.alias("i"), v.alias("value"))),
-                F.transform("topics", lambda v, i: F.struct(F.lit("topics").alias("list"), i.alias("i"), v.alias("value"))),
-            )
+            F.concat(entries("tags", F.col("tags")), entries("topics", F.col("topics")), entries("notes", notes))
         ).alias("e"),
     ).select("_key", "_rank", "e.*")
-    distinct = values.groupBy("_key", "list", "value").agg(F.min(F.struct("_rank", "i")).alias("_at"))
+    # Equal tags collapse here; equal notes of different rows stay apart.
+    distinct = values.groupBy(
+        "_key", "list", "value", F.when(F.col("list") == "notes", F.col("_rank")).alias("_row")
+    ).agg(F.min(F.struct("_rank", "i")).alias("_at"))
 
     def gathered(name: str) -> Column:
         found = F.collect_list(F.when(F.col("list") == name, F.struct("_at", "value")))
         return F.transform(F.array_sort(found), lambda e: e["value"]).alias(f"_{name}")
 
-    return distinct.groupBy("_key").agg(gathered("tags"), gathered("topics"))
-
-
-def _joined_notes(keyed: DataFrame) -> DataFrame:
-    """Notes per key in rank order, joined to one text where that text fits a cell."""
-    noted = keyed.filter(has_text("notes")).select("_key", "_rank", "notes")
-    fits = (
-        noted.groupBy("_key")
-        .agg(F.sum(F.length("notes") + 2).alias("_chars"))
-        .filter(F.col("_chars") <= MAX_NOTES_CHARS)
-    )
-    return (
-        noted.join(fits.select("_key"), "_key", "left_semi")
-        .groupBy("_key")
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "notes"))).alias("_all"))
-        .select("_key", F.array_join(F.transform("_all", lambda e: e["notes"]), "; ").alias("_notes"))
-    )
+    return distinct.groupBy("_key").agg(gathered("tags"), gathered("topics"), gathered("notes"))
 
 
 def clean_dataset(items: DataFrame, *, tie: str = "id") -> DataFrame:
-    """DUP-4: merge by repository, then by URL on the merged rows."""
-    return merge_duplicates(merge_duplicates(items, repo_key(), tie=tie), url_key(), tie=tie)
+    """DUP-4: merge by repository, then by URL on the merged rows.
+
+    The first merge is written once, since the second reads it three times.
+    """
+    by_repo = materialize(merge_duplicates(items, repo_key(), tie=tie))
+    return merge_duplicates(by_repo, url_key(), tie=tie)

@@ -37,8 +37,12 @@ def rules_remove(rules: DataFrame, values: DataFrame) -> DataFrame:
     return rules.join(values.select("value"), "value", "left_anti").select("pos", "kind", "value")
 
 
-# Syntax one regex dialect accepts and another rejects or reads differently.
-_NOT_PORTABLE = re.compile(r"\(\?P|\(\?\(|\(\?[aL]|(?<!\\)\[[^\]]*\[|(?<![\\\w.)\]*+?}])\{|\{,")
+# Syntax that one regex dialect accepts and another rejects or reads differently:
+# named groups, conditionals and flags of one dialect, loose braces, and an open
+# bracket inside a character class.
+_CLASS = re.compile(r"(?<!\\)\[\^?\]?(?:\\.|[^\]\\])*\]")
+_OPEN_IN_CLASS = re.compile(r"(?<!\\)\[")
+_NOT_PORTABLE = re.compile(r"\(\?P|\(\?\(|\(\?[aL]|(?<!\\)\{(?!\d+(?:,\d*)?\})")
 
 
 def _pattern_error(pattern: str | None) -> str | None:
@@ -48,7 +52,10 @@ def _pattern_error(pattern: str | None) -> str | None:
         re.compile(pattern)
     except re.error as problem:
         return str(problem)
-    return "syntax outside the portable regex subset" if _NOT_PORTABLE.search(pattern) else None
+    nested = any(_OPEN_IN_CLASS.search(c[1:]) for c in _CLASS.findall(pattern))
+    if nested or _NOT_PORTABLE.search(_CLASS.sub("x", pattern)):
+        return "syntax outside the portable regex subset"
+    return None
 
 
 @F.pandas_udf("string")
