@@ -137,7 +137,7 @@ def _one_row(per_category: DataFrame, average: Column, *extra: Column) -> DataFr
 
 def stale_statistics(stale: DataFrame) -> DataFrame:
     """AGG-1: total, counts per category and average months of all stale rows."""
-    per_category = _per_category(stale, F.col("category")).filter(F.col("category").isNotNull())
+    per_category = _per_category(stale, F.coalesce("category", F.lit("null")))
     average = F.sum("months").cast("double") / F.nullif(F.sum("dated"), F.lit(0))
     return _one_row(per_category, F.coalesce(round_1dp(average), F.lit(0.0)))
 

@@ -77,7 +77,7 @@ def extract_rows(pages: DataFrame, *, page_id: str = "page_id", html: str = "htm
 def star_count(text: Column, *, thousands: bool = False) -> Column:
     """The number before "stars".  The letter k is not read unless ``thousands``."""
     number = F.replace(F.regexp_extract(text, _STARS, 1), F.lit(","), F.lit(""))
-    whole = F.try_to_number(F.regexp_extract(number, r"^\d+", 0), F.lit("999999999999999999")).cast("long")
+    whole = F.regexp_extract(number, r"^\d+", 0).try_cast("long")
     if thousands:
         in_k = F.regexp_extract(text, _STARS, 0).rlike(r"(?i)\d\s*k")
         scaled = F.floor(number.try_cast("double") * 1000 + F.lit(0.5))
@@ -88,7 +88,7 @@ def star_count(text: Column, *, thousands: bool = False) -> Column:
 def row_description(text: Column) -> Column:
     """The text before the star count, up to the first semicolon."""
     stars = F.regexp_extract(text, _STARS, 0)
-    before = F.when(stars != "", strip(F.substring_index(text, stars, 1))).otherwise(text)
+    before = F.when(stars != "", strip(F.split_part(text, stars, F.lit(1)))).otherwise(text)
     return F.when(F.contains(before, F.lit(";")), strip(F.split_part(before, F.lit(";"), F.lit(1)))).otherwise(before)
 
 
