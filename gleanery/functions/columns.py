@@ -150,8 +150,24 @@ def decode_base64(c: str | Column) -> Column:
     return F.decode(F.try_to_binary(F.regexp_replace(col(c), r"\s", ""), F.lit("base64")), "UTF-8")
 
 
+def _json_pair(c: str | Column) -> tuple[Column, Column]:
+    """Spark's parser stops after the first value and accepts what follows it, so
+    the text is read as the first of two elements, the second of them ours."""
+    pair = F.try_parse_json(F.concat(F.lit("["), col(c), F.lit(',"$end"]')))
+    ours = F.try_variant_get(pair, "$[1]", "string") == "$end"
+    no_more = F.try_variant_get(pair, "$[2]", "variant").isNull()
+    return pair, F.coalesce(ours & no_more, F.lit(False))
+
+
 def is_json(c: str | Column) -> Column:
-    return F.try_parse_json(col(c)).isNotNull()
+    """The whole text is one JSON value."""
+    return _json_pair(c)[1]
+
+
+def parsed_json(c: str | Column) -> Column:
+    """The variant in a JSON text, null where the text is not one JSON value."""
+    pair, whole = _json_pair(c)
+    return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
 
 
 def json_array_text(c: str | Column) -> Column:

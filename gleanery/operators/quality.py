@@ -230,7 +230,7 @@ def validate_state(state: DataFrame) -> DataFrame:
                 F.array(
                     *[
                         finding(
-                            ~F.coalesce(is_json(c), F.lit(False)), c,
+                            ~is_json(c), c,
                             F.concat(F.lit(f"Invalid JSON in {c} for item "), _text("id")),
                         )
                         for c in text_lists

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.functions.columns import col
 from gleanery.functions.ranking import first_per_key
@@ -58,7 +59,7 @@ def _pattern_error(pattern: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def pattern_error(patterns: pd.Series) -> pd.Series:
     """Why a pattern cannot be used, or null.  Rule tables only, not data rows."""
     return patterns.map(_pattern_error)

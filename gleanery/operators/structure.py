@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.functions.columns import contains_any, points, total
+from gleanery.functions.columns import contains_any, parsed_json, points, total
 from gleanery.profiles import (
     BUILD_TOOLS,
     DEPENDENCY_WORDS,
@@ -113,7 +113,7 @@ def manifest_features(
 
     ``manifests`` has full_name and json; unreadable JSON gives no features.
     """
-    parsed = manifests.select("full_name", F.try_parse_json("json").alias("_v"))
+    parsed = manifests.select("full_name", parsed_json("json").alias("_v"))
 
     def names(path: str) -> Column:
         deps = F.try_variant_get("_v", path, "map<string,variant>")

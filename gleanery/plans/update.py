@@ -78,7 +78,7 @@ def _no_contents(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "full_name string, path string, name string, type string")
 
 
-def update_pipeline(
+def update_run(
     inputs: UpdateInputs,
     as_of: datetime,
     *,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery import schemas as S
-from gleanery.functions.columns import decode_base64
+from gleanery.functions.columns import decode_base64, is_json, parsed_json
 
 
 def _read(
@@ -104,7 +104,7 @@ def read_cache_entries(spark: SparkSession, path: str) -> DataFrame:
             "length",
             F.decode("content", "UTF-8").alias("payload"),
         )
-        .withColumn("_v", F.try_parse_json("payload"))
+        .withColumn("_v", parsed_json("payload"))
     )
     return files.select(
         F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("key"),
@@ -112,7 +112,7 @@ def read_cache_entries(spark: SparkSession, path: str) -> DataFrame:
         "length",
         F.try_variant_get("_v", "$.timestamp", "bigint").alias("ts_ms"),
         "payload",
-        F.col("_v").isNotNull().alias("valid"),
+        is_json("payload").alias("valid"),
     )
 
 
