@@ -16,9 +16,6 @@ from gleanery.profiles import (
     THEME_DIRECTORIES,
 )
 
-_CSS = (".css", ".scss", ".sass")
-_JS = (".js", ".ts")
-_IMAGE = r"\.(png|jpg|jpeg|gif|svg|webp|ico)$"
 _WATCHED_FILES = (*BUILD_TOOLS, *FRAMEWORKS, *SERVER_FILES)
 _SUSPICIOUS = (
     ("Build tools present: ", BUILD_TOOLS),
@@ -42,40 +39,38 @@ def structure_features(contents: DataFrame, *, config_word: str = "ghost") -> Da
     entries = contents.select(
         "full_name",
         "type",
-        F.col("name").alias("_raw"),
         F.lower("name").alias("_name"),
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("_parent"),
     ).select(
-        "*",
-        (F.col("_parent") == "").alias("_root"),
-        ((F.col("_parent") == "assets") | F.col("_parent").rlike(r"^assets/[^/]+$")).alias("_asset"),
+        "full_name",
+        "_name",
+        F.expr("_parent = '' AND type = 'dir'").alias("_is_dir"),
+        F.expr("_parent = '' AND type <> 'dir'").alias("_is_file"),
+        F.expr("_parent = 'partials'").alias("_is_partial"),
+        F.expr(r"CASE WHEN _parent = 'assets' OR _parent RLIKE '^assets/[^/]+$' THEN "
+               r"CASE WHEN _name RLIKE '\\.(css|scss|sass)$' THEN 'css' WHEN _name RLIKE '\\.(js|ts)$' THEN 'js' "
+               r"WHEN _name RLIKE '\\.(png|jpg|jpeg|gif|svg|webp|ico)$' THEN 'image' END END").alias("_asset"),
+        F.expr("_parent = '' AND (contains(_name, 'doc') OR contains(_name, 'readme') OR endswith(_name, '.md'))").alias("_is_doc"),
+        F.expr("endswith(_name, '.hbs')").alias("_is_template"),
     )
-    name, root, asset = F.col("_name"), F.col("_root"), F.col("_asset")
-    is_dir = root & (F.col("type") == "dir")
-    is_file = root & (F.col("type") != "dir")
-
-    def ends(suffixes: tuple[str, ...]) -> Column:
-        found = name.endswith(suffixes[0])
-        for s in suffixes[1:]:
-            found = found | name.endswith(s)
-        return found
-
-    css, js = ends(_CSS), ends(_JS)
-    doc = F.contains(name, F.lit("doc")) | F.contains(name, F.lit("readme")) | name.endswith(".md")
+
+    def any_named(where: str, kind: str, names: tuple[str, ...]) -> list[Column]:
+        return [F.expr(f"bool_or({where} AND _name = '{n}')").alias(_flag(kind, n)) for n in names]
+
     return entries.groupBy("full_name").agg(
-        F.count_if(is_file & name.endswith(".hbs")).alias("template_files"),
-        *[F.bool_or(is_file & (name == n)).alias(_flag("file", n)) for n in ESSENTIAL_FILES],
-        *[F.bool_or(is_dir & (name == n)).alias(_flag("dir", n)) for n in THEME_DIRECTORIES],
-        *[F.bool_or(root & (name == n)).alias(_flag("seen", n)) for n in _WATCHED_FILES],
-        F.bool_or(is_file & (name == "package.json")).alias("has_package_json"),
+        F.expr("count_if(_is_file AND _is_template)").alias("template_files"),
+        *any_named("_is_file", "file", ESSENTIAL_FILES),
+        *any_named("_is_dir", "dir", THEME_DIRECTORIES),
+        *any_named("(_is_file OR _is_dir)", "seen", _WATCHED_FILES),
+        F.expr("bool_or(_is_file AND _name = 'package.json')").alias("has_package_json"),
         F.bool_or(
-            is_file & F.contains(name, F.lit(config_word)) & (name.endswith(".json") | name.endswith(".js"))
+            F.col("_is_file") & F.contains("_name", F.lit(config_word)) & F.expr(r"_name RLIKE '\\.(json|js)$'")
         ).alias("has_config"),
-        F.count_if(asset & css).alias("_css"),
-        F.count_if(asset & ~css & js).alias("_js"),
-        F.count_if(asset & ~css & ~js & name.rlike(_IMAGE)).alias("_images"),
-        F.count_if((F.col("_parent") == "partials") & name.endswith(".hbs")).alias("_partials"),
-        F.count_if(root & doc).alias("doc_files"),
+        F.expr("count_if(_asset = 'css')").alias("_css"),
+        F.expr("count_if(_asset = 'js')").alias("_js"),
+        F.expr("count_if(_asset = 'image')").alias("_images"),
+        F.expr("count_if(_is_partial AND _is_template)").alias("_partials"),
+        F.expr("count_if(_is_doc)").alias("doc_files"),
     ).select("full_name", *_named_features())
 
 
