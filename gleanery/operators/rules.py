@@ -123,7 +123,7 @@ def match_rules(df: DataFrame, rules: DataFrame, repo: str = "repo") -> DataFram
         usable = split_patterns(patterns).filter("valid")
         first = (
             df.select(F.col(repo).alias("_repo"))
-            .join(usable, F.col("_repo").rlike(F.concat(F.lit(ANY_CASE), F.col("value"))))
+            .join(usable, F.rlike("_repo", F.concat(F.lit(ANY_CASE), F.col("value"))))
             .groupBy("_repo")
             .agg(F.min_by("value", F.struct("pos", "value")).alias("_pattern"))
         )
