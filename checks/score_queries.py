@@ -25,11 +25,11 @@ PROFILE = ScoringProfile(
 )
 
 
-def _count(column: str, words: tuple[str, ...]) -> str:
+def how_many(column: str, words: tuple[str, ...]) -> str:
     return "(" + " + ".join(f"CAST(contains({column}, '{w}') AS INTEGER)" for w in words) + ")"
 
 
-def _any(column: str, words: tuple[str, ...]) -> str:
+def has_any(column: str, words: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains({column}, '{w}')" for w in words) + ")"
 
 
@@ -38,7 +38,7 @@ def _join(column: str, words: tuple[str, ...]) -> str:
 
 
 def _topics(words: tuple[str, ...]) -> str:
-    return f"list_filter([lang, source], lambda x: {_any('x', words)})"
+    return f"list_filter([lang, source], lambda x: {has_any('x', words)})"
 
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160) || chr(8232) || chr(8233) || chr(65279)"
@@ -50,16 +50,16 @@ d AS (SELECT *, {_topics(DOMAIN)} AS dom, {_topics(THEME)} AS thm, lower(name ||
 s AS (SELECT *,
   least(100, CASE WHEN len(dom) > 0 THEN 60 ELSE 0 END + least(len(thm) * 15, 40)
              + CASE WHEN len(dom) > 0 AND len(thm) > 0 THEN 10 ELSE 0 END) AS topic_signal,
-  CASE WHEN t = '' THEN 0 ELSE least(100, CASE WHEN {_any('t', DOMAIN)} THEN 50 ELSE 0 END
-    + least({_count('t', THEME)} * 8, 30) + CASE WHEN {_any('t', ('install', 'setup', 'download'))} THEN 15 ELSE 0 END
-    + CASE WHEN {_any('t', ('demo', 'preview', 'live'))} THEN 10 ELSE 0 END
-    + CASE WHEN {_any('t', ('![', '<img'))} THEN 5 ELSE 0 END) END AS text_signal,
+  CASE WHEN t = '' THEN 0 ELSE least(100, CASE WHEN {has_any('t', DOMAIN)} THEN 50 ELSE 0 END
+    + least({how_many('t', THEME)} * 8, 30) + CASE WHEN {has_any('t', ('install', 'setup', 'download'))} THEN 15 ELSE 0 END
+    + CASE WHEN {has_any('t', ('demo', 'preview', 'live'))} THEN 10 ELSE 0 END
+    + CASE WHEN {has_any('t', ('![', '<img'))} THEN 5 ELSE 0 END) END AS text_signal,
   CASE WHEN archived THEN 60 ELSE 0 END + CASE WHEN pushed_at < TIMESTAMP '2022-01-01' THEN 25 ELSE 0 END
-    + CASE WHEN stars < 3 THEN 20 WHEN stars < 10 THEN 10 ELSE 0 END + {_count('lower(name)', NON_THEME_WORDS)} * 8
-    + {_count('label', PENALTY)} * 12 + {_count('t', PENALTY)} * 6
-    + CASE WHEN {_any('t', ('work in progress', 'wip'))} THEN 15 ELSE 0 END
-    + CASE WHEN {_any('t', ('not maintained', 'deprecated'))} THEN 25 ELSE 0 END
-    + CASE WHEN {_any('t', ('personal project', 'learning'))} THEN 10 ELSE 0 END
+    + CASE WHEN stars < 3 THEN 20 WHEN stars < 10 THEN 10 ELSE 0 END + {how_many('lower(name)', NON_THEME_WORDS)} * 8
+    + {how_many('label', PENALTY)} * 12 + {how_many('t', PENALTY)} * 6
+    + CASE WHEN {has_any('t', ('work in progress', 'wip'))} THEN 15 ELSE 0 END
+    + CASE WHEN {has_any('t', ('not maintained', 'deprecated'))} THEN 25 ELSE 0 END
+    + CASE WHEN {has_any('t', ('personal project', 'learning'))} THEN 10 ELSE 0 END
     + CASE WHEN fork THEN 15 ELSE 0 END + CASE WHEN short = '' THEN 8 ELSE 0 END
     + CASE WHEN description <> '' AND length(short) < 20 THEN 5 ELSE 0 END AS penalty_signal
   FROM d),
@@ -134,23 +134,23 @@ _REASONS = ", ".join(
         _reason("Topics", "Found theme-related topics: ", "len(thm) > 0", "array_to_string(thm, ', ')"),
         _reason("Topics", "Multiple relevant topic categories found", "len(dom) > 0 AND len(thm) > 0"),
         _reason("README", "No README found", "t = ''"),
-        _reason("README", "README mentions Ghost: ", _any("t", DOMAIN), _join("t", DOMAIN)),
-        _reason("README", "README contains theme keywords: ", _any("t", THEME), _FIVE),
-        _reason("README", "Contains installation/setup instructions", _any("t", ("install", "setup", "download"))),
-        _reason("README", "Contains demo/preview links", _any("t", ("demo", "preview", "live"))),
-        _reason("README", "Contains images/screenshots", _any("t", ("![", "<img"))),
+        _reason("README", "README mentions Ghost: ", has_any("t", DOMAIN), _join("t", DOMAIN)),
+        _reason("README", "README contains theme keywords: ", has_any("t", THEME), _FIVE),
+        _reason("README", "Contains installation/setup instructions", has_any("t", ("install", "setup", "download"))),
+        _reason("README", "Contains demo/preview links", has_any("t", ("demo", "preview", "live"))),
+        _reason("README", "Contains images/screenshots", has_any("t", ("![", "<img"))),
         _reason("Structure", "Structure penalty: No Handlebars (.hbs) files found", "true"),
         _reason("Structure", "Structure penalty: Missing essential directories: assets, partials", "true"),
         _reason("Structure", "Structure penalty: No CSS/SCSS files found", "true"),
         _reason("Penalty", "Repository is archived (major penalty)", "archived"),
         _reason("Penalty", "No activity since ", "pushed_at < TIMESTAMP '2022-01-01'", "strftime(pushed_at, '%a %b %d %Y')"),
         "CASE WHEN stars < 3 THEN 'Penalty: Very low star count: ' || stars WHEN stars < 10 THEN 'Penalty: Low star count: ' || stars END",
-        _reason("Penalty", "Repository name suggests non-theme: ", _any("lower(name)", NON_THEME_WORDS), _join("lower(name)", NON_THEME_WORDS)),
-        _reason("Penalty", "Contains penalty keywords: ", _any("label", PENALTY), _join("label", PENALTY)),
-        _reason("Penalty", "README contains penalty keywords: ", _any("t", PENALTY), _join("t", PENALTY)),
-        _reason("Penalty", "README indicates work in progress", _any("t", ("work in progress", "wip"))),
-        _reason("Penalty", "README indicates project is not maintained", _any("t", ("not maintained", "deprecated"))),
-        _reason("Penalty", "README indicates personal/learning project", _any("t", ("personal project", "learning"))),
+        _reason("Penalty", "Repository name suggests non-theme: ", has_any("lower(name)", NON_THEME_WORDS), _join("lower(name)", NON_THEME_WORDS)),
+        _reason("Penalty", "Contains penalty keywords: ", has_any("label", PENALTY), _join("label", PENALTY)),
+        _reason("Penalty", "README contains penalty keywords: ", has_any("t", PENALTY), _join("t", PENALTY)),
+        _reason("Penalty", "README indicates work in progress", has_any("t", ("work in progress", "wip"))),
+        _reason("Penalty", "README indicates project is not maintained", has_any("t", ("not maintained", "deprecated"))),
+        _reason("Penalty", "README indicates personal/learning project", has_any("t", ("personal project", "learning"))),
         _reason("Penalty", "Repository is a fork", "fork"),
         _reason("Penalty", "No repository description provided", "short = ''"),
         _reason("Penalty", "Very short repository description", "description <> '' AND length(short) < 20"),
@@ -164,7 +164,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ---- structure -------------------------------------------------------------
-_LISTED = f"""
+LISTED = f"""
 WITH f AS ({S.LISTING_SQL}),
 x AS (SELECT full_name,
   count(*) FILTER (l = 1 OR (l = 6 AND f = 'N') OR (l = 7 AND f = 'A')) AS template_files,
@@ -194,7 +194,7 @@ y AS (SELECT *, CASE WHEN ha THEN css ELSE 0 END AS css_files, CASE WHEN ha THEN
 
 @query(
     "structure_features",
-    f"""{_LISTED} SELECT full_name, template_files, essential_files, theme_directories, has_package_json, has_config,
+    f"""{LISTED} SELECT full_name, template_files, essential_files, theme_directories, has_package_json, has_config,
           css_files, js_files, image_files, partial_files, suspicious FROM y""",
 )
 def structure_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,7 +205,7 @@ def structure_features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "structure_signal",
-    f"""{_LISTED}, p AS (SELECT *, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
+    f"""{LISTED}, p AS (SELECT *, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
            + CASE WHEN ha THEN 0 ELSE 5 END + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END AS penalty,
            ne * 25 + CASE WHEN template_files - ne > 0 THEN least((template_files - ne) * 5, 20) ELSE 0 END + nd * 10
            + CASE WHEN has_package_json THEN 15 ELSE 0 END + least(css_files * 3, 15) + least(js_files * 2, 10)

@@ -40,6 +40,7 @@ class UpdateInputs:
 @dataclass
 class UpdateResult:
     items: DataFrame
+    detected: DataFrame
     changes: DataFrame
     change_stats: DataFrame
     stale_state: DataFrame
@@ -90,7 +91,7 @@ def update_run(
     full_page: int = hits.PAGE_SIZE,
 ) -> UpdateResult:
     """PIP-1.  Tables several outputs read are written once to the scratch folder."""
-    crawled = topical = classified = None
+    counted = {}
     if inputs.hits is None:
         new = inputs.existing.limit(0)
     else:
@@ -100,13 +101,17 @@ def update_run(
             )
         )
         topical = topic_gate(crawled, topics)
-        classified = materialize(
-            hits.to_item_categorized(
-                scoring.score_gate(classify_repos(topical, inputs, as_of, profile), profile.min_score),
-                official_owner=owner,
-            )
+        scored = materialize(
+            hits.to_item_categorized(classify_repos(topical, inputs, as_of, profile), official_owner=owner)
         )
+        classified = scoring.score_gate(scored, profile.min_score)
         new = materialize(dedup.clean_dataset(classified))
+        counted = {
+            "crawled": crawled,
+            "filtered_no_topic": crawled.filter(~has_any_topic("topics", topics)),
+            "filtered_low_score": scored.filter(F.col("score") < profile.min_score),
+            "classified": classified,
+        }
 
     outcomes = materialize(
         merge.merge_outcomes(
@@ -119,16 +124,20 @@ def update_run(
     )
     items, state = staleness.active_items(detected), staleness.next_state(detected)
 
-    counted = {"merged": items, "rendered": reports.visible(items)}
-    if crawled is not None:
-        counted = {"crawled": crawled, "topical": topical, "classified": classified, **counted}
+    findings = quality.consistency_errors(new)
+    counted |= {
+        "merged": merge.merged_items(outcomes),
+        "rendered": reports.visible(items),
+        "errors": findings.filter(F.col("severity") == "error"),
+    }
     return UpdateResult(
         items=items,
+        detected=detected,
         changes=merge.change_log(outcomes),
         change_stats=merge.change_stats(outcomes),
         stale_state=state,
         stale_summary=staleness.stale_summary(detected),
-        findings=quality.consistency_errors(new),
+        findings=findings,
         metrics=reports.run_metrics(**counted),
         reports={
             "directory": reports.category_order(reports.directory_rows(items)),
