@@ -188,13 +188,13 @@ def reconcile_statistics(stale: DataFrame, stored: DataFrame, tolerance: float =
 
     ``stored`` has one row shaped like ``stale_statistics``.
     """
-    actual = stale_statistics(stale).select(
-        F.col("total_stale").alias("a_total"),
-        F.col("average_months_stale").alias("a_avg"),
-        F.col("by_category").alias("a_cat"),
-    )
-    both = stored.select("total_stale", "average_months_stale", "by_category", F.lit(1).alias("_k")).join(
-        actual.withColumn("_k", F.lit(1)), "_k"
+    columns = ("total_stale", "average_months_stale", "by_category")
+    actual = stale_statistics(stale).select(*[F.col(c).alias(f"a_{c}") for c in columns])
+    # One row each: laid side by side by an aggregate over their union, not by a join.
+    both = (
+        stored.select(*columns)
+        .unionByName(actual, allowMissingColumns=True)
+        .agg(*[F.any_value(c, F.lit(True)).alias(c) for c in (*columns, *actual.columns)])
     )
     found = both.select(
         F.explode(
@@ -202,28 +202,28 @@ def reconcile_statistics(stale: DataFrame, stored: DataFrame, tolerance: float =
                 F.concat(
                     F.array(
                         F.when(
-                            F.col("total_stale") != F.col("a_total"),
+                            F.col("total_stale") != F.col("a_total_stale"),
                             _finding(
                                 "error", "total",
                                 F.concat(
                                     F.lit("Statistics mismatch: totalStale="), F.col("total_stale"),
-                                    F.lit(", actual count="), F.col("a_total"),
+                                    F.lit(", actual count="), F.col("a_total_stale"),
                                 ),
                             ),
                         ),
                         F.when(
-                            F.abs(F.col("average_months_stale") - F.col("a_avg")) > F.lit(tolerance),
+                            F.abs(F.col("average_months_stale") - F.col("a_average_months_stale")) > F.lit(tolerance),
                             _finding(
                                 "warning", "average",
                                 F.concat(
                                     F.lit("Average months stale mismatch: stats="), F.col("average_months_stale"),
-                                    F.lit(", expected="), F.col("a_avg"),
+                                    F.lit(", expected="), F.col("a_average_months_stale"),
                                 ),
                             ),
                         ),
                     ),
                     F.transform(
-                        F.map_entries("a_cat"),
+                        F.map_entries("a_by_category"),
                         lambda e: F.when(
                             ~F.coalesce(F.try_element_at("by_category", e["key"]) == e["value"], F.lit(False)),
                             _finding(
