@@ -8,7 +8,6 @@ from gleanery.operators import hits as H
 from gleanery.sources import sample_tables as S
 
 PAGES = 100_000
-QUERIES = len(S.EVENT_TYPES)
 
 CTE = f"""
 WITH hits AS ({S.HITS_SQL}),
@@ -33,7 +32,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("min_stars", f"{CTE} SELECT query_pos, hit_pos, stars FROM hits WHERE stars >= 5")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    found = H.min_stars(S.hits(spark, folder), S.search_specs(spark, folder), queries=QUERIES)
+    specs = S.search_specs(spark, folder)
+    found = H.min_stars(S.hits(spark, folder), specs, H.bounds_of(specs))
     return found.select("query_pos", "hit_pos", F.col("stargazers_count").alias("stars"))
 
 
@@ -49,7 +49,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     found = S.hits(spark, folder)
     # A page counts as full from the size of the smallest first page on.
     least = H.page_sizes(found.filter("page = 1")).agg(F.min("page_size")).first()[0]
-    read = H.page_limit(found, queries=QUERIES, max_pages=PAGES, full_page=least)
+    bounds = H.bounds_of(S.search_specs(spark, folder))
+    read = H.page_limit(found, bounds, max_pages=PAGES, full_page=least)
     return read.select("query_pos", "page", "hit_pos")
 
 
@@ -59,9 +60,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         QUALIFY row_number() OVER (PARTITION BY query_pos ORDER BY page, hit_pos) <= 60 + 10 * query_pos""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    capped = H.cap_per_query(
-        S.hits(spark, folder), S.search_specs(spark, folder), queries=QUERIES, max_pages=PAGES
-    )
+    specs = S.search_specs(spark, folder)
+    capped = H.cap_per_query(S.hits(spark, folder), specs, H.bounds_of(specs), max_pages=PAGES)
     return capped.select("query_pos", "hit_pos")
 
 

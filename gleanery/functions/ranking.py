@@ -43,10 +43,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared scratch folder and read them back.
 
     Cuts the lineage and, unlike ``checkpoint()``, keeps column pruning for the
-    readers that follow.
+    readers that follow.  Everything one application writes is under one folder,
+    which can go when the application has ended.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/gleanery-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{scratch_root(spark)}/gleanery-{application}/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_text
-from gleanery.functions.ranking import SMALL_TABLE_ROWS, first_per_key
+from gleanery.functions.ranking import SMALL_TABLE_ROWS, first_per_key, top_k_per_key
 
 MAX_PAGES = 10
 PAGE_SIZE = 100
 
 
+class Bounds(NamedTuple):
+    """Sizes read from the query list, a small configuration table."""
+
+    queries: int
+    max_results: int
+
+
+def bounds_of(specs: DataFrame) -> Bounds:
+    row = specs.agg(F.count(F.lit(1)), F.coalesce(F.max("max_results"), F.lit(0))).first()
+    return Bounds(*row)
+
+
 def _sent_whole(table: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint only where ``rows``, an upper bound, is small."""
     return F.broadcast(table) if rows <= SMALL_TABLE_ROWS else table
@@ -41,11 +55,11 @@ def pages_read(hits: DataFrame, *, max_pages: int = MAX_PAGES, full_page: int =
 
 
 def page_limit(
-    hits: DataFrame, *, queries: int, max_pages: int = MAX_PAGES, full_page: int = PAGE_SIZE
+    hits: DataFrame, bounds: Bounds, *, max_pages: int = MAX_PAGES, full_page: int = PAGE_SIZE
 ) -> DataFrame:
-    """Keep the hits of the pages read.  ``queries`` bounds the page table."""
+    """Keep the hits of the pages read.  ``bounds`` limits the size of the page table."""
     pages = pages_read(hits, max_pages=max_pages, full_page=full_page).drop("page_size")
-    return hits.join(_sent_whole(pages, queries * max_pages), ["query_pos", "page"], "left_semi")
+    return hits.join(_sent_whole(pages, bounds.queries * max_pages), ["query_pos", "page"], "left_semi")
 
 
 def first_seen_within_query(hits: DataFrame) -> DataFrame:
@@ -62,9 +76,9 @@ def include_hits(hits: DataFrame, *, include_archived: bool = False, include_for
     return hits
 
 
-def min_stars(hits: DataFrame, specs: DataFrame, *, queries: int) -> DataFrame:
+def min_stars(hits: DataFrame, specs: DataFrame, bounds: Bounds) -> DataFrame:
     """FLT-3: at least the stars the query asks for."""
-    wanted = _sent_whole(specs.select("query_pos", "min_stars"), queries)
+    wanted = _sent_whole(specs.select("query_pos", "min_stars"), bounds.queries)
     return (
         hits.join(wanted, "query_pos")
         .filter(F.col("stargazers_count") >= F.col("min_stars"))
@@ -72,27 +86,27 @@ def min_stars(hits: DataFrame, specs: DataFrame, *, queries: int) -> DataFrame:
     )
 
 
-def cap_per_query(hits: DataFrame, specs: DataFrame, *, queries: int, max_pages: int = MAX_PAGES) -> DataFrame:
+def cap_per_query(hits: DataFrame, specs: DataFrame, bounds: Bounds, *, max_pages: int = MAX_PAGES) -> DataFrame:
     """WIN-2: the first ``max_results`` hits of each query.
 
     A query may hold a third of all hits, so its rows are never ranked in one
     task: page totals give the number of hits ahead of each page, and only the
-    rows inside one page are ranked.
+    rows inside one page are ranked.  No page gives more rows than the largest
+    cap, and that many are left of it before the shuffle.
     """
     ahead = Window.partitionBy("query_pos").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     pages = (
         page_sizes(hits)
         .withColumn("_ahead", F.coalesce(F.sum("page_size").over(ahead), F.lit(0)))
-        .join(_sent_whole(specs.select("query_pos", "max_results"), queries), "query_pos")
+        .join(_sent_whole(specs.select("query_pos", "max_results"), bounds.queries), "query_pos")
         .filter(F.col("_ahead") < F.col("max_results"))
         .drop("page_size")
     )
-    in_page = Window.partitionBy("query_pos", "page").orderBy("hit_pos")
+    found = hits.join(_sent_whole(pages, bounds.queries * max_pages), ["query_pos", "page"])
     return (
-        hits.join(_sent_whole(pages, queries * max_pages), ["query_pos", "page"])
-        .withColumn("_rank", F.row_number().over(in_page) + F.col("_ahead"))
-        .filter(F.col("_rank") <= F.col("max_results"))
-        .drop("_rank", "_ahead", "max_results")
+        top_k_per_key(found, ["query_pos", "page"], [F.col("hit_pos")], bounds.max_results, "_in_page")
+        .filter(F.col("_ahead") + F.col("_in_page") <= F.col("max_results"))
+        .drop("_in_page", "_ahead", "max_results")
     )
 
 
@@ -135,14 +149,23 @@ def collapse_hits(
     include_archived: bool = False,
     include_forks: bool = True,
 ) -> DataFrame:
-    """CRL-1: paging, first seen per query, filters, cap, first seen overall."""
-    queries = specs.count()  # the query list is a small configuration table
-    seen = page_limit(hits, queries=queries, max_pages=max_pages, full_page=full_page)
+    """CRL-1: paging, first seen per query, filters, cap, first seen overall.
+
+    The windows run over a few narrow columns.  What they leave is at most the
+    sum of all caps, so the whole rows are fetched by position in a second scan
+    and are never shuffled.  (query_pos, page, hit_pos) identifies a hit.
+    """
+    bounds = bounds_of(specs)
+    position = ["query_pos", "page", "hit_pos"]
+    seen = hits.select(*position, "full_name", "stargazers_count", "archived", "fork")
+    seen = page_limit(seen, bounds, max_pages=max_pages, full_page=full_page)
     seen = first_seen_within_query(seen)
     seen = include_hits(seen, include_archived=include_archived, include_forks=include_forks)
-    seen = min_stars(seen, specs, queries=queries)
-    seen = cap_per_query(seen, specs, queries=queries, max_pages=max_pages)
-    return normalize_hits(first_seen_across_queries(seen), details)
+    seen = min_stars(seen, specs, bounds)
+    seen = cap_per_query(seen, specs, bounds, max_pages=max_pages)
+    picked = first_seen_across_queries(seen).select(*position)
+    found = hits.join(_sent_whole(picked, bounds.queries * bounds.max_results), position, "left_semi")
+    return normalize_hits(found, details)
 
 
 def repo_metadata(repos: DataFrame, contents: DataFrame, readmes: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.columns import has_any_topic, json_array_text
 from gleanery.functions.ranking import first_per_key
 from gleanery.operators.hits import to_item
-from gleanery.operators.rules import latest_overrides, match_rules, overridden
+from gleanery.operators.rules import latest_overrides, match_rules, matcher, overridden
 from gleanery.profiles import DOMAIN_TOPICS, OFFICIAL_OWNER
 from gleanery.schemas import ITEM_COLUMNS
 
@@ -60,23 +60,28 @@ def merge_outcomes(
     flagged = "classified" in new.columns
     new = one_per_key(new, "repo", new_pos)
     existing = one_per_key(existing, "repo", existing_pos)
-    new_side = new.select(
-        F.col("repo").alias("_n_repo"),
-        F.struct(*ITEM_COLUMNS).alias("_n"),
-        (F.col("classified") if flagged else F.lit(True)).alias("_classified"),
-    )
-    old_side = existing.select(F.col("repo").alias("_e_repo"), F.struct(*ITEM_COLUMNS).alias("_e"))
-    both = new_side.join(old_side, F.col("_n_repo") == F.col("_e_repo"), "full_outer")
-    both = both.withColumn("_repo", F.coalesce("_n_repo", "_e_repo"))
-    both = match_rules(both, rules, "_repo").drop("rule_value")
-    both = both.join(latest_overrides(overrides), F.col("_repo") == F.col("_ov_repo"), "left")
+    ready, patches = matcher(rules), latest_overrides(overrides)
+
+    def side(table: DataFrame, name: str, *more: Column) -> DataFrame:
+        """One snapshot with its rule and override.  They are joined before the
+        snapshots meet: a left join keeps the partitioning by repository, so the
+        wide rows move once even where rules and overrides are too big to send."""
+        rows = table.select(F.col("repo").alias(f"{name}_repo"), F.struct(*ITEM_COLUMNS).alias(name), *more)
+        rows = match_rules(rows, ready, f"{name}_repo").drop("rule_value")
+        rows = rows.withColumnRenamed("rule_kind", f"{name}_rule")
+        rows = rows.join(patches, F.col(f"{name}_repo") == F.col("_ov_repo"), "left").drop("_ov_repo")
+        return rows.withColumnRenamed("_ov", f"{name}_ov")
+
+    classified = F.col("classified") if flagged else F.lit(True)
+    new_side = side(new, "_n", classified.alias("_classified"))
+    both = new_side.join(side(existing, "_e"), F.col("_n_repo") == F.col("_e_repo"), "full_outer")
 
     seen, known = F.col("_n_repo").isNotNull(), F.col("_e_repo").isNotNull()
     patched = both.select(
         *[F.when(seen, F.col(f"_n.{c}")).otherwise(F.col(f"_e.{c}")).alias(c) for c in ITEM_COLUMNS],
         "_e",
-        "_ov",
-        "rule_kind",
+        F.coalesce("_n_ov", "_e_ov").alias("_ov"),
+        F.coalesce("_n_rule", "_e_rule").alias("rule_kind"),
         "_classified",
         seen.alias("_seen"),
         known.alias("_known"),

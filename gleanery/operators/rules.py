@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.errors import PySparkException
@@ -74,10 +75,11 @@ def split_patterns(rules: DataFrame, column: str = "value") -> DataFrame:
 
 def usable_patterns(spark: SparkSession, patterns: list[str]) -> list[str]:
     """The patterns Spark's own regex engine accepts, in their order."""
+    one_row = spark.sql("SELECT x FROM VALUES ('') AS t(x)")  # evaluated by the driver, no job
 
     def accepted(group: list[str]) -> bool:
         try:
-            spark.range(1).select(*[F.lit("").rlike(ANY_CASE + p) for p in group]).collect()
+            one_row.select(*[F.col("x").rlike(ANY_CASE + p) for p in group]).collect()
             return True
         except PySparkException:
             return False
@@ -88,42 +90,56 @@ def usable_patterns(spark: SparkSession, patterns: list[str]) -> list[str]:
 
 
 # ---- matching --------------------------------------------------------------
-def _literal_match(spark: SparkSession, repo: Column, patterns: list[str]) -> Column:
-    """The first pattern found in ``repo``, patterns compiled into the plan."""
-    usable = usable_patterns(spark, patterns)
-    if not usable:
-        return F.lit(None).cast("string")
-    first = F.coalesce(*[F.when(repo.rlike(ANY_CASE + p), F.lit(p)) for p in usable])
-    either = "|".join(f"(?:{p})" for p in usable)
-    if re.search(r"\\[1-9k]", either) or not usable_patterns(spark, [either]):
-        return first
-    return F.when(repo.rlike(ANY_CASE + either), first)
+class Matcher(NamedTuple):
+    """A rule table made ready: exact values as a table, patterns as literals, or
+    as a table (``pattern_table``) when there are too many."""
 
+    exact: DataFrame
+    patterns: list[str]
+    either: str | None  # one pattern that finds what any of them finds
+    pattern_table: DataFrame | None
 
-def match_rules(df: DataFrame, rules: DataFrame, repo: str = "repo") -> DataFrame:
-    """FLT-4 / JN-3: add ``rule_kind`` and ``rule_value``, null where no rule holds.
+    def first_match(self, repo: Column) -> Column:
+        """The first pattern found in ``repo``; most rows stop at ``either``."""
+        if not self.patterns:
+            return F.lit(None).cast("string")
+        first = F.coalesce(*[F.when(repo.rlike(ANY_CASE + p), F.lit(p)) for p in self.patterns])
+        return first if self.either is None else F.when(repo.rlike(ANY_CASE + self.either), first)
 
-    An exact rule wins; among patterns the first in rule order.  Exact rules are
-    an equi join of any size.  Patterns become literals up to a checked number
-    and are joined as a table beyond it.  Invalid patterns are skipped.
-    """
-    spark = df.sparkSession
+
+def matcher(rules: DataFrame) -> Matcher:
+    """Read the patterns once; reuse the result where rules are matched twice."""
     exact = rules.filter(F.col("kind") == "exact").select(F.col("value").alias("_exact")).distinct()
     patterns = (
         rules.filter(F.col("kind") == "pattern").groupBy("value").agg(F.min("pos").alias("pos"))
     )
     listed = patterns.orderBy("pos", "value").limit(MAX_LITERAL_PATTERNS + 1).collect()
+    if len(listed) > MAX_LITERAL_PATTERNS:
+        return Matcher(exact, [], None, split_patterns(patterns).filter("valid"))
+    usable = usable_patterns(rules.sparkSession, [r["value"] for r in listed])
+    either = "|".join(f"(?:{p})" for p in usable)
+    # Back references count groups, and named groups may repeat: no joint pattern then.
+    if re.search(r"\\[1-9k]", either) or not usable_patterns(rules.sparkSession, [either]):
+        either = None
+    return Matcher(exact, usable, either, None)
 
-    found = df.join(exact, F.col(repo) == F.col("_exact"), "left")
-    if len(listed) <= MAX_LITERAL_PATTERNS:
-        found = found.withColumn(
-            "_pattern", _literal_match(spark, col(repo), [r["value"] for r in listed])
-        )
+
+def match_rules(df: DataFrame, rules: DataFrame | Matcher, repo: str = "repo") -> DataFrame:
+    """FLT-4 / JN-3: add ``rule_kind`` and ``rule_value``, null where no rule holds.
+
+    An exact rule wins; among patterns the first in rule order.  Exact rules are
+    an equi join of any size.  Patterns become literals up to a checked number
+    and are joined as a table beyond it.  Invalid patterns are skipped.
+    """
+    ready = rules if isinstance(rules, Matcher) else matcher(rules)
+    found = df.join(ready.exact, F.col(repo) == F.col("_exact"), "left")
+    if ready.pattern_table is None:
+        found = found.withColumn("_pattern", ready.first_match(F.col(repo)))
     else:
-        usable = split_patterns(patterns).filter("valid")
         first = (
             df.select(F.col(repo).alias("_repo"))
-            .join(usable, F.rlike("_repo", F.concat(F.lit(ANY_CASE), F.col("value"))))
+            .distinct()
+            .join(ready.pattern_table, F.rlike("_repo", F.concat(F.lit(ANY_CASE), F.col("value"))))
             .groupBy("_repo")
             .agg(F.min_by("value", F.struct("pos", "value")).alias("_pattern"))
         )

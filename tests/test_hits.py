@@ -115,11 +115,30 @@ def test_one_hot_query(spark):
         (F.col("id") % 100).cast("int").alias("hit_pos"),
         F.col("id").alias("n"),
     )
-    kept = H.cap_per_query(hot, specs(spark, (12_345, 0)), queries=1, max_pages=1000)
+    wanted = specs(spark, (12_345, 0))
+    kept = H.cap_per_query(hot, wanted, H.bounds_of(wanted), max_pages=1000)
     row = kept.agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("m")).first()
     assert (row["c"], row["m"]) == (12_345, 12_344)
 
 
+def test_one_hot_page_is_pruned_before_the_shuffle(spark):
+    hot = spark.range(5_000).select(
+        (F.col("id") % 1).cast("int").alias("query_pos"), (F.col("id") % 1 + 1).cast("int").alias("page"), F.col("id").cast("int").alias("hit_pos"), F.col("id").alias("n")
+    )
+    wanted = specs(spark, (7, 0))
+    kept = H.cap_per_query(hot.repartition(5), wanted, H.bounds_of(wanted))
+    assert sorted(r["n"] for r in kept.collect()) == list(range(7))
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_rows_are_fetched_by_position(spark):
+    plan = H.collapse_hits(
+        table(spark, hit(0, 1, 0, "a/1")), specs(spark, (10, 0))
+    )._jdf.queryExecution().executedPlan().toString()
+    top = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in top and "Window" not in top and "hashpartitioning" not in top
+
+
 def test_repo_metadata(spark):
     contents = spark.createDataFrame(
         [
