@@ -22,19 +22,25 @@ _SUSPICIOUS = (
     ("Framework files present: ", FRAMEWORKS),
     ("Server-side files present: ", SERVER_FILES),
 )
-
-
-def _flag(kind: str, name: str) -> str:
-    return f"_{kind}_{name}"
+# Each name looked for has one bit: as a file, as a directory, or as either.
+_BITS = {
+    name: (bit, where)
+    for bit, (name, where) in enumerate(
+        [(n, "_is_file") for n in (*ESSENTIAL_FILES, "package.json")]
+        + [(n, "_is_dir") for n in THEME_DIRECTORIES]
+        + [(n, "(_is_file OR _is_dir)") for n in _WATCHED_FILES]
+    )
+}
+_CONFIG_BIT = len(_BITS)
 
 
 def structure_features(contents: DataFrame, *, config_word: str = "ghost") -> DataFrame:
     """FEA-1 / AGG-5..7 / CLS-5: one row of counters and flags per repository.
 
-    ``contents`` has full_name, path (whole, from the root), name and type.  Only
-    counters and yes/no flags are aggregated, all of fixed size, so the hash
-    aggregate combines them before the one shuffle and a repository with any
-    number of files costs the same.
+    ``contents`` has full_name, path (whole, from the root), name and type.  The
+    names found are bits of one number and the rest are counters, so the hash
+    aggregate has a small buffer of fixed size, combines before the one shuffle,
+    and a repository with any number of files costs the same.
     """
     entries = contents.select(
         "full_name",
@@ -47,52 +53,57 @@ def structure_features(contents: DataFrame, *, config_word: str = "ghost") -> Da
         F.expr("_parent = '' AND type = 'dir'").alias("_is_dir"),
         F.expr("_parent = '' AND type <> 'dir'").alias("_is_file"),
         F.expr("_parent = 'partials'").alias("_is_partial"),
-        F.expr(r"CASE WHEN _parent = 'assets' OR _parent RLIKE '^assets/[^/]+$' THEN "
-               r"CASE WHEN _name RLIKE '\\.(css|scss|sass)$' THEN 'css' WHEN _name RLIKE '\\.(js|ts)$' THEN 'js' "
-               r"WHEN _name RLIKE '\\.(png|jpg|jpeg|gif|svg|webp|ico)$' THEN 'image' END END").alias("_asset"),
-        F.expr("_parent = '' AND (contains(_name, 'doc') OR contains(_name, 'readme') OR endswith(_name, '.md'))").alias("_is_doc"),
+        F.expr("_parent = 'assets' OR (startswith(_parent, 'assets/') AND NOT contains(substr(_parent, 8), '/'))").alias("_in_assets"),
+        F.expr("substring_index(_name, '.', -1)").alias("_ending"),
         F.expr("endswith(_name, '.hbs')").alias("_is_template"),
     )
+    named = " ".join(f"WHEN '{n}' THEN if({where}, {1 << bit}, 0)" for n, (bit, where) in _BITS.items())
+    config = F.col("_is_file") & F.contains("_name", F.lit(config_word)) & F.expr(
+        "endswith(_name, '.json') OR endswith(_name, '.js')"
+    )
 
-    def any_named(where: str, kind: str, names: tuple[str, ...]) -> list[Column]:
-        return [F.expr(f"bool_or({where} AND _name = '{n}')").alias(_flag(kind, n)) for n in names]
+    def assets(*endings: str) -> Column:
+        dotted = ", ".join(f"'{e}'" for e in endings)
+        return F.expr(f"count_if(_in_assets AND _ending IN ({dotted}) AND contains(_name, '.'))")
 
     return entries.groupBy("full_name").agg(
+        F.bit_or(
+            F.expr(f"CASE _name {named} ELSE 0 END") + F.when(config, 1 << _CONFIG_BIT).otherwise(0)
+        ).alias("_found"),
         F.expr("count_if(_is_file AND _is_template)").alias("template_files"),
-        *any_named("_is_file", "file", ESSENTIAL_FILES),
-        *any_named("_is_dir", "dir", THEME_DIRECTORIES),
-        *any_named("(_is_file OR _is_dir)", "seen", _WATCHED_FILES),
-        F.expr("bool_or(_is_file AND _name = 'package.json')").alias("has_package_json"),
-        F.bool_or(
-            F.col("_is_file") & F.contains("_name", F.lit(config_word)) & F.expr(r"_name RLIKE '\\.(json|js)$'")
-        ).alias("has_config"),
-        F.expr("count_if(_asset = 'css')").alias("_css"),
-        F.expr("count_if(_asset = 'js')").alias("_js"),
-        F.expr("count_if(_asset = 'image')").alias("_images"),
+        assets("css", "scss", "sass").alias("_css"),
+        assets("js", "ts").alias("_js"),
+        assets("png", "jpg", "jpeg", "gif", "svg", "webp", "ico").alias("_images"),
         F.expr("count_if(_is_partial AND _is_template)").alias("_partials"),
-        F.expr("count_if(_is_doc)").alias("doc_files"),
+        F.expr(
+            "count_if((_is_file OR _is_dir) AND (contains(_name, 'doc') OR contains(_name, 'readme') OR endswith(_name, '.md')))"
+        ).alias("doc_files"),
     ).select("full_name", *_named_features())
 
 
-def _names(kind: str, names: tuple[str, ...]) -> Column:
-    """The names whose flag is set, in list order."""
-    return F.array_compact(F.array(*[F.when(F.col(f"`{_flag(kind, n)}`"), F.lit(n)) for n in names]))
+def _has(bit: int) -> Column:
+    return F.getbit("_found", F.lit(bit)) == 1
+
+
+def _names(names: tuple[str, ...]) -> Column:
+    """The names found, in list order."""
+    return F.array_compact(F.array(*[F.when(_has(_BITS[n][0]), F.lit(n)) for n in names]))
 
 
 def _named_features() -> list[Column]:
-    has_assets, has_partials = F.col("_dir_assets"), F.col("_dir_partials")
+    has_assets, has_partials = _has(_BITS["assets"][0]), _has(_BITS["partials"][0])
     suspicious = [
-        F.when(F.size(_names("seen", names)) > 0, F.concat(F.lit(text), F.array_join(_names("seen", names), ", ")))
+        F.when(F.size(_names(names)) > 0, F.concat(F.lit(text), F.array_join(_names(names), ", ")))
         for text, names in _SUSPICIOUS
     ] + [
         F.when(F.col("doc_files") > 5, F.concat(F.lit("Many documentation files: "), F.col("doc_files")))
     ]
     return [
         F.col("template_files"),
-        _names("file", ESSENTIAL_FILES).alias("essential_files"),
-        _names("dir", THEME_DIRECTORIES).alias("theme_directories"),
-        F.col("has_package_json"),
-        F.col("has_config"),
+        _names(ESSENTIAL_FILES).alias("essential_files"),
+        _names(THEME_DIRECTORIES).alias("theme_directories"),
+        _has(_BITS["package.json"][0]).alias("has_package_json"),
+        _has(_CONFIG_BIT).alias("has_config"),
         F.when(has_assets, F.col("_css")).otherwise(0).alias("css_files"),
         F.when(has_assets, F.col("_js")).otherwise(0).alias("js_files"),
         F.when(has_assets, F.col("_images")).otherwise(0).alias("image_files"),

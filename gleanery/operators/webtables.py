@@ -34,15 +34,17 @@ def table_rows(pages: DataFrame, *, page_id: str = "page_id", html: str = "html"
     """WEB-1: body rows of the first table of each page with their cells.
 
     A page is one string, so its rows are at hand in one record and their
-    positions come from the explode; nothing is shuffled.
+    positions come from the explode; nothing is shuffled.  Closing tags of rows
+    and cells and the body tag are optional, as in HTML.
     """
-    table = F.regexp_extract(F.col(html), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
-    body = F.array_join(F.regexp_extract_all(table, F.lit(r"(?is)<tbody\b[^>]*>(.*?)</tbody>"), F.lit(1)), "")
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
+    shown = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>", "")
+    table = F.regexp_extract(shown, r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)", 1)
+    body = F.regexp_replace(table, r"(?is)<thead\b.*?</thead\s*>|<tfoot\b.*?</tfoot\s*>", "")
+    row = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
+    cell = r"(?is)<td\b[^>]*>(.*?)(?=</td\s*>|<td\b|<th\b|\z)"
+    rows = F.regexp_extract_all(body, F.lit(row), F.lit(1))
     return pages.select(F.col(page_id).alias("page_id"), F.posexplode(rows).alias("row_pos", "_row")).select(
-        "page_id",
-        "row_pos",
-        F.regexp_extract_all("_row", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)).alias("cells"),
+        "page_id", "row_pos", F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("cells")
     )
 
 

@@ -92,6 +92,22 @@ def test_notes(spark, notes, want):
     assert row["c"] == want
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<table><tr><td>a<td>b<td>c<tr><td>d</table>",
+        "<!-- <table><tr><td>no</td></tr></table> --><table><thead><tr><td>head</td></tr></thead>"
+        "<tr><td>a</td><td>b</td><td>c</td></tr><tr><td>d</td></tr><tfoot><tr><td>f</td></tr></tfoot></table>",
+        "<script>'<table><tr><td>x'</script><TABLE><TBODY><TR><TH>h</TH><TD>a</TD><TD>b</TD><TD>c</TD></TR></TBODY>"
+        "<TBODY><TR><TD>d</TD></TR></TBODY></TABLE>",
+        "<table><tbody><tr><td>a</td><td>b</td><td>c</td></tr><tr><td>d",
+    ],
+)
+def test_loose_html(spark, html):
+    rows = W.table_rows(spark.createDataFrame([(1, html)], "page_id int, html string")).orderBy("row_pos").collect()
+    assert [list(r["cells"]) for r in rows] == [["a", "b", "c"], ["d"]]
+
+
 def test_rows_are_read_without_a_shuffle(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id int, html string")
     plan = W.table_rows(pages)._jdf.queryExecution().executedPlan().toString()
