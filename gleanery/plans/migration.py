@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from gleanery.functions.columns import has_text
 from gleanery.operators import reports, webtables
 
 
@@ -25,7 +24,7 @@ def migrate_pages(
     read = webtables.row_items(
         webtables.extract_rows(pages, page_id=page_id, html=html), as_of, thousands=thousands
     )
-    items = webtables.web_items(read).filter(has_text("id") & has_text("name") & has_text("url"))
+    items = webtables.web_items(read)
     return Migration(
         items=reports.category_order(items),
         warnings=webtables.web_warnings(read),
