@@ -177,7 +177,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("https://x.example/").alias("html_url"),
         F.when(size < 3, F.lit("A TOOL")).otherwise(F.lit(None)).alias("description"),
         F.lit(1).cast("long").alias("stargazers_count"),
-        F.current_timestamp().alias("pushed_at"),
+        F.lit(None).cast("timestamp").alias("pushed_at"),
         F.lit(False).alias("archived"),
         F.lit(False).alias("fork"),
         F.struct(F.lit("mit").alias("key")).alias("license"),

@@ -46,7 +46,7 @@ def structure_features(contents: DataFrame, *, config_word: str = "ghost") -> Da
         "full_name",
         "type",
         F.lower("name").alias("_name"),
-        F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("_parent"),
+        F.expr("left(path, length(path) - length(substring_index(path, '/', -1)) - 1)").alias("_parent"),
     ).select(
         "full_name",
         "_name",
