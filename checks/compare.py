@@ -10,7 +10,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.all_queries import QUERIES, SQL
 
@@ -57,26 +57,23 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark: SparkSession, con, folder: str, name: str) -> tuple[str, int, float]:
-    start = time.time()
-    df = QUERIES[name](spark, folder)
+def compare(df: DataFrame, con, name: str) -> tuple[str, int]:
+    """Run one query's frame and its SQL: "ok", "no SQL" or what differs."""
     got = df.collect()
-    took = time.time() - start
     if name not in SQL:
-        return "no SQL", len(got), took
+        return "no SQL", len(got)
     cur = con.execute(SQL[name])
-    want_names = [d[0] for d in cur.description]
-    want_types = {d[0]: str(d[1]) for d in cur.description}
+    names = [d[0] for d in cur.description]
     want = cur.fetchall()
-    if sorted(df.columns) != sorted(want_names):
-        return f"COLUMNS {sorted(df.columns)} / {sorted(want_names)}", len(got), took
-    a, b = rows_of(df.columns, got), rows_of(want_names, want)
+    if sorted(df.columns) != sorted(names):
+        return f"COLUMNS {sorted(df.columns)} / {sorted(names)}", len(got)
+    a, b = rows_of(df.columns, got), rows_of(names, want)
     if a == b:
-        return "ok", len(got), took
-    only_a = [r for r in a if r not in set(b)][:3] if len(a) < 200_000 else []
-    only_b = [r for r in b if r not in set(a)][:3] if len(b) < 200_000 else []
-    detail = f"DIFF rows {len(a)}/{len(b)} {sorted(df.columns)} {want_types}\n   spark {only_a}\n   duck  {only_b}"
-    return detail, len(got), took
+        return "ok", len(got)
+    in_a, in_b = set(a), set(b)
+    only_a = [r for r in a if r not in in_b][:3]
+    only_b = [r for r in b if r not in in_a][:3]
+    return f"DIFF rows {len(a)}/{len(b)} {sorted(df.columns)}\n   spark {only_a}\n   duck  {only_b}", len(got)
 
 
 def main() -> int:
@@ -84,12 +81,13 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark, con, bad = session(), duck(folder), 0
     for name in names:
+        start = time.time()
         try:
-            status, n, took = compare(spark, con, folder, name)
+            status, n = compare(QUERIES[name](spark, folder), con, name)
         except Exception as problem:  # noqa: BLE001 - report and go on
-            status, n, took = f"ERROR {type(problem).__name__}: {str(problem)[:900]}", 0, 0.0
+            status, n = f"ERROR {type(problem).__name__}: {str(problem)[:900]}", 0
         bad += status not in ("ok", "no SQL")
-        print(f"{name:28s} {n:7d} rows {took:6.2f}s  {status}", flush=True)
+        print(f"{name:28s} {n:7d} rows {time.time() - start:6.2f}s  {status}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
     return bad
 
