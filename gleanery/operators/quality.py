@@ -17,7 +17,7 @@ from gleanery.functions.columns import (
 )
 from gleanery.operators.rules import split_patterns
 from gleanery.profiles import CATEGORIES, CONFIDENCES, PAGE_PATTERNS
-from gleanery.schemas import STALE_ITEM
+from gleanery.schemas import ITEM_COLUMNS, STALE_ITEM
 
 
 def _first(findings: list[Column]) -> Column:
@@ -146,7 +146,7 @@ def consistency_findings() -> Column:
     url_given = ~is_blank("url")
     return F.array_compact(
         F.array(
-            finding(is_blank("id"), "error", "id", F.lit("Item missing ID")),
+            finding(is_blank("id"), "error", "id", F.concat(F.lit("Item missing ID: "), F.to_json(F.struct(*ITEM_COLUMNS)))),
             finding(is_blank("name"), "error", "name", _item(" missing name")),
             finding(is_blank("repo"), "error", "repo", _item(" missing repo")),
             finding(~url_given, "error", "url", _item(" missing URL")),

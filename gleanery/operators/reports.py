@@ -40,9 +40,12 @@ def category_heading(category: str | Column = "category") -> Column:
     return heading.otherwise(F.concat(F.upper(c), F.lit(" THEMES")))
 
 
-def category_order(items: DataFrame) -> DataFrame:
-    """SRT-4."""
-    return items.orderBy(category_rank(), F.asc("category"), F.desc("stars"), F.asc("id"))
+def category_order(items: DataFrame, *, others_first: bool = False) -> DataFrame:
+    """SRT-4.  Categories without a heading come last, or first where asked for."""
+    rank = category_rank()
+    if others_first:
+        rank = rank % (len(CATEGORY_HEADINGS) + 1)
+    return items.orderBy(rank, F.asc("category"), F.desc("stars"), F.asc("id"))
 
 
 # ---- summary ---------------------------------------------------------------

@@ -118,6 +118,10 @@ def overlap_check(active: DataFrame, stale: DataFrame) -> DataFrame:
 
 
 # ---- statistics ------------------------------------------------------------
+def _shown() -> Column:
+    return ~F.coalesce("hidden", F.lit(False))
+
+
 def _per_category(stale: DataFrame, category: Column) -> DataFrame:
     return stale.groupBy(category.alias("category")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("months_stale").cast("long")).alias("months"),
@@ -145,7 +149,7 @@ def stale_statistics(stale: DataFrame) -> DataFrame:
 def stale_report_statistics(stale: DataFrame, total_items: int | Column) -> DataFrame:
     """AGG-2: visible rows only, with the share of ``total_items``."""
     whole = total_items if isinstance(total_items, Column) else F.lit(total_items)
-    per_category = _per_category(stale.filter(~F.col("hidden")), text_or("category", "Other"))
+    per_category = _per_category(stale.filter(_shown()), text_or("category", "Other"))
     n = F.coalesce(F.sum("n"), F.lit(0)).cast("double")
     share = round_1dp_percent(n / F.nullif(whole.cast("double"), F.lit(0.0)))
     average = F.coalesce(F.sum("months"), F.lit(0)).cast("double") / F.nullif(n, F.lit(0.0))
@@ -169,7 +173,7 @@ def stale_summary(detected: DataFrame) -> DataFrame:
     """RPT-6: one row from a single pass over the detection."""
     state = F.col("state")
     stale = state.isin(NEWLY_STALE, STILL_STALE, REMAINING)
-    shown = stale & ~F.col("hidden")
+    shown = stale & _shown()
     n, shown_n = F.count(F.lit(1)).cast("double"), F.count_if(shown).cast("double")
     months = F.sum(F.when(shown, F.coalesce("months_stale", F.lit(0)).cast("long")))
     return detected.agg(

@@ -26,7 +26,7 @@ def migrate_pages(
     )
     items = webtables.web_items(read)
     return Migration(
-        items=reports.category_order(items),
+        items=reports.category_order(items, others_first=True),
         warnings=webtables.web_warnings(read),
         category_counts=webtables.migration_category_counts(items),
     )

@@ -152,3 +152,29 @@ def test_compare_snapshots(spark):
     assert found == {
         "same": "unchanged", "date": "unchanged", "null": "updated", "gone": "removed", "here": "added", "tag": "updated",
     }
+
+
+def test_one_outcome_per_repository_in_any_order(spark):
+    import random
+
+    rnd = random.Random(5)
+    make = lambda n, tag: [
+        {"id": f"o/{i}", "score": rnd.randrange(100), "stars": i, "hidden": rnd.random() < 0.1,
+         "topics": ["ghost"] if rnd.random() < 0.3 else [], "name": tag}
+        for i in rnd.sample(range(80), n)
+    ]
+    old, new = make(50, "old"), make(50, "new")
+    patch = [{"repo": f"o/{i}", "hidden": i % 2 == 0} for i in range(0, 80, 7)]
+
+    def run(a, b, parts):
+        return M.merge_outcomes(
+            items(spark, *a).repartition(parts), items(spark, *b).repartition(parts), overrides(spark, *patch),
+            rules(spark, ["o/3"], ["5$"]),
+        )
+
+    found = run(old, new, 3)
+    again = run(old[::-1], new[::-1], 7)
+    as_rows = lambda df: sorted((r["repo"], r["outcome"], str(r["details"]), r["name"]) for r in df.collect())
+    assert as_rows(found) == as_rows(again)
+    repos = [r["repo"] for r in found.collect()]
+    assert sorted(repos) == sorted({r["id"] for r in old} | {r["id"] for r in new})

@@ -34,6 +34,11 @@ def test_every_missing_field_is_listed(spark):
     }
 
 
+def test_a_row_without_id_is_shown_whole(spark):
+    message = Q.consistency_errors(items(spark, {"id": None, "repo": "a/b", "stars": 7})).first()["message"]
+    assert message.startswith("Item missing ID: {") and '"repo":"a/b"' in message and '"stars":7' in message
+
+
 def test_stats(spark):
     table = items(spark, {"url": "https://a"}, {"url": "nope"}, {"url": ""}, {"description": None}, {"category": " "})
     assert Q.consistency_stats(table).first().asDict() == {

@@ -59,7 +59,7 @@ def test_warnings(migrated):
 
 def test_counts_and_order(migrated):
     assert {r["category"]: r["items"] for r in migrated.category_counts.collect()} == {"Other": 1, "Official": 1, "Tool": 1}
-    assert [r["category"] for r in migrated.items.collect()] == ["Official", "Tool", "Other"]
+    assert [r["category"] for r in migrated.items.collect()] == ["Other", "Official", "Tool"]
 
 
 @pytest.mark.parametrize(
