@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import pii, quality_rules
+from gleanery.llm import bpe, line_dedup, pii, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +39,26 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
     )
+
+
+LINE_SQL = r"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                      generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+hot AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT *, k IN (SELECT k FROM hot) AS gone FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
+@query("op2_line_dedup", LINE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_dedup.drop_lines(table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_bpe")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.bpe(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), texts=False)
