@@ -71,9 +71,10 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def find_words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACE) -> Words:
+    """The words of all rows; ``breaks`` tells for each byte whether it stands between words."""
     inside = np.zeros(len(data) + 2, bool)
-    np.logical_not(SPACE[data], out=inside[1:-1])
+    np.logical_not(breaks[data], out=inside[1:-1])
     starts = inside[1:-1] & ~inside[:-2]
     edges = offsets[1:-1]
     edges = edges[edges < len(data)]

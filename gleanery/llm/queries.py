@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, line_dedup, pii, quality_rules
+from gleanery.llm import bpe, line_dedup, minhash, pii, quality_rules, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,30 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_bpe")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), texts=False)
+
+
+@query("op7_decontamination")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (s)
+           WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id"""
+
+
+@query("op10_minhash", NEAR_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, folder, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
