@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, line_dedup, minhash, pii, quality_rules, tiling
+from gleanery.llm import bpe, line_dedup, minhash, pii, quality_classifier, quality_rules, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,10 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a, min(b) AS c FR
 def _(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, folder, "documents"), width=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_quality_classifier")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_classifier.fit(docs, table(spark, folder, "labels"))
+    return quality_classifier.score(docs, model)
