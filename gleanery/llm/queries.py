@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, line_dedup, minhash, pii, quality_classifier, quality_rules, tiling
+from gleanery.llm import bpe, bwt_dedup, line_dedup, minhash, pii, quality_classifier, quality_rules, suffix_trees, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,28 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = quality_classifier.fit(docs, table(spark, folder, "labels"))
     return quality_classifier.score(docs, model)
+
+
+WINDOW_SQL = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM w),
+numbered AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(array_to_string(w[p:p+19], ' ')) ORDER BY doc_id, p) AS k
+             FROM places),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM numbered WHERE k > 1),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+kept AS (SELECT words.*, gone.i IS NOT NULL AS out FROM words LEFT JOIN gone USING (doc_id, i)),
+sums AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (out) AS n_removed,
+                string_agg(x, ' ' ORDER BY i) FILTER (NOT out) AS t FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM documents LEFT JOIN sums USING (doc_id)"""
+
+
+@query("op3_suffix_trees", WINDOW_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_trees.drop_repeats(table(spark, folder, "documents"), digest=True)
+
+
+@query("op8_bwt_dedup")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return bwt_dedup.drop_repeats(table(spark, folder, "documents"), digest=True)
