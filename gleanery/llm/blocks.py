@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import bytewords as B
@@ -18,14 +18,14 @@ from gleanery.llm import bytewords as B
 BLOCK_BYTES = 4 << 20
 
 
-def blocked(docs: DataFrame, text: str, id: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """``(block, doc_id, text)`` with binary texts, dealt by block, and the number of blocks, from the counted bytes."""
-    some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+def blocked(docs: DataFrame, text: str, id: str, block_bytes: int = BLOCK_BYTES, **more: Column) -> tuple[DataFrame, int]:
+    """``(block, doc_id, text, ...)`` with binary texts, dealt by block, and the number of blocks, from the counted bytes."""
+    some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"), *[c.alias(k) for k, c in more.items()])
     total = some.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     tasks = max(n // 4, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
-    return some.select(block.alias("block"), "doc_id", "text").repartition(tasks, "block"), n
+    return some.select(block.alias("block"), "doc_id", "text", *more).repartition(tasks, "block"), n
 
 
 def pack(values: np.ndarray, ordered: bool = False) -> bytes:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, bwt_dedup, line_dedup, minhash, pii, quality_classifier, quality_rules, suffix_trees, tiling
+from gleanery.llm import bpe, bwt_dedup, line_dedup, minhash, ngram_model, pii, quality_classifier, quality_rules, suffix_trees, tiling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +121,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_bwt_dedup")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return bwt_dedup.drop_repeats(table(spark, folder, "documents"), digest=True)
+
+
+@query("op4_ngram_model")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    return ngram_model.score_texts(table(spark, folder, "documents"), train)
