@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleanery.llm.saving import saved
 
@@ -217,7 +218,8 @@ def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str
     doomed = frequent_lines(docs, line_counts(docs, text), threshold, text)
     some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"), text_key(text).alias("text_key"))
     some = some.join(doomed, "text_key", "left").select("doc_id", "text", "keys")
-    kind = some.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([some.schema["doc_id"]])
+    schema = schema.add("n_lines", "long").add("n_dropped", "long").add("kept", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,5 +236,15 @@ def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str
             columns = [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept"])
 
-    out = some.mapInArrow(run, f"doc_id {kind}, n_lines long, n_dropped long, kept binary")
-    return out.withColumn("kept", F.col("kept").cast("string"))
+    return some.mapInArrow(run, schema).withColumn("kept", F.col("kept").cast("string"))
+
+
+def clean_texts(docs: DataFrame, threshold: int = 10, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` with their frequent lines dropped; a column ``length``, if there, is counted anew."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias("_"))
+    out = drop_lines(docs.select(row.alias("doc_id"), F.col(f"`{text}`").alias("text")), threshold)
+    names = {c: F.col("doc_id").getField(c) for c in docs.columns}
+    names[text] = F.col("kept")
+    if length in names:
+        names[length] = F.length("kept").cast(docs.schema[length].dataType)
+    return out.select(*[x.alias(c) for c, x in names.items()])

@@ -119,7 +119,11 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns: the ratios travel in one struct beside the row."""
+    """The rows of ``docs`` that pass, with all their columns: the row travels in one struct beside the counts.
+
+    The row numbers keep the filter above the counts; below them, every step would be worked out again for the filter.
+    """
     row = F.struct(*[F.col(f"`{x}`") for x in docs.columns])
-    whole = docs.select(row.alias("doc_id"), F.col(text).alias("text"))
-    return quality_rules(whole, rules).where("kept").select("doc_id.*")
+    whole = docs.select(row.alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    judged = quality_rules(whole, rules).select("doc_id", "kept", F.monotonically_increasing_id().alias("at"))
+    return judged.where(F.col("kept") & (F.col("at") >= 0)).select("doc_id.*")

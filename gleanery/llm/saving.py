@@ -1,24 +1,33 @@
-"""Cutting lineage in the folder that all executors share."""
+"""The folder that all executors share, and cutting lineage in it."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+_OWN: list[str] = []
 
-def saved(df: DataFrame) -> DataFrame:
-    """The rows of ``df``, kept by ``checkpoint()`` in the folder that ``spark.checkpoint.dir`` names.
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
     Only a local session, where driver and tasks are one process, may leave the setting out.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _OWN:
+            _OWN.append(tempfile.mkdtemp(prefix="gleanery-llm-"))
+        folder = _OWN[0]
+    return folder
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, kept by ``checkpoint()`` in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if folder is None:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="gleanery-llm-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
