@@ -90,10 +90,39 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return R.rules_remove(S.rules(spark, folder), _additions(spark, folder)).select("kind", "value")
 
 
-@query("split_patterns")
+@query(
+    "split_patterns",
+    """SELECT CASE WHEN p_size > 25 THEN '[' ELSE '' END || p_name AS value, count(*) AS uses,
+              NOT starts_with(CASE WHEN p_size > 25 THEN '[' ELSE '' END || p_name, '[') AS valid
+       FROM part GROUP BY value""",
+)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     """Every product name with an opening bracket in front, and without."""
     names = S.table(spark, folder, "part").select(
         F.when(F.col("p_size") > 25, F.concat(F.lit("["), "p_name")).otherwise(F.col("p_name")).alias("value")
     )
     return R.split_patterns(names.groupBy("value").agg(F.count(F.lit(1)).alias("uses"))).select("value", "uses", "valid")
+
+
+_MANY = f"""
+WITH i AS ({S.CUSTOMER_ITEMS_SQL}),
+p AS (SELECT split_part(repo, '/', 1) AS segment, c_custkey % 120 AS last, min(c_custkey) AS pos FROM i GROUP BY ALL)
+SELECT i.id, 'Matched pattern: ^' || p.segment || '/.*' || lpad(CAST(p.last AS VARCHAR), 3, '0') || '$' AS ignore_reason
+FROM i JOIN p ON p.segment = split_part(repo, '/', 1) AND p.last = c_custkey % 1000"""
+
+
+@query("ignore_many_patterns", _MANY)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A pattern for each segment and each end of a customer number below 120: 600 of them where all occur."""
+    items = _customers(spark, folder)
+    last = F.col("c_custkey") % 120
+    patterns = (
+        items.groupBy(F.split_part("repo", F.lit("/"), F.lit(1)).alias("segment"), last.alias("last"))
+        .agg(F.min("c_custkey").cast("int").alias("pos"))
+        .select(
+            "pos",
+            F.lit("pattern").alias("kind"),
+            F.concat(F.lit("^"), "segment", F.lit("/.*"), F.lpad(F.col("last").cast("string"), 3, "0"), F.lit("$")).alias("value"),
+        )
+    )
+    return R.ignore_reasons(items.select("id", "repo"), patterns).select("id", "ignore_reason")

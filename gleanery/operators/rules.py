@@ -5,11 +5,8 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleanery.functions.columns import col
 from gleanery.functions.ranking import first_per_key
@@ -18,8 +15,8 @@ from gleanery.profiles import COMMON_IGNORE_PATTERNS
 EXACT_REASON = "Exact match in ignore list"
 # Case-insensitive, also beyond ASCII.
 ANY_CASE = "(?iu)"
-# More patterns than this are joined as a table instead of becoming literals.
-MAX_LITERAL_PATTERNS = 500
+# Patterns that share one joint test.
+PATTERNS_PER_BLOCK = 50
 
 
 # ---- rule tables -----------------------------------------------------------
@@ -39,112 +36,66 @@ def rules_remove(rules: DataFrame, values: DataFrame) -> DataFrame:
     return rules.join(values.select("value"), "value", "left_anti").select("pos", "kind", "value")
 
 
-# Syntax that one regex dialect accepts and another rejects or reads differently:
-# named groups, conditionals and flags of one dialect, loose braces, and an open
-# bracket inside a character class.
-_CLASS = re.compile(r"(?<!\\)\[\^?\]?(?:\\.|[^\]\\])*\]")
-_OPEN_IN_CLASS = re.compile(r"(?<!\\)\[")
-_NOT_PORTABLE = re.compile(r"\(\?P|\(\?\(|\(\?[aL]|(?<!\\)\{(?!\d+(?:,\d*)?\})")
-
-
-def _pattern_error(pattern: str | None) -> str | None:
-    if pattern is None:
-        return "missing pattern"
-    try:
-        re.compile(pattern)
-    except re.error as problem:
-        return str(problem)
-    nested = any(_OPEN_IN_CLASS.search(c[1:]) for c in _CLASS.findall(pattern))
-    if nested or _NOT_PORTABLE.search(_CLASS.sub("x", pattern)):
-        return "syntax outside the portable regex subset"
-    return None
-
-
-@F.pandas_udf(T.StringType())
-def pattern_error(patterns: pd.Series) -> pd.Series:
-    """Why a pattern cannot be used, or null.  Rule tables only, not data rows."""
-    return patterns.map(_pattern_error)
+def pattern_error(pattern: str | Column) -> Column:
+    """Why a pattern cannot be used, or null: the regex engine that ``rlike`` runs on compiles it."""
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit(ANY_CASE), col(pattern)))
+    return F.when(col(pattern).isNull(), F.lit("missing pattern")).when(compiled.isNull(), F.lit("not a valid regular expression"))
 
 
 def split_patterns(rules: DataFrame, column: str = "value") -> DataFrame:
-    """VAL-6: mark each pattern as valid, with the reason where it is not."""
-    return rules.withColumn("error", pattern_error(F.col(column))).withColumn(
-        "valid", F.col("error").isNull()
-    )
-
+    """VAL-6: mark each pattern as valid, with the reason where it is not.  Matching reads patterns by the same rule."""
+    return rules.withColumn("error", pattern_error(column)).withColumn("valid", F.col("error").isNull())
 
-def usable_patterns(spark: SparkSession, patterns: list[str]) -> list[str]:
-    """The patterns Spark's own regex engine accepts, in their order."""
-    one_row = spark.sql("SELECT x FROM VALUES ('') AS t(x)")  # evaluated by the driver, no job
 
-    def accepted(group: list[str]) -> bool:
-        try:
-            one_row.select(*[F.col("x").rlike(ANY_CASE + p) for p in group]).collect()
-            return True
-        except PySparkException:
-            return False
-
-    if not patterns or accepted(patterns):
-        return list(patterns)
-    return [p for p in patterns if accepted([p])]
+# ---- matching --------------------------------------------------------------
+# Patterns that say something else inside a joint pattern: references count groups, names may repeat, and quotes and
+# comments may run on over the next one.
+_ALONE = re.compile(r"\\[1-9kQ]|\(\?<[A-Za-z]|\(\?[a-zA-Z]*x")
 
 
-# ---- matching --------------------------------------------------------------
 class Matcher(NamedTuple):
-    """A rule table made ready: exact values as a table, patterns as literals, or
-    as a table (``pattern_table``) when there are too many."""
+    """A rule table made ready: exact values as a table, patterns as literals in blocks.
+
+    A pattern list of any length takes the same path.  Each block has one joint pattern that finds what any of its
+    patterns finds, so most rows run one test per block.
+    """
 
     exact: DataFrame
-    patterns: list[str]
-    either: str | None  # one pattern that finds what any of them finds
-    pattern_table: DataFrame | None
+    blocks: list[tuple[str | None, list[str]]]
 
     def first_match(self, repo: Column) -> Column:
-        """The first pattern found in ``repo``; most rows stop at ``either``."""
-        if not self.patterns:
-            return F.lit(None).cast("string")
-        first = F.coalesce(*[F.when(repo.rlike(ANY_CASE + p), F.lit(p)) for p in self.patterns])
-        return first if self.either is None else F.when(repo.rlike(ANY_CASE + self.either), first)
+        """The first pattern found in ``repo``, in rule order."""
+        found = [F.lit(None).cast("string")]
+        for either, patterns in self.blocks:
+            first = F.coalesce(*[F.when(repo.rlike(ANY_CASE + p), F.lit(p)) for p in patterns])
+            found.append(first if either is None else F.when(repo.rlike(ANY_CASE + either), first))
+        return F.coalesce(*found)
 
 
 def matcher(rules: DataFrame) -> Matcher:
-    """Read the patterns once; reuse the result where rules are matched twice."""
+    """Read the patterns once; reuse the result where rules are matched twice.
+
+    The valid patterns become part of the plan, so they pass the driver: they are the rule table, not data.
+    """
     exact = rules.filter(F.col("kind") == "exact").select(F.col("value").alias("_exact")).distinct()
-    patterns = (
-        rules.filter(F.col("kind") == "pattern").groupBy("value").agg(F.min("pos").alias("pos"))
-    )
-    listed = patterns.orderBy("pos", "value").limit(MAX_LITERAL_PATTERNS + 1).collect()
-    if len(listed) > MAX_LITERAL_PATTERNS:
-        return Matcher(exact, [], None, split_patterns(patterns).filter("valid"))
-    usable = usable_patterns(rules.sparkSession, [r["value"] for r in listed])
-    either = "|".join(f"(?:{p})" for p in usable)
-    # Back references count groups, and named groups may repeat: no joint pattern then.
-    if re.search(r"\\[1-9k]", either) or not usable_patterns(rules.sparkSession, [either]):
-        either = None
-    return Matcher(exact, usable, either, None)
+    patterns = rules.filter(F.col("kind") == "pattern").groupBy("value").agg(F.min("pos").alias("pos"))
+    usable = [r["value"] for r in split_patterns(patterns).filter("valid").orderBy("pos", "value").collect()]
+    blocks = []
+    for at in range(0, len(usable), PATTERNS_PER_BLOCK):
+        some = usable[at : at + PATTERNS_PER_BLOCK]
+        alone = any(map(_ALONE.search, some))
+        blocks.append((None if alone else "|".join(f"(?:{p})" for p in some), some))
+    return Matcher(exact, blocks)
 
 
 def match_rules(df: DataFrame, rules: DataFrame | Matcher, repo: str = "repo") -> DataFrame:
     """FLT-4 / JN-3: add ``rule_kind`` and ``rule_value``, null where no rule holds.
 
     An exact rule wins; among patterns the first in rule order.  Exact rules are
-    an equi join of any size.  Patterns become literals up to a checked number
-    and are joined as a table beyond it.  Invalid patterns are skipped.
+    an equi join of any size.  Invalid patterns are skipped.
     """
     ready = rules if isinstance(rules, Matcher) else matcher(rules)
-    found = df.join(ready.exact, F.col(repo) == F.col("_exact"), "left")
-    if ready.pattern_table is None:
-        found = found.withColumn("_pattern", ready.first_match(F.col(repo)))
-    else:
-        first = (
-            df.select(F.col(repo).alias("_repo"))
-            .distinct()
-            .join(ready.pattern_table, F.rlike("_repo", F.concat(F.lit(ANY_CASE), F.col("value"))))
-            .groupBy("_repo")
-            .agg(F.min_by("value", F.struct("pos", "value")).alias("_pattern"))
-        )
-        found = found.join(first, F.col(repo) == F.col("_repo"), "left").drop("_repo")
-
+    found = df.join(ready.exact, F.col(repo) == F.col("_exact"), "left").withColumn("_pattern", ready.first_match(F.col(repo)))
     is_exact = F.col("_exact").isNotNull()
     return found.select(
         *df.columns,

@@ -9,7 +9,6 @@ from checks.all_queries import QUERIES, SQL
 from checks.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-WITH_PYTHON = {"split_patterns", "validate_all"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables are not here")
 
@@ -28,7 +27,7 @@ def check_shape(plan: str, name: str) -> None:
     assert "BroadcastNestedLoopJoin" not in plan
     assert "CollectLimit" not in plan
     python = re.findall(r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas)", plan)
-    assert bool(python) == (name in WITH_PYTHON)
+    assert not python
     # Scans read the columns of the query, never a whole wide table by accident.
     for schema in re.findall(r"lineitem.parquet.*?ReadSchema: struct<([^>]*)>", plan):
         assert schema.count(":") <= 4

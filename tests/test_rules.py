@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import rules as R
@@ -53,14 +54,23 @@ def test_backreference_is_not_combined(spark):
     assert ignored(spark, table, "z/aa", "z/ab") == {"z/aa": r"Matched pattern: (a)\1"}
 
 
-def test_many_patterns_as_a_table_give_the_same(spark, monkeypatch):
-    table = rules(spark, repos=["a/x"], patterns=["(broken", "^a/", "test$", "x{2,}", "Ä"])
-    repos = ["a/x", "a/y", "b/test", "c/axxb", "c/ä", "c/none"]
-    small = ignored(spark, table, *repos)
-    monkeypatch.setattr(R, "MAX_LITERAL_PATTERNS", 0)
-    assert ignored(spark, table, *repos) == small
-    assert small["c/ä"] == "Matched pattern: Ä"
-    assert "c/none" not in small
+@pytest.mark.parametrize("n", [49, 50, 51, 499, 501, 2000])
+def test_any_number_of_patterns_reads_them_alike(spark, n):
+    special = ["(broken", r"own/(?<x>repo)", r"^\p{L}+/ä$", "repo[a-z&&[a]]", r"(a)\1", "(?x) q q # (", "Ä", "(?<=o+)wn"]
+    table = rules(spark, repos=["a/x"], patterns=[f"^filler{i}/" for i in range(n - len(special))] + special)
+    repos = ["a/x", "own/repo", "ß/ä", "c/repoa", "d/aa", "e/qq", "f/ä1", "filler7/z", "g/none"]
+    assert ignored(spark, table, *repos) == {
+        "a/x": "Exact match in ignore list",
+        "own/repo": r"Matched pattern: own/(?<x>repo)",
+        "ß/ä": r"Matched pattern: ^\p{L}+/ä$",
+        "c/repoa": "Matched pattern: repo[a-z&&[a]]",
+        "d/aa": r"Matched pattern: (a)\1",
+        "e/qq": "Matched pattern: (?x) q q # (",
+        "f/ä1": "Matched pattern: Ä",
+        "filler7/z": "Matched pattern: ^filler7/",
+    }
+    plan = R.match_rules(items(spark, {"id": "a/x"}), table)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_allowed_is_the_rest(spark):
@@ -78,11 +88,12 @@ def test_split_patterns(spark):
     assert found["[invalid"]["error"]
 
 
-def test_portable_subset():
-    good = ["a{2}", "a{2,}", "[{]", r"\{", "(?:x)", "x|y", "[^a-z]+", r"\[a"]
-    bad = ["(?P<n>x)", "(?(1)a|b)", "a{", "x{,3}", "[[a]", "(", "*"]
-    assert [R._pattern_error(p) for p in good] == [None] * len(good)
-    assert all(R._pattern_error(p) for p in bad)
+def test_validity_is_what_the_matching_engine_accepts(spark):
+    good = ["a{2}", "a{2,}", "[{]", r"\{", "(?:x)", "x|y", "[^a-z]+", "(?<n>x)", "[[a]]", r"\p{L}", "(?<=a)b"]
+    bad = ["(?P<n>x)", "(?(1)a|b)", "a{", "[[a]", "(", "*", r"\N{DIGIT ONE}x)", None]
+    found = R.split_patterns(spark.createDataFrame([(p,) for p in good + bad], "value string")).collect()
+    assert {r["value"] for r in found if r["valid"]} == set(good)
+    assert all(r["error"] for r in found if not r["valid"])
 
 
 def test_rules_add_and_remove(spark):
