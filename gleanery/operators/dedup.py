@@ -13,8 +13,6 @@ from gleanery.functions.ranking import first_per_key, materialize
 
 REPO_REASON = "Multiple entries for repository: "
 URL_REASON = "Multiple entries with same URL: "
-# Notes of one group beyond this are left to ``group_notes``.
-MAX_NOTES_CHARS = 16_000_000
 
 
 def repo_key() -> Column:
@@ -70,9 +68,10 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
     """DUP-3 / AGG-9: one merged row per key.
 
     Scalars are picked by ordered aggregates, which combine before the shuffle.
-    Tags and topics of the groups with more than one row are exploded and
-    reduced to their distinct values first, so a hot key never becomes one array
-    of rows.
+    Tags and topics are exploded and reduced to their distinct values first, so a
+    hot key never becomes one array of rows; no join meets the rows of a key.
+    All notes of a group are joined, as the merged cell asks for; ``group_notes``
+    has them one per row.
     """
     columns = items.columns
     keyed = items.withColumn("_key", key).withColumn(
@@ -85,7 +84,7 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
     rank, noted = F.col("_rank"), has_text("notes")
     groups = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.coalesce(F.sum(F.when(noted, F.length("notes") + 2)), F.lit(0)).alias("_chars"),
+        F.collect_list(F.when(noted, F.struct(rank.alias("r"), F.col("notes").alias("v")))).alias("_notes"),
         F.min_by(F.struct(*columns), rank).alias("_p"),
         F.max("stars").alias("_stars"),
         F.max("pushed_at").alias("_pushed_at"),
@@ -93,8 +92,7 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
         F.min_by(F.struct("score", "confidence"), F.struct(-F.col("score"), rank)).alias("_scored"),
         first("license", has_text("license"), rank).alias("_license"),
     )
-    repeated = keyed.join(groups.filter("_n > 1").select("_key", "_chars"), "_key")
-    full = groups.join(_merged_lists(repeated), "_key", "left")
+    full = groups.join(_merged_lists(keyed), "_key", "left")
 
     many = F.col("_n") > 1
     empty = F.array().cast("array<string>")
@@ -105,7 +103,7 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
         "score": F.col("_scored.score"),
         "confidence": F.col("_scored.confidence"),
         "license": F.coalesce("_license", "_p.license"),
-        "notes": F.when(many & (F.size("_notes") > 0), F.array_join("_notes", "; ")).otherwise(F.col("_p.notes")),
+        "notes": F.when(many & (F.size("_notes") > 0), F.array_join(F.transform(F.array_sort("_notes"), lambda n: n["v"]), "; ")).otherwise(F.col("_p.notes")),
         "tags": F.when(many, F.coalesce("_tags", empty)).otherwise(F.col("_p.tags")),
         "topics": F.when(many, F.coalesce("_topics", empty)).otherwise(F.col("_p.topics")),
     }
@@ -113,35 +111,19 @@ def merge_duplicates(items: DataFrame, key: Column, *, tie: str = "id") -> DataF
 
 
 def _merged_lists(keyed: DataFrame) -> DataFrame:
-    """Per key: ordered distinct union of tags and of topics, and all notes in
-    rank order where their joined text fits a cell (``group_notes`` has the rest)."""
-
-    def entries(name: str, values: Column) -> Column:
-        return F.transform(
-            values,
-            lambda v, i: F.struct(F.lit(name).alias("list"), i.alias("i"), v.alias("value")),
-        )
-
-    notes = F.when(
-        has_text("notes") & (F.col("_chars") <= MAX_NOTES_CHARS), F.array("notes")
-    ).otherwise(F.array().cast("array<string>"))
-    values = keyed.select(
-        "_key",
-        "_rank",
-        F.explode(
-            F.concat(entries("tags", F.col("tags")), entries("topics", F.col("topics")), entries("notes", notes))
-        ).alias("e"),
-    ).select("_key", "_rank", "e.*")
-    # Equal tags collapse here; equal notes of different rows stay apart.
-    distinct = values.groupBy(
-        "_key", "list", "value", F.when(F.col("list") == "notes", F.col("_rank")).alias("_row")
-    ).agg(F.min(F.struct("_rank", "i")).alias("_at"))
+    """Per key: ordered distinct union of tags and of topics."""
+
+    def entries(name: str) -> Column:
+        return F.transform(name, lambda v, i: F.struct(F.lit(name).alias("list"), i.alias("i"), v.alias("value")))
+
+    values = keyed.select("_key", "_rank", F.explode(F.concat(entries("tags"), entries("topics"))).alias("e"))
+    distinct = values.groupBy("_key", "e.list", "e.value").agg(F.min(F.struct("_rank", "e.i")).alias("_at"))
 
     def gathered(name: str) -> Column:
         found = F.collect_list(F.when(F.col("list") == name, F.struct("_at", "value")))
         return F.transform(F.array_sort(found), lambda e: e["value"]).alias(f"_{name}")
 
-    return distinct.groupBy("_key").agg(gathered("tags"), gathered("topics"), gathered("notes"))
+    return distinct.groupBy("_key").agg(gathered("tags"), gathered("topics"))
 
 
 def clean_dataset(items: DataFrame, *, tie: str = "id") -> DataFrame:

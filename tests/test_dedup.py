@@ -61,14 +61,17 @@ def test_a_single_row_is_left_as_it_is(spark):
     assert (row["tags"], row["description"]) == (["a", "a"], "")
 
 
-def test_notes_beyond_a_cell_stay_whole_in_the_long_table(spark, monkeypatch):
-    base = items(
-        spark, {"id": "1", "repo": "r", "stars": 2, "notes": "abc"}, {"id": "2", "repo": "r", "stars": 1, "notes": "def"}
-    )
-    monkeypatch.setattr(D, "MAX_NOTES_CHARS", 5)
-    assert D.merge_duplicates(base, D.repo_key()).first()["notes"] == "abc"
+def test_long_notes_stay_whole(spark):
+    notes = [c * 6_000_000 for c in "abc"]
+    base = items(spark, *[{"id": str(i), "repo": "r", "stars": 9 - i, "notes": n} for i, n in enumerate(notes)])
+    assert D.merge_duplicates(base, D.repo_key()).first()["notes"] == "; ".join(notes)
     rows = D.group_notes(base, D.repo_key()).orderBy("rank").collect()
-    assert [r["notes"] for r in rows] == ["abc", "def"]
+    assert [r["notes"] for r in rows] == notes
+
+
+def test_the_rows_of_a_key_meet_no_join(spark):
+    plan = D.merge_duplicates(items(spark, {"id": "1"}), D.repo_key())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
 
 
 def test_clean_dataset_is_idempotent_and_order_free(spark):
