@@ -150,11 +150,22 @@ def short_name_of(full_name: str | Column) -> Column:
 
 
 def is_url(c: str | Column) -> Column:
-    return F.try_parse_url(strip(c), F.lit("PROTOCOL")).isNotNull()
+    """Whether a browser would read the text as a URL: behind the authority any character may stand, as browsers
+    encode it; Spark's parser is stricter there, so that part is replaced before the test."""
+    whole = strip(c)
+    start = F.regexp_extract(whole, r"^[^:/?#]*:(?://[^/?#\\]*)?", 0)
+    rest = F.regexp_replace(F.substring(whole, F.length(start) + 1, F.length(whole)), "[^A-Za-z0-9/]", "_")
+    return F.try_parse_url(F.concat(start, rest), F.lit("PROTOCOL")).isNotNull()
+
+
+def utf8_text(binary: str | Column) -> Column:
+    """Bytes as text; what is not UTF-8 becomes the replacement character."""
+    return F.make_valid_utf8(col(binary).cast("string"))
 
 
 def decode_base64(c: str | Column) -> Column:
-    return F.decode(F.try_to_binary(F.regexp_replace(col(c), r"\s", ""), F.lit("base64")), "UTF-8")
+    """The text behind base64, null if it is not base64."""
+    return utf8_text(F.try_to_binary(F.regexp_replace(col(c), r"\s", ""), F.lit("base64")))
 
 
 def _json_pair(c: str | Column) -> tuple[Column, Column]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -28,15 +27,9 @@ def top_k_per_key(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; a local one only in local mode."""
+    """The shared folder named by the session: the checkpoint folder, or else the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="gleanery-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -205,6 +206,8 @@ def missing_columns(state: DataFrame) -> list[str]:
 def validate_state(state: DataFrame) -> DataFrame:
     """VAL-8: (severity, check, message) rows for a stale table.
 
+    A missing column is a finding; the checks that do not read it go on.
+
     ``tags`` and ``topics`` may be arrays or JSON text; text has to parse.
     """
     spark = state.sparkSession
@@ -213,9 +216,7 @@ def validate_state(state: DataFrame) -> DataFrame:
     schema_findings = spark.createDataFrame(
         [("error", "columns", f"Missing required column: {c}") for c in absent], shape
     )
-    if absent:
-        return schema_findings
-    text_lists = [c for c in ("tags", "topics") if dict(state.dtypes)[c] == "string"]
+    text_lists = [c for c in ("tags", "topics") if dict(state.dtypes).get(c) == "string"]
 
     def finding(where: Column, check: str, message: Column) -> Column:
         return F.when(
@@ -223,34 +224,47 @@ def validate_state(state: DataFrame) -> DataFrame:
             F.struct(F.lit("error").alias("severity"), F.lit(check).alias("check"), message.alias("message")),
         )
 
-    negative = (F.col("stars") < 0) | (F.col("score") < 0) | (F.col("months_stale") < 0)
+    def with_columns(names: str, make) -> list[Column]:
+        """A check, if the columns that it reads are there."""
+        return [] if set(names.split()) & set(absent) else [make()]
+
+    item_id = _text("id") if "id" in state.columns else F.lit("unknown")
+    numbers = [F.coalesce(F.col(c) < 0, F.lit(False)) for c in ("stars", "score", "months_stale") if c not in absent]
     rows = state.select(
         F.explode(
             F.array_compact(
                 F.array(
+                    F.lit(None).cast("struct<severity:string,check:string,message:string>"),
                     *[
-                        finding(
-                            ~is_json(c), c,
-                            F.concat(F.lit(f"Invalid JSON in {c} for item "), _text("id")),
-                        )
+                        finding(~is_json(c), c, F.concat(F.lit(f"Invalid JSON in {c} for item "), item_id))
                         for c in text_lists
                     ],
-                    finding(
-                        ~(has_text("id") & has_text("name") & has_text("repo")), "required",
-                        F.concat(F.lit("Item missing required fields: "), F.coalesce(F.nullif("id", F.lit("")), F.lit("unknown"))),
+                    *with_columns(
+                        "id name repo",
+                        lambda: finding(
+                            ~(has_text("id") & has_text("name") & has_text("repo")), "required",
+                            F.concat(F.lit("Item missing required fields: "), F.coalesce(F.nullif("id", F.lit("")), F.lit("unknown"))),
+                        ),
                     ),
-                    finding(
-                        F.col("stale_detected_at").isNull(), "stale_detected_at",
-                        F.concat(F.lit("Item missing staleDetectedAt: "), _text("id")),
+                    *with_columns(
+                        "stale_detected_at",
+                        lambda: finding(
+                            F.col("stale_detected_at").isNull(), "stale_detected_at",
+                            F.concat(F.lit("Item missing staleDetectedAt: "), item_id),
+                        ),
                     ),
-                    finding(
-                        F.coalesce(F.col("months_stale") < 0, F.lit(True)), "months_stale",
-                        F.concat(F.lit("Item has invalid monthsStale: "), _text("id")),
+                    *with_columns(
+                        "months_stale",
+                        lambda: finding(
+                            F.coalesce(F.col("months_stale") < 0, F.lit(True)), "months_stale",
+                            F.concat(F.lit("Item has invalid monthsStale: "), item_id),
+                        ),
                     ),
                 )
             )
         ).alias("f")
     ).select("f.*")
+    negative = reduce(Column.__or__, numbers, F.lit(False))
     counted = (
         state.agg(F.count_if(negative).alias("n"))
         .filter("n > 0")
@@ -260,7 +274,7 @@ def validate_state(state: DataFrame) -> DataFrame:
             F.concat(F.lit("Found "), F.col("n"), F.lit(" items with negative numeric values")).alias("message"),
         )
     )
-    return rows.unionByName(counted)
+    return schema_findings.unionByName(rows).unionByName(counted)
 
 
 # ---- pages ------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery import schemas as S
-from gleanery.functions.columns import decode_base64, is_json, parsed_json
+from gleanery.functions.columns import decode_base64, is_json, parsed_json, utf8_text
 
 
 def _read(
@@ -102,7 +102,7 @@ def read_cache_entries(spark: SparkSession, path: str) -> DataFrame:
         .select(
             "path",
             "length",
-            F.decode("content", "UTF-8").alias("payload"),
+            utf8_text("content").alias("payload"),
         )
         .withColumn("_v", parsed_json("payload"))
     )

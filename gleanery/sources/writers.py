@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gleanery.operators.reports import catalog_order
 
-_LOG = "version string, committed_at timestamp"
+_LOG = "number long, version string, committed_at timestamp"
 
 
 def version_name(as_of: datetime) -> str:
@@ -31,17 +31,21 @@ def version_path(root: str, version: str) -> str:
     return f"{root.rstrip('/')}/v-{version}"
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The last committed version, or None."""
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        log = spark.read.schema(_LOG).json(_log_path(root))
-        return log.agg(F.max_by("version", "committed_at")).first()[0]
+        return spark.read.schema(_LOG).json(_log_path(root))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version committed last, whatever its date, or None."""
+    log = _commits(spark, root)
+    return None if log is None else log.agg(F.max_by("version", F.struct(F.coalesce("number", F.lit(0)), "committed_at"))).first()[0]
+
+
 def current_path(spark: SparkSession, root: str) -> str | None:
     version = current_version(spark, root)
     return None if version is None else version_path(root, version)
@@ -50,14 +54,18 @@ def current_path(spark: SparkSession, root: str) -> str | None:
 def write_version(
     df: DataFrame, root: str, as_of: datetime, *, partition_by: tuple[str, ...] = ()
 ) -> str:
-    """Write a new version and commit it; an uncommitted leftover is replaced."""
+    """Write a new version and commit it; an uncommitted leftover is replaced, a committed version never is."""
     spark = df.sparkSession
     version = version_name(as_of)
-    if version == current_version(spark, root):
-        raise ValueError(f"version {version} is already committed")
+    log, number = _commits(spark, root), 1
+    if log is not None:
+        known = log.agg(F.max("number"), F.count(F.lit(1)), F.count_if(F.col("version") == version)).first()
+        if known[2]:
+            raise ValueError(f"version {version} is already committed")
+        number = max(known[0] or 0, known[1]) + 1
     path = version_path(root, version)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    spark.createDataFrame([(version, as_of)], _LOG).coalesce(1).write.mode("append").json(_log_path(root))
+    spark.createDataFrame([(number, version, as_of)], _LOG).coalesce(1).write.mode("append").json(_log_path(root))
     return path
 
 

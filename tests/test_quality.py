@@ -110,9 +110,17 @@ def test_state(spark):
         "Item missing required fields: unknown", "Item missing staleDetectedAt: ", "Item has invalid monthsStale: ",
         "Found 2 items with negative numeric values",
     }
-    assert [r["message"] for r in Q.validate_state(bad.drop("months_stale", "tags")).collect()] == [
-        "Missing required column: tags", "Missing required column: months_stale",
-    ]
+    assert {r["message"] for r in Q.validate_state(bad.drop("months_stale", "tags")).collect()} == {
+        "Missing required column: tags", "Missing required column: months_stale", "Item missing required fields: unknown",
+        "Item missing staleDetectedAt: ", "Found 1 items with negative numeric values",
+    }
+
+
+def test_urls_are_read_as_browsers_read_them(spark):
+    good = ["https://x.example/a b", "https://x.example/ä|", " https://x.example ", "http://x.example?q={1}^#a#b", "https://x.example/%zz", "mailto:a@b.example"]
+    bad = ["x.example/a", "no url", "", "https://x example/a", "http//x"]
+    rows = spark.createDataFrame([(u,) for u in good + bad], "url string")
+    assert {r["url"] for r in rows.filter(Q.is_url("url")).collect()} == set(good)
 
 
 def test_state_with_lists_as_text(spark):

@@ -61,6 +61,16 @@ def test_landed_responses(spark, tmp_path):
     assert R.read_details(spark, put(tmp_path / "d", "d.json", {"full_name": "a/x", "topics": ["t"]})).first()["topics"] == ["t"]
 
 
+def test_bytes_that_are_not_utf8_become_the_replacement_character(spark, tmp_path):
+    bad = base64.b64encode(b"ok \xff\xc3 end").decode()
+    rows = R.read_readmes(spark, put(tmp_path / "m", "r.json", {"full_name": "a/x", "content": bad}, {"full_name": "a/y", "content": "/w=="}))
+    assert {r["full_name"]: r["text"] for r in rows.collect()} == {"a/x": "ok \ufffd\ufffd end", "a/y": "\ufffd"}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "k.json").write_bytes(b'{"timestamp": 5, "x": "\xff"}')
+    row = R.read_cache_entries(spark, str(tmp_path / "c")).first()
+    assert (row["ts_ms"], row["valid"]) == (5, True) and "\ufffd" in row["payload"]
+
+
 def test_cache_files(spark, tmp_path):
     folder = tmp_path / "cache"
     put(folder, "good.json", '{"data": {"x": 1}, "timestamp": 1700000000000}')
@@ -87,6 +97,13 @@ def test_versions(spark, tmp_path):
     assert [r["id"] for r in R.read_items(spark, path).collect()] == ["2", "1"]
     with pytest.raises(ValueError, match="already committed"):
         W.write_items(items(spark, {"id": "3"}), root, datetime(2026, 1, 2))
+    with pytest.raises(ValueError, match="already committed"):
+        W.write_items(items(spark, {"id": "3"}), root, datetime(2026, 1, 1))
+    # What is committed last is read, also with an earlier date.
+    other = str(tmp_path / "other")
+    W.write_items(items(spark, {"id": "1"}), other, datetime(2026, 1, 2))
+    W.write_items(items(spark, {"id": "2"}), other, datetime(2026, 1, 1))
+    assert W.current_path(spark, other).endswith("v-20260101T000000")
     # A version without a line in the log, as a lost job leaves it, is not current.
     items(spark, {"id": "x"}).write.parquet(W.version_path(root, "20260103T000000"))
     assert W.current_path(spark, root) == path
