@@ -4,11 +4,13 @@ Two permutations of the numbers below 2^32 give all coordinates of a signature:
 and coordinate k is the least value of the second over the scattered shingles, moved k places around the ring. Bands of
 four coordinates find candidates; a link counts only when the full shingle sets confirm it.
 
-Texts with one shingle set are one class, so copies never meet each other. Within a bucket of a band
+Texts with one shingle set are one class, so copies never meet each other.
 
-1. every class is compared with the bucket's smallest class only, and links join classes into components;
-2. where a bucket still holds several components, pairs across components whose signatures agree as much as similar
-   sets do (six standard deviations below the mean at the least similarity) are compared too, in blocks of bounded size.
+1. In each bucket of a band every class is compared with the bucket's smallest class only; confirmed links join classes
+   into components, and classes that share buckets, directly or over others, are a family.
+2. Where a family still holds several components, pairs across components are compared too, in blocks of bounded size:
+   on full sets, where the signatures agree as much as those of similar sets do (six standard deviations below the mean
+   at the least similarity). A block gives out only links that join components, so never more rows than it has.
 
 Pairs within one component need no comparison, so no link that matters to the components is left out except with the
 chance that banding misses a pair (below 1e-7 at similarity 0.8 with 32 bands of 4, far less above) or that the
@@ -35,7 +37,7 @@ from gleanery.llm.line_dedup import text_key
 from gleanery.llm.saving import saved
 
 BANDS, ROWS = 32, 4
-BLOCK = 1000  # classes of a bucket that are compared with each other in one step
+BLOCK, BLOCK_SHINGLES = 4000, 2_000_000  # classes, and their shingles, on each side of one step within a family
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,23 +156,63 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _agreeing(least: int):
-    """Pairs of one block whose signatures agree in ``least`` places and that are in different components."""
+class _Roots:
+    """Union-find over small numbers."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def of(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+
+def _joined(width: int, percent: int, least: int):
+    """Links that join components within one block of a family.
+
+    Pairs whose components are joined already need no comparison; the others are confirmed on full sets where the
+    signatures agree in ``least`` places. Only links that join something are given out, so no more than there are rows.
+    """
 
     def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
         keys, label = group.column("set_key").to_pylist(), group.column("label").to_pylist()
         parts = np.array(group.column("part").to_pylist())
-        first, second = int(group.column("one")[0].as_py()), int(group.column("two")[0].as_py())
+        one, two = int(group.column("one")[0].as_py()), int(group.column("two")[0].as_py())
         names = {x: i for i, x in enumerate(dict.fromkeys(label))}
         label = np.array([names[x] for x in label])
+        roots = _Roots(len(names))
         sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(keys), -1)
-        other = np.flatnonzero(parts == second)
+        row, found = shingles(*B.buffer_of(group.column("text")), width)
+        first = np.searchsorted(row, np.arange(len(keys) + 1))
+        size = np.diff(first)
+        other = np.flatnonzero(parts == two)
         a, b = [], []
-        for i in np.flatnonzero(parts == first).tolist():
-            js = other[(label[other] != label[i]) & ((other > i) if first == second else True)]
-            js = js[(sig[js] == sig[i]).sum(axis=1) >= least]
-            a += [min(keys[i], keys[j]) for j in js]
-            b += [max(keys[i], keys[j]) for j in js]
+        for i in np.flatnonzero(parts == one).tolist():
+            mine = found[first[i] : first[i + 1]]
+            js = other[label[other] != label[i]]
+            agree = (sig[js] == sig[i]).sum(axis=1)
+            js = js[agree >= least][np.argsort(-agree[agree >= least], kind="stable")]
+            js = js[100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i])]
+            while len(js):
+                home = roots.of(int(label[i]))
+                js = js[[roots.of(x) != home for x in label[js].tolist()]]
+                some, js = js[:64], js[64:]
+                if not len(some):
+                    break
+                theirs = np.concatenate([found[first[j] : first[j + 1]] for j in some])
+                at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+                ends = np.cumsum(size[some])
+                hits = np.concatenate([[0], np.cumsum(mine[at] == theirs)])
+                shared = hits[ends] - hits[ends - size[some]]
+                for j in some[100 * shared >= percent * (size[some] + size[i] - shared)].tolist():
+                    x, y = roots.of(int(label[i])), roots.of(int(label[j]))
+                    if x != y:
+                        roots.up[x] = y
+                        a.append(min(keys[i], keys[j]))
+                        b.append(max(keys[i], keys[j]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
@@ -179,7 +221,8 @@ def _agreeing(least: int):
 def _links(all_sets: DataFrame, docs: DataFrame, width: int, percent: int, text: str, bands: int, rows: int) -> DataFrame:
     """Confirmed links between classes, enough of them to join all classes that similarity joins."""
     classes = all_sets.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min("text_key").alias("text_key"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
+        F.min("text_key").alias("text_key"), F.first("bands").alias("bands"), F.first("sig").alias("sig"),
+        F.first("n_shingles").alias("n_shingles"),
     )
     banded = classes.select("set_key", F.explode("bands").alias("band"))
     hubs = banded.groupBy("band").agg(F.min("set_key").alias("hub"), F.count("*").alias("n")).where("n > 1")
@@ -191,22 +234,24 @@ def _links(all_sets: DataFrame, docs: DataFrame, width: int, percent: int, text:
     texts = saved(one_text.join(whole, "text_key").groupBy("set_key").agg(F.first("text").alias("text")))
     first = saved(confirm(star, texts, width, percent))
 
-    labels = components(first)
-    labelled = crowded.join(labels, crowded["set_key"] == labels["node"], "left").select(
-        "band", "set_key", F.coalesce("label", "set_key").alias("label")
+    families, labels = components(star), components(first)
+    families = families.select(F.col("node").alias("set_key"), F.col("label").alias("family"))
+    labels = labels.select(F.col("node").alias("set_key"), "label")
+    member = families.join(labels, "set_key", "left").join(classes.select("set_key", "sig", "n_shingles"), "set_key")
+    member = member.select("set_key", "family", F.coalesce("label", "set_key").alias("label"), "sig", "n_shingles")
+    mixed = member.groupBy("family").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.sum("n_shingles").alias("size")
     )
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     mixed = mixed.where((F.col("low") != F.col("high")) & (F.col("n") > 2))
-    mixed = mixed.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    left = labelled.join(mixed, "band").join(classes.select("set_key", "sig"), "set_key")
-    left = left.withColumn("part", F.pmod(F.hash("set_key"), F.col("parts")))
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int")
+    left = member.join(mixed.select("family", parts.alias("parts")), "family").join(texts, "set_key")
+    left = left.withColumn("part", F.pmod(F.xxhash64("set_key"), F.col("parts")).cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    left = left.select("band", "set_key", "label", "sig", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+    left = left.select("family", "set_key", "label", "sig", "text", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
     similarity, size = percent / 100, bands * rows
     least = int(size * similarity - 6 * (size * similarity * (1 - similarity)) ** 0.5)
-    rest = left.groupBy("band", "one", "two").applyInArrow(_agreeing(least), "a binary, b binary").distinct()
-    rest = saved(rest.join(star, ["a", "b"], "left_anti"))
-    return first.unionByName(confirm(rest, texts, width, percent))
+    rest = left.groupBy("family", "one", "two").applyInArrow(_joined(width, percent, least), "a binary, b binary")
+    return first.unionByName(rest)
 
 
 def near_duplicates(
