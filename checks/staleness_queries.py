@@ -206,16 +206,32 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return staleness.reconcile_statistics(stale, staleness.stale_statistics(prior))
 
 
+_PAGE_WARNINGS = r"""list_filter(CASE WHEN page_id % 2 = 1
+  THEN [CASE WHEN NOT contains(html, 'stale.html') THEN 'Link to stale.html not found in index.html' END]
+  ELSE [CASE WHEN NOT regexp_matches(html, '(?i)<title>.*Not Updated Recently.*</title>') THEN 'Title with "Not Updated Recently" not found in HTML' END,
+        CASE WHEN NOT regexp_matches(html, '(?i)These items have not been updated') THEN 'Warning message not found in HTML' END,
+        CASE WHEN NOT regexp_matches(html, '(?i)href="index\.html"') THEN 'Link back to main page not found in HTML' END,
+        CASE WHEN NOT regexp_matches(html, '(?i)<h2>.*THEMES.*</h2>') THEN 'Category headers not found in HTML' END,
+        CASE WHEN NOT (contains(html, 'stale items') OR contains(html, 'average')) THEN 'Statistics display not found in HTML' END,
+        CASE WHEN abs(o - c) > 10 THEN 'HTML tag mismatch: ' || o || ' open tags, ' || c || ' close tags' END,
+        CASE WHEN NOT contains(html, 'index.html') THEN 'Link to index.html not found in stale.html' END] END, lambda x: x IS NOT NULL)"""
+
+
 @query(
     "stale_validation",
     f"""{CTE} {_RECONCILED_SQL}
         UNION ALL SELECT 'warning', 'overlap', 'Item ' || id || ' is in both active and stale lists'
-        FROM incoming WHERE id IN (SELECT id FROM stale)""",
+        FROM incoming WHERE id IN (SELECT id FROM stale)
+        UNION ALL SELECT 'warning', 'page', unnest({_PAGE_WARNINGS}) FROM (SELECT *,
+          len(regexp_extract_all(html, '<[^/][^>]*>')) AS o, len(regexp_extract_all(html, '</[^>]*>')) AS c FROM pages)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with an even number stand for stale pages, the others for index pages."""
     now, incoming, prior = _now_and_before(spark, folder)
     stale = staleness.next_state(staleness.detect_staleness(incoming, prior, now, THRESHOLD))
-    return stale_validation(incoming, stale, staleness.stale_statistics(prior))
+    role = F.when(F.col("page_id") % 2 == 0, "stale").otherwise("index")
+    pages = S.table(spark, folder, "pages").select("page_id", "html", role.alias("role"))
+    return stale_validation(incoming, stale, staleness.stale_statistics(prior), pages)
 
 
 @query(

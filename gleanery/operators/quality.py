@@ -286,8 +286,9 @@ def page_lint(
     statistics_words: tuple[str, ...] = ("stale items", "average"),
     links: tuple[str, ...] = ("stale.html", "index.html"),
     max_tag_difference: int = 10,
+    name: str | None = None,
 ) -> DataFrame:
-    """VAL-10: flags and warnings per page.
+    """VAL-10: flags and warnings per page; ``name`` tells in the link warnings which page it is.
 
     Adds a boolean per pattern, ``statistics``, the tag counts, ``balanced``, one
     ``links_<n>`` flag per link and the ordered ``warnings``.
@@ -313,6 +314,27 @@ def page_lint(
                 F.col("close_tags"), F.lit(" close tags"),
             ),
         ),
-        *[F.when(~F.col(f"links_{i}"), F.lit(f"Link to {link} not found")) for i, link in enumerate(links)],
+        *[F.when(~F.col(f"links_{i}"), F.lit(f"Link to {link} not found" + (f" in {name}" if name else ""))) for i, link in enumerate(links)],
     ]
     return checked.withColumn("balanced", balanced).withColumn("warnings", F.array_compact(F.array(*warnings)))
+
+
+def site_findings(pages: DataFrame) -> DataFrame:
+    """VAL-10 by role: (severity, check, page_id, message) for pages with a ``role``, "stale" or "index".
+
+    Title, warning, headers, statistics, tags and the link back belong to the stale page, the link to it to the index
+    page; a role without a page is a finding of its own.
+    """
+    stale = page_lint(pages.filter("role = 'stale'"), links=("index.html",), name="stale.html")
+    index = pages.filter((F.col("role") == "index") & ~F.coalesce(F.contains("html", F.lit("stale.html")), F.lit(False)))
+    absent = pages.agg(F.count_if(F.col("role") == "stale").alias("stale"), F.count_if(F.col("role") == "index").alias("index"))
+
+    def missing(role: str, severity: str, message: str) -> DataFrame:
+        return absent.filter(F.col(role) == 0).select(F.lit(severity), F.lit("page"), F.lit(None).cast(kind), F.lit(message))
+
+    kind = pages.schema["page_id"].dataType
+    warning = F.lit("warning").alias("severity"), F.lit("page").alias("check"), F.col("page_id")
+    found = stale.select("page_id", F.explode("warnings").alias("message")).select(*warning, "message")
+    found = found.union(index.select(*warning, F.lit("Link to stale.html not found in index.html").alias("message")))
+    found = found.union(missing("stale", "error", "Stale HTML file not found: stale.html"))
+    return found.union(missing("index", "warning", "Main index file not found: index.html"))

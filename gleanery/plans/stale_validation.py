@@ -11,7 +11,7 @@ from gleanery.operators import quality, staleness
 def stale_validation(
     active: DataFrame, stale: DataFrame, stored_statistics: DataFrame, pages: DataFrame | None = None
 ) -> DataFrame:
-    """PIP-2: all findings as (severity, check, message)."""
+    """PIP-2: all findings as (severity, check, message); ``pages`` have a ``role``."""
     overlap = staleness.overlap_check(active, stale).select(
         F.lit("warning").alias("severity"), F.lit("overlap").alias("check"), "message"
     )
@@ -22,7 +22,4 @@ def stale_validation(
     )
     if pages is None:
         return found
-    linted = quality.page_lint(pages).select(F.explode("warnings").alias("message"))
-    return found.unionByName(
-        linted.select(F.lit("warning").alias("severity"), F.lit("page").alias("check"), "message")
-    )
+    return found.unionByName(quality.site_findings(pages).drop("page_id"))

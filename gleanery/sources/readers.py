@@ -36,7 +36,11 @@ def read_overrides(spark: SparkSession, path: str, *, fmt: str = "json", missing
 
 def read_rules(spark: SparkSession, path: str, *, missing_ok: bool = False) -> DataFrame:
     """SRC-3: ``{"repos": [...], "patterns": [...]}`` to the long rule table."""
-    files = _read(spark, path, S.RULE_FILE, "json", missing_ok)
+    return rules_from_files(_read(spark, path, S.RULE_FILE, "json", missing_ok))
+
+
+def rules_from_files(files: DataFrame) -> DataFrame:
+    """SRC-3, the parsing: rows of ``repos`` and ``patterns`` lists to the long rule table."""
 
     def entries(column: str, kind: str) -> DataFrame:
         return files.select(F.posexplode(column).alias("pos", "value")).select(
@@ -65,7 +69,11 @@ def read_search_specs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: landed result pages, one per line, to one row per hit."""
-    pages = spark.read.schema(S.PAGE).json(path)
+    return hits_from_pages(spark.read.schema(S.PAGE).json(path))
+
+
+def hits_from_pages(pages: DataFrame) -> DataFrame:
+    """SRC-5, the parsing."""
     return pages.select("query_pos", "page", F.posexplode("items").alias("hit_pos", "h")).select(
         "query_pos", "page", "hit_pos", "h.*"
     )
@@ -78,16 +86,23 @@ def read_details(spark: SparkSession, path: str) -> DataFrame:
 
 def read_readmes(spark: SparkSession, path: str) -> DataFrame:
     """SRC-7: base64 content to text; unreadable content is null."""
-    return spark.read.schema(S.README).json(path).select(
-        "full_name", decode_base64("content").alias("text")
-    )
+    return text_from_base64(spark.read.schema(S.README).json(path))
+
+
+def text_from_base64(readmes: DataFrame) -> DataFrame:
+    """SRC-7, the parsing."""
+    return readmes.select("full_name", decode_base64("content").alias("text"))
 
 
 def read_contents(spark: SparkSession, path: str) -> DataFrame:
     """SRC-8: landed directory listings to one row per entry."""
-    return spark.read.schema(S.LISTING).json(path).select("full_name", F.explode("entries").alias("e")).select(
-        "full_name", "e.path", "e.name", "e.type"
-    )
+    return entries_from_listings(spark.read.schema(S.LISTING).json(path))
+
+
+def entries_from_listings(listings: DataFrame) -> DataFrame:
+    """SRC-8, the parsing."""
+    entry = listings.select("full_name", F.explode("entries").alias("e"))
+    return entry.select("full_name", "e.path", "e.name", "e.type")
 
 
 def read_stale(spark: SparkSession, path: str, *, missing_ok: bool = True) -> DataFrame:
@@ -97,15 +112,12 @@ def read_stale(spark: SparkSession, path: str, *, missing_ok: bool = True) -> Da
 
 def read_cache_entries(spark: SparkSession, path: str) -> DataFrame:
     """SRC-10: cache files with size and timestamp; broken JSON stays as invalid."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-        .select(
-            "path",
-            "length",
-            utf8_text("content").alias("payload"),
-        )
-        .withColumn("_v", parsed_json("payload"))
-    )
+    return entries_from_files(spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path))
+
+
+def entries_from_files(files: DataFrame) -> DataFrame:
+    """SRC-10, the parsing: ``path``, ``length`` and ``content`` of cache files to cache entries."""
+    files = files.select("path", "length", utf8_text("content").alias("payload")).withColumn("_v", parsed_json("payload"))
     return files.select(
         F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("key"),
         "path",

@@ -159,5 +159,21 @@ def test_page_lint(spark):
     ]
 
 
+def test_a_right_pair_of_pages_has_no_finding(spark):
+    stale = (
+        "<html><head><title>Catalog - Not Updated Recently</title></head><body><h2>STALE THEMES</h2>"
+        '<p>These items have not been updated in over 12 months: 3 stale items</p><a href="index.html">x</a></body></html>'
+    )
+    rows = [(1, "stale", stale), (2, "index", '<a href="stale.html">x</a>')]
+    pages = spark.createDataFrame(rows, "page_id int, role string, html string")
+    assert Q.site_findings(pages).collect() == []
+    bad = spark.createDataFrame([(2, "index", None)], pages.schema)
+    assert {tuple(r) for r in Q.site_findings(bad).collect()} == {
+        ("warning", "page", 2, "Link to stale.html not found in index.html"),
+        ("error", "page", None, "Stale HTML file not found: stale.html"),
+    }
+    assert [r["message"] for r in Q.site_findings(pages.filter("page_id = 1")).collect()] == ["Main index file not found: index.html"]
+
+
 def test_item_builder_is_valid(spark):
     assert item()["repo"] == "owner/name"
