@@ -35,7 +35,34 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, folder, "documents")))
 
 
-@query("op9_quality_rules")
+def _rule_sql(r: quality_rules.Rule) -> str:
+    ratio = f"CASE WHEN {r.denominator} > 0 THEN 100.0 * {r.numerator} / {r.denominator} ELSE 0 END"
+    broken = [f"({ratio}) < {r.low}"] if r.low is not None else []
+    broken += [f"({ratio}) > {r.high}"] if r.high is not None else []
+    return f"CASE WHEN {' OR '.join(broken)} THEN '{r.name}' END"
+
+
+QUALITY_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+words AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS p FROM w),
+three AS (SELECT doc_id, p, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o AS g FROM words
+          WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+again AS (SELECT doc_id, p FROM three WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS i FROM again) GROUP BY doc_id),
+counts AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines, length(t) AS n_chars,
+    len(list_filter(w, lambda x: lower(x) IN {tuple(quality_rules.STOP_WORDS)})) AS n_stop_words,
+    length(regexp_replace(t, '[\x00-@\[-`{{-\x7f]+', '', 'g')) AS n_letters FROM w LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEATED} * n_words AS base_failed,
+    concat_ws(',', {', '.join(map(_rule_sql, quality_rules.RULES))}) AS failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed = '' AS kept, failed
+FROM judged"""
+
+
+@query("op9_quality_rules", QUALITY_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
@@ -102,11 +129,11 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 WINDOW_SQL = r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
            FROM documents),
-places AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM w),
-numbered AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(array_to_string(w[p:p+19], ' ')) ORDER BY doc_id, p) AS k
-             FROM places),
-gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM numbered WHERE k > 1),
 words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+windows AS (SELECT doc_id, i, string_agg(x, ' ') OVER o AS s, count(*) OVER o AS n FROM words
+            WINDOW o AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+later AS (SELECT doc_id, i FROM windows WHERE n = 20 QUALIFY row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
 kept AS (SELECT words.*, gone.i IS NOT NULL AS out FROM words LEFT JOIN gone USING (doc_id, i)),
 sums AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (out) AS n_removed,
                 string_agg(x, ' ' ORDER BY i) FILTER (NOT out) AS t FROM kept GROUP BY doc_id)
