@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import query
 from gleanery.operators import reports, staleness
 from gleanery.plans.stale_validation import stale_validation
+from gleanery.plans.update import stale_page
 from gleanery.sources import sample_tables as S
 
 THRESHOLD = 12
@@ -107,6 +110,23 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _state_columns(_stale(spark, folder))
 
 
+@query(
+    "stale_page",
+    f"""{CTE} SELECT 'state' AS part, id, stars FROM stale UNION ALL
+        SELECT 'active', id, stars FROM detected WHERE state IN ('active', 'reactivated') UNION ALL
+        SELECT 'directory', id, stars FROM stale WHERE NOT hidden UNION ALL
+        SELECT 'summary', 'total', count(*) FROM stale""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables that the stale page job writes, one below the other."""
+    now, incoming, prior = _now_and_before(spark, folder)
+    page = stale_page(incoming, prior, now, THRESHOLD)
+    parts = [(n, getattr(page, n).select("id", "stars")) for n in ("state", "active", "directory")]
+    parts.append(("summary", page.summary.select(F.lit("total").alias("id"), F.col("total").alias("stars"))))
+    frames = [f.select(F.lit(n).alias("part"), "id", "stars") for n, f in parts]
+    return reduce(DataFrame.union, frames)
+
+
 @query("state_upsert", STATE_SQL)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     now, incoming, prior = _now_and_before(spark, folder)

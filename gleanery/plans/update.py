@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,20 +160,35 @@ def save_update(
     writers.write_report(result.reports, report_root, as_of)
 
 
+class StalePage(NamedTuple):
+    """What the stale page job makes of a catalog and a stale state."""
+
+    state: DataFrame
+    active: DataFrame
+    directory: DataFrame
+    summary: DataFrame
+
+
+def stale_page(items: DataFrame, prior: DataFrame, as_of: datetime, threshold: int = staleness.STALE_THRESHOLD_MONTHS) -> StalePage:
+    """E2 without its sinks: detect, move stale items to the state, keep the rest, and report."""
+    detected = staleness.detect_staleness(items, prior, as_of, threshold)
+    state = staleness.next_state(detected)
+    directory = reports.category_order(reports.stale_rows(state))
+    return StalePage(state, staleness.active_items(detected), directory, staleness.stale_summary(detected))
+
+
 def stale_page_run(
     spark: SparkSession, catalog_root: str, state_root: str, report_root: str, backup_root: str, as_of: datetime
 ) -> DataFrame:
     """E2: take the stored catalog, move stale items to the state, keep the rest.
 
-    Returns the one-row summary.
+    Returns the one-row summary.  The readers see the versions that are current now, also after the writes.
     """
     items = readers.read_items(spark, writers.current_path(spark, catalog_root) or catalog_root)
-    stored = writers.current_path(spark, state_root)
-    prior = readers.read_stale(spark, stored or state_root)
-    detected = materialize(staleness.detect_staleness(items, prior, as_of))
-    state = staleness.next_state(detected)
+    prior = readers.read_stale(spark, writers.current_path(spark, state_root) or state_root)
+    page = stale_page(items, prior, as_of)
     writers.backup_state(spark, state_root, backup_root, as_of)
-    writers.write_stale(state, state_root, as_of)
-    writers.write_items(staleness.active_items(detected), catalog_root, as_of)
-    writers.write_report({"stale_directory": reports.category_order(reports.stale_rows(state))}, report_root, as_of)
-    return staleness.stale_summary(detected)
+    writers.write_stale(page.state, state_root, as_of)
+    writers.write_items(page.active, catalog_root, as_of)
+    writers.write_report({"stale_directory": page.directory}, report_root, as_of)
+    return page.summary
