@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gleanery.llm import bwt_dedup, line_dedup, minhash, pii, quality_classifier, quality_rules, queries, tiling
+from gleanery.llm import bwt_dedup, components, line_dedup, minhash, pii, quality_classifier, quality_rules, queries, tiling
 from gleanery.llm.bpe import Encoder
 from tests.llm import brute
 from tests.llm.conftest import SMALL
@@ -158,6 +158,15 @@ class TestClassifier:
         assert quality_classifier.score(docs.limit(0), model).collect() == []
 
 
+@pytest.mark.parametrize("small", [3, 100_000])
+def test_components_of_chains_stars_and_rings(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
+    links = [(i * 7 % 60, (i + 1) * 7 % 60) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(201, 200), (200, 200)]
+    got = {tuple(r) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    ring = {i * 7 % 60 for i in range(41)}
+    assert got == {(x, min(ring)) for x in ring} | {(x, 100) for x in range(100, 130)} | {(200, 200), (201, 200)}
+
+
 def test_stages_keep_all_columns_and_take_empty_tables(spark, docs):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     stages = [quality_rules.keep_good, line_dedup.clean_texts, minhash.keep_one, lambda d: tiling.keep_clean(d, items)]
