@@ -46,11 +46,14 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def letters(block: int, part: np.ndarray, columns: dict[str, np.ndarray], ordered: str) -> pa.Table:
-    """One row for each part with the packed columns that go there; ``part`` rises, as ``ordered`` does within a part."""
+def letters(block: int, part: np.ndarray, columns: dict[str, np.ndarray], ordered: str, kind: int | None = None) -> pa.Table:
+    """One row for each part with the packed columns that go there; ``part`` rises, as ``ordered`` does within a part.
+    ``kind`` marks the rows where a block sends more than one list."""
     edges = np.flatnonzero(np.diff(part, prepend=-1))
     ends = np.append(edges[1:], len(part))
     out = {"part": pa.array(part[edges].astype(np.int32)), "block": pa.array(np.full(len(edges), block, np.int32))}
+    if kind is not None:
+        out["kind"] = pa.array(np.full(len(edges), kind, np.int32))
     for name, values in columns.items():
         out[name] = pa.array([pack(values[a:b], name == ordered) for a, b in zip(edges, ends, strict=True)], pa.binary())
     return pa.table(out)
@@ -96,15 +99,15 @@ class Windows:
 
     ``at``: places of the windows that lie in one row. A window's anchor is the least hash of its grams of ``gram`` units,
     so equal windows have equal anchors; ``anchors`` are the hashes that some window picks, once for each place. ``key``:
-    two symbols of 32 bits, for the first and the second half of the window.
+    two symbols of 32 bits, for the first and the second half of the window. A run is a row of windows, each one unit
+    after the other, with one anchor; ``run`` numbers them, ``run_key`` stands for all units that a run covers.
     """
 
     def __init__(self, units: np.ndarray, first: np.ndarray, width: int, gram: int):
         n = len(units)
-        self.at = self.anchor = self.key = np.zeros(0, np.uint64)
-        self.anchors = np.zeros(0, np.uint64)
+        self.anchors = self.key = self.run_key = self.run_anchor = np.zeros(0, np.uint64)
+        self.at = self.run = np.zeros(0, np.int32)
         if n < width:
-            self.at = self.at.astype(np.int64)
             return
         up, down = (B._UP[:n], B._DOWN) if n <= len(B._UP) else (B._powers(B._BASE, n), B._powers(B._INVERSE, n))
         sums = np.zeros(n + 1, np.uint64)
@@ -122,20 +125,25 @@ class Windows:
         masked = np.where(whole, anchor, np.uint64(0))
         padded = np.concatenate([np.zeros(span - 1, np.uint64), masked, np.zeros(span - 1, np.uint64)])
         self.anchors = B.mix(grams[sliding(padded, span, np.maximum) == grams])
-        self.at = np.flatnonzero(whole)
-        self.anchor = anchor[self.at]
+        at = np.flatnonzero(whole)
+        if not len(at):
+            return
+        anchor = anchor[at]
         half = hashes(width // 2) >> np.uint64(32)
-        self.key = half[self.at] << np.uint64(32) | half[self.at + width // 2]
-
-    def live(self, live: np.ndarray) -> np.ndarray:
-        """Which windows have an anchor in ``live`` (sorted, as ``anchors`` are mixed)."""
-        if not len(self.at) or not len(live):
-            return np.zeros(len(self.at), bool)
-        new = np.ones(len(self.anchor), bool)
-        new[1:] = self.anchor[1:] != self.anchor[:-1]
-        keys = B.mix(self.anchor[new])
-        place = np.minimum(np.searchsorted(live, keys), len(live) - 1)
-        return (live[place] == keys)[np.cumsum(new) - 1]
+        self.key = half[at] << np.uint64(32) | half[at + width // 2]
+        new = np.ones(len(at), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
+        starts = np.flatnonzero(new)
+        begin, end = at[starts], at[np.append(starts[1:], len(at)) - 1] + width
+        self.run_key = B.mix(B.mix((sums[end] - sums[begin]) * down[begin]) + (end - begin).astype(np.uint64))
+        self.run_anchor = B.mix(anchor[starts])
+        self.at, self.run = at.astype(np.int32), (np.cumsum(new) - 1).astype(np.int32)
+
+    def live_runs(self, live: np.ndarray) -> np.ndarray:
+        """Which runs have an anchor in ``live`` (sorted)."""
+        if not len(live):
+            return np.zeros(len(self.run_anchor), bool)
+        return live[np.minimum(np.searchsorted(live, self.run_anchor), len(live) - 1)] == self.run_anchor
 
 
 def anchor_letters(block: int, pieces, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,10 +154,14 @@ def anchor_letters(block: int, pieces, parts: int) -> tuple[np.ndarray, np.ndarr
 
 
 def live_anchors(group: pa.Table) -> pa.Table:
-    """Answers of a part: which anchors are at two places or more in all blocks together."""
+    return live_numbers(group, 0)
+
+
+def live_numbers(group: pa.Table, kind: int) -> pa.Table:
+    """Answers of a part: which numbers are at two places or more in all blocks together."""
     keys = [unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
     more = [unpack(x, np.uint8).astype(bool) for x in group.column("more").to_pylist()]
     all_keys, count = np.unique(np.concatenate(keys), return_counts=True)
     live = count > 1
     live[np.searchsorted(all_keys, np.concatenate([k[m] for k, m in zip(keys, more, strict=True)]))] = True
-    return answers(group, [live[np.searchsorted(all_keys, k)] for k in keys], 0)
+    return answers(group, [live[np.searchsorted(all_keys, k)] for k in keys], kind)

@@ -3,8 +3,10 @@
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else too. Three steps, each over blocks of
 documents (``blocks``):
 
-1. Anchors. A string's anchor is the least hash of its short grams, so repeated strings share one. Strings whose anchor
-   is at one place only can't be repeated and go no further; this drops most suffixes and no repeat.
+1. Anchors and runs. A string's anchor is the least hash of its short grams, so repeated strings share one. Strings whose
+   anchor is at one place only can't be repeated and go no further. Where all that a run of neighbouring strings with one
+   anchor covers is at two places or more, as in copies, its strings are known to be repeated; only one of those places
+   takes part in what follows, so that others can meet it.
 2. Shards. Each block is a shard: it orders its remaining suffixes by their first ``length`` bytes, read as symbols of
    half that size (32-bit fingerprints), and sends each distinct one once to the part that owns its range.
 3. Merging. A part merges its shards two by two. The interleave of two shards starts as one interval and is refined
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from gleanery.llm import blocks as K
 from gleanery.llm import bytewords as B
-from gleanery.llm.minhash import row_slices
+from gleanery.llm.bytewords import row_slices
 
 PIECE = 1 << 19
 GRAM = 20
@@ -88,16 +90,61 @@ def _merged(group: pa.Table) -> pa.Table:
     return K.answers(group, [repeated[np.searchsorted(keys, k)] for k in own], 1)
 
 
-def _suffixes(column: pa.Array, length: int, gram: int, replies: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in the block's bytes) and keys of the suffixes whose anchors are repeated."""
-    anchors, part, _ = K.anchor_letters(0, (w for _, w in pieces(column, length, gram)), parts)
-    live = anchors[K.bits_of(replies, part, 0)]
-    places, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for base, w in pieces(column, length, gram):
-        mine = w.live(live)
-        places.append(w.at[mine] + base)
-        keys.append(w.key[mine])
-    return np.concatenate(places), np.concatenate(keys)
+def _told(group: pa.Table) -> pa.Table:
+    """Answers of a part on anchors (0: at two places or more) and runs (2: the same, 3: yours is the one that goes on)."""
+    kinds = group.column("kind").to_numpy()
+    some, runs = (group.filter(pa.array(kinds == k)) for k in (0, 2))
+    out = [K.live_numbers(some, 0)] if len(some) else []
+    if len(runs):
+        out.append(K.live_numbers(runs, 2))
+        own = [K.unpack(x, ordered=True) for x in runs.column("keys").to_pylist()]
+        all_keys = np.concatenate(own)
+        first = np.zeros(len(all_keys), bool)
+        first[np.unique(all_keys, return_index=True)[1]] = True
+        out.append(K.answers(runs, np.split(first, np.cumsum([len(k) for k in own])[:-1]), 3))
+    return pa.concat_tables(out)
+
+
+class _Shard:
+    """A block's suffixes; its texts are scanned once."""
+
+    def __init__(self, table: pa.Table, length: int, parts: int):
+        self.number, self.parts = table.column("block")[0].as_py(), parts
+        self.pieces = list(pieces(table.column("text"), length, GRAM))
+        self.anchors, self.anchor_part, self.anchor_more = K.anchor_letters(0, (w for _, w in self.pieces), parts)
+        runs = np.concatenate([np.zeros(0, np.uint64), *[w.run_key for _, w in self.pieces]])
+        self.runs, self.first_run, self.which_run, count = np.unique(runs, True, True, True)
+        self.run_part, self.run_more = K.part_of(self.runs, parts), count > 1
+
+    def asks(self) -> pa.Table:
+        anchors = K.letters(self.number, self.anchor_part, {"keys": self.anchors, "more": self.anchor_more}, "keys", 0)
+        runs = K.letters(self.number, self.run_part, {"keys": self.runs, "more": self.run_more}, "keys", 2)
+        return pa.concat_tables([anchors, runs])
+
+    def read(self, replies: pa.Table) -> None:
+        """``places``: where suffixes known to be repeated begin. ``keys``: distinct suffixes that take part, in order,
+        ``sure``: whether one is known to be repeated or is here twice. ``open``, ``which``: where the others begin, and
+        which of the keys they are."""
+        live = self.anchors[K.bits_of(replies, self.anchor_part, 0)]
+        repeated = K.bits_of(replies, self.run_part, 2)[self.which_run]
+        mine = np.zeros(len(repeated), bool)
+        mine[self.first_run] = K.bits_of(replies, self.run_part, 3)
+        at = 0
+        done, todo, keys, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+        for base, w in self.pieces:
+            n = len(w.run_key)
+            known, goes_on = repeated[at : at + n], w.live_runs(live) & (~repeated[at : at + n] | mine[at : at + n])
+            at += n
+            done.append(w.at[known[w.run]] + np.int64(base))
+            some = np.flatnonzero(goes_on[w.run])
+            todo.append(w.at[some] + np.int64(base))
+            keys.append(w.key[some])
+            sure.append(known[w.run[some]])
+        self.pieces = []
+        self.places, self.open, known = np.concatenate(done), np.concatenate(todo), np.concatenate(sure)
+        self.keys, self.which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        self.sure = count > 1
+        self.sure[self.which[known]] = True
 
 
 def drop_repeats(
@@ -114,22 +161,22 @@ def drop_repeats(
     parts = max(1, n // 4)
     kind = dealt.schema["doc_id"].dataType.simpleString()
 
-    def anchors(block: pa.Table) -> pa.Table:
-        keys, part, more = K.anchor_letters(0, (w for _, w in pieces(block.column("text"), length, GRAM)), parts)
-        return K.letters(block.column("block")[0].as_py(), part, {"keys": keys, "more": more}, "keys")
+    def asked(block: pa.Table) -> pa.Table:
+        return _Shard(block, length, parts).asks()
 
     def shard(block: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(block):
             return K.letters(0, np.zeros(0, np.int64), {"keys": np.zeros(0, np.uint64), "more": np.zeros(0, bool)}, "keys")
-        keys, count = np.unique(_suffixes(block.column("text"), length, GRAM, replies, parts)[1], return_counts=True)
-        return K.letters(block.column("block")[0].as_py(), K.part_of(keys, parts), {"keys": keys, "more": count > 1}, "keys")
+        s = _Shard(block, length, parts)
+        s.read(replies)
+        return K.letters(s.number, K.part_of(s.keys, parts), {"keys": s.keys, "more": s.sure}, "keys")
 
     def removed(block: pa.Table, replies: pa.Table) -> pa.Table:
-        column = block.column("text")
-        data, offsets = B.buffer_of(column)
-        places, keys = _suffixes(column, length, GRAM, replies, parts)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        hit = places[K.bits_of(replies, K.part_of(distinct, parts), 1)[inverse]]
+        data, offsets = B.buffer_of(block.column("text"))
+        s = _Shard(block, length, parts)
+        s.read(replies)
+        repeated = K.bits_of(replies, K.part_of(s.keys, parts), 1)
+        hit = np.unique(np.concatenate([s.places, s.open[repeated[s.which]]]))
         change = np.zeros(len(data) + 1, np.int32)
         np.add.at(change, hit, 1)
         np.add.at(change, hit + length, -1)
@@ -151,8 +198,9 @@ def drop_repeats(
 
     sent = "part int, block int, keys binary, more binary"
     by_block = dealt.groupBy("block")
-    live = by_block.applyInArrow(anchors, sent).groupBy("part").applyInArrow(K.live_anchors, K.ANSWER)
-    shards = by_block.cogroup(live.groupBy("block")).applyInArrow(shard, sent)
+    asks = by_block.applyInArrow(asked, "part int, block int, kind int, keys binary, more binary")
+    told = asks.groupBy("part").applyInArrow(_told, K.ANSWER)
+    shards = by_block.cogroup(told.groupBy("block")).applyInArrow(shard, sent)
     repeated = shards.groupBy("part").applyInArrow(_merged, K.ANSWER)
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ("" if digest else ", kept binary")
-    return by_block.cogroup(live.unionByName(repeated).groupBy("block")).applyInArrow(removed, schema)
+    return by_block.cogroup(told.unionByName(repeated).groupBy("block")).applyInArrow(removed, schema)

@@ -6,6 +6,7 @@ A null text is an empty text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,6 +59,15 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def row_slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``limit`` bytes each; a longer row is alone."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, to
+        at = to
+
+
 @dataclass
 class Words:
     """``start``/``end``: byte places in the buffer; ``first``: index of each row's first word, with one more at the end."""

@@ -89,15 +89,6 @@ def _band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return B.mix(out + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
-def row_slices(offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``limit`` bytes each; a longer row is alone."""
-    at, n = 0, len(offsets) - 1
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
-        yield at, to
-        at = to
-
-
 def sets(docs: DataFrame, width: int, text: str, id: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document its set's digest, size, band keys and the low bytes of its signature (null for an empty set)."""
     some = docs.select(F.col(id).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).cast("binary").alias("text"))
@@ -106,7 +97,7 @@ def sets(docs: DataFrame, width: int, text: str, id: str, bands: int = BANDS, ro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = B.buffer_of(batch.column(2))
-            for a, b in row_slices(offsets):
+            for a, b in B.row_slices(offsets):
                 row, found = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)
                 n = np.bincount(row, minlength=b - a)
                 full = np.flatnonzero(n)
@@ -147,7 +138,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = B.buffer_of(batch.column(2))
-            for a, b in row_slices(offsets):
+            for a, b in B.row_slices(offsets):
                 some = batch.slice(a, b - a)
                 shared, union = _overlap(some.column(2), some.column(3), width)
                 yield some.select(["a", "b"]).filter(pa.array(100 * shared >= percent * union))

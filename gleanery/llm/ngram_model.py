@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import blocks as K
 from gleanery.llm import bytewords as B
-from gleanery.llm.minhash import row_slices
+from gleanery.llm.bytewords import row_slices
 
 DISCOUNT = 0.75
 START, END = np.uint64(0x1D872B41C5A9F3E7), np.uint64(0xB5297A4D3F84D5B9)

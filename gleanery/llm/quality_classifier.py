@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import bytewords as B
-from gleanery.llm.minhash import row_slices
+from gleanery.llm.bytewords import row_slices
 
 SAMPLE = 8000  # the bound on labelled rows that are learned from
 TASKS = 8  # the tasks that read the sample

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 
 from gleanery.llm import blocks as K
 from gleanery.llm import bytewords as B
-from gleanery.llm.minhash import row_slices
+from gleanery.llm.bytewords import row_slices
 
 GRAM = 8
 GROUP = 200_000
@@ -58,8 +58,8 @@ class _Block:
         live = self.anchors[K.bits_of(replies, self.anchor_part, 0)]
         rows, places, keys, counts = [], [], [], []
         for base, w, words in self._pieces():
-            mine = w.live(live)
-            at = w.at[mine]
+            mine = w.live_runs(live)[w.run]
+            at = w.at[mine].astype(np.int64)
             row = np.searchsorted(words.first, at, side="right") - 1
             rows.append(row + base)
             places.append(at - words.first[row])
