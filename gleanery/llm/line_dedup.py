@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanery.llm.bytewords import buffer_of, row_slices
 from gleanery.llm.saving import saved
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -223,18 +224,23 @@ def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_lines, n_dropped, kept = [], [], []
-            for value, keys in zip(batch.column(1), batch.column(2), strict=True):
-                value, drop = value.as_py() or b"", set(keys.as_py() or ())
-                lines = value.split(b"\n")
-                left = lines
-                if drop:
-                    left = [x for x, k in zip(lines, line_keys(value), strict=True) if not k or key_digest(k) not in drop]
-                n_lines.append(len(lines))
-                n_dropped.append(len(lines) - len(left))
-                kept.append(b"\n".join(left) if len(left) < len(lines) else value)
-            columns = [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept"])
+            _, offsets = buffer_of(batch.column(1))
+            for at, to in row_slices(offsets, 4 << 20):
+                yield cut(batch.slice(at, to - at))
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n_lines, n_dropped, kept = [], [], []
+        for value, keys in zip(batch.column(1), batch.column(2), strict=True):
+            value, drop = value.as_py() or b"", set(keys.as_py() or ())
+            lines = value.split(b"\n")
+            left = lines
+            if drop:
+                left = [x for x, k in zip(lines, line_keys(value), strict=True) if not k or key_digest(k) not in drop]
+            n_lines.append(len(lines))
+            n_dropped.append(len(lines) - len(left))
+            kept.append(b"\n".join(left) if len(left) < len(lines) else value)
+        columns = [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept"])
 
     return some.mapInArrow(run, schema).withColumn("kept", F.col("kept").cast("string"))
 

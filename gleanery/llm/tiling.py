@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import bytewords as B
+from gleanery.llm.bytewords import row_slices
 
 SLICE_TOKENS = 2_000_000
 _BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -177,25 +178,29 @@ def contaminated(
 
     def search(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items: Slice = shared.value
             for batch in batches:
-                data, offsets = B.buffer_of(batch.column(1))
-                words = B.find_words(data, offsets, _BREAK)
-                hashes = B.word_hashes(data, words, fold=True)
-                rows, ids, counts = [], [], []
-                for row, k in sorted(items.pairs(hashes, words)):
-                    doc = hashes[words.first[row] : words.first[row + 1]]
-                    item = items.hashes[items.first[k] : items.first[k + 1]]
-                    tiles = tile(doc, item, min_match)
-                    covered = sum(t[2] for t in tiles)
-                    if covered >= threshold * len(item):
-                        rows.append(row)
-                        ids.append(items.ids[k])
-                        counts.append((len(tiles), covered, len(item)))
-                columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, kind)]
-                columns += [pa.array([c[j] for c in counts], pa.int32()) for j in range(3)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_tiles", "covered", "item_tokens"])
+                _, offsets = B.buffer_of(batch.column(1))
+                for at, to in row_slices(offsets):
+                    yield from found(shared.value, batch.slice(at, to - at))
+
+        def found(items: Slice, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            data, offsets = B.buffer_of(batch.column(1))
+            words = B.find_words(data, offsets, _BREAK)
+            hashes = B.word_hashes(data, words, fold=True)
+            rows, ids, counts = [], [], []
+            for row, k in sorted(items.pairs(hashes, words)):
+                doc = hashes[words.first[row] : words.first[row + 1]]
+                item = items.hashes[items.first[k] : items.first[k + 1]]
+                tiles = tile(doc, item, min_match)
+                covered = sum(t[2] for t in tiles)
+                if covered >= threshold * len(item):
+                    rows.append(row)
+                    ids.append(items.ids[k])
+                    counts.append((len(tiles), covered, len(item)))
+            columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, kind)]
+            columns += [pa.array([c[j] for c in counts], pa.int32()) for j in range(3)]
+            if rows:
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_tiles", "covered", "item_tokens"])
 
         return run
 
