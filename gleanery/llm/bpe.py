@@ -19,6 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -28,9 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.llm.bytewords import buffer_of, row_slices
+
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_INNER_BLANK = re.compile(r"\s (?!\S)")
 NEVER = 1 << 60
-MOST_WORDS, MOST_ARCS = 300_000, 400_000  # entries kept in memory; beyond that they are found anew
+MOST_WORDS, MOST_ARCS = 250_000, 300_000  # entries kept in memory; beyond that they are found anew
 
 
 def _byte_letters() -> dict[str, int]:
@@ -59,8 +65,7 @@ class TokenAutomaton:
         self.edges: tuple[dict, dict] = ({}, {})
         for place, pair in enumerate(spec["model"]["merges"]):
             self._gadget(place, *(pair.split(" ") if isinstance(pair, str) else pair), ids)
-        self.trie: dict[int, int] = {}
-        self.token_at: dict[int, int] = {}
+        self.trie: dict[int, tuple[dict | None, int]] = {}
         self.shorter: dict[int, int] = {}  # the longest token that a token begins with, -1 if none
         self._trie(list(ids.values()))
         self.size = {i: len(label) for i, label in self.labels.items()}
@@ -79,22 +84,22 @@ class TokenAutomaton:
         if w not in self.parts:
             self.parts[w], self.rank[w] = (u, v), rank
 
-    def _trie(self, tokens) -> None:
-        nodes = 1
+    def _trie(self, tokens: list[int]) -> None:
+        """``trie``: for each byte the table of what follows and the token that ends there (-1: none)."""
         for t in tokens:
-            node = 0
-            for b in self.labels[t]:
-                key = node << 8 | b
-                if (after := self.trie.get(key)) is None:
-                    after = self.trie[key] = nodes
-                    nodes += 1
-                node = after
-            self.token_at[node] = t
+            table, label = self.trie, self.labels[t]
+            for b in label[:-1]:
+                after = table.get(b)
+                if after is None or after[0] is None:
+                    after = table[b] = ({}, after[1] if after else -1)
+                table = after[0]
+            table[label[-1]] = (table.get(label[-1], (None, -1))[0], t)
         for t in tokens:
-            node, self.shorter[t] = 0, -1
+            table, self.shorter[t] = self.trie, -1
             for b in self.labels[t][:-1]:
-                node = self.trie[node << 8 | b]
-                self.shorter[t] = self.token_at.get(node, self.shorter[t])
+                table, found = table[b]
+                if found >= 0:
+                    self.shorter[t] = found
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """What shows at an edge (0: left, 1: right) of a token, and until which rank."""
@@ -125,14 +130,16 @@ class TokenAutomaton:
 
     def _first(self, word: bytes, s: int) -> int:
         """The longest token at a place."""
-        trie, token_at, node, found = self.trie, self.token_at, 0, -1
+        table, found = self.trie, -1
         for b in word[s : s + self.longest]:
-            node = trie.get(node << 8 | b)
-            if node is None:
-                break
-            t = token_at.get(node)
-            if t is not None:
+            after = table.get(b)
+            if after is None:
+                return found
+            table, t = after
+            if t >= 0:
                 found = t
+            if table is None:
+                return found
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -182,6 +189,13 @@ class TokenAutomaton:
         return self.flat[shift + np.arange(ends[-1])].tobytes()
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class _Known(dict):
     """Strings seen, encoded as little-endian 32-bit ids; forgets all when full."""
 
@@ -200,15 +214,20 @@ class _Known(dict):
 class Encoder:
     def __init__(self, vocabulary: bytes):
         self.automaton = a = TokenAutomaton(vocabulary)
-        self.word = lambda w: np.array(a.encode_word(w.encode()), "<u4").tobytes()
+        self.word = lambda w: _as_bytes(a.encode_word(w.encode()))
         self.any_word = _Known(self.word)
-        self.after_blank = _Known(lambda part: b"".join(map(self.word, a.split.findall(" " + part))))
+        self.after_blank = _Known(self._after_blank)
+
+    def _after_blank(self, part: str) -> bytes:
+        words = self.automaton.split.findall(" " + part)
+        return self.word(words[0]) if len(words) == 1 else b"".join(map(self.any_word.__getitem__, words))
 
     def _plain(self, text: str) -> Iterator[bytes]:
-        """The pre-split never puts a blank behind something else than white space, so where no two blanks meet, the
-        parts between blanks are split on their own, each with the blank before it."""
+        """A blank is where the pre-split may be cut unless white space is on both sides of it, or before it at the
+        text's end: a run of white space stays whole but for its last character. So other texts are split on their
+        own between blanks, each part with the blank before it."""
         split = self.automaton.split
-        if "  " not in text and not text.endswith(" "):
+        if not _INNER_BLANK.search(text):
             parts = text.split(" ")
             yield from map(self.word, split.findall(parts[0]))
             yield b"".join(map(self.after_blank.__getitem__, parts[1:]))
@@ -257,22 +276,26 @@ def bpe(docs: DataFrame, vocabulary: str, texts: bool = True, text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value)
         for batch in batches:
-            counts, id_sums, text_sums, all_ids, decoded = [], [], [], [], []
-            for value in batch.column(1):
-                ids = enc.encode(value.as_py() or "")
-                back = enc.automaton.decode(np.frombuffer(ids, "<u4")).decode("utf-8", "replace")
-                counts.append(len(ids) // 4)
-                id_sums.append(hashlib.sha256(ids).hexdigest())
-                text_sums.append(hashlib.sha256(back.encode()).hexdigest())
-                if texts:
-                    all_ids.append(ids)
-                    decoded.append(back)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
+            _, offsets = buffer_of(batch.column(1))
+            for at, to in row_slices(offsets):
+                yield made(enc, batch.slice(at, to - at))
+
+    def made(enc: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, id_sums, text_sums, all_ids, decoded = [], [], [], [], []
+        for value in batch.column(1):
+            ids = enc.encode(value.as_py() or "")
+            back = enc.automaton.decode(np.frombuffer(ids, "<u4")).decode("utf-8", "replace")
+            counts.append(len(ids) // 4)
+            id_sums.append(hashlib.sha256(ids).hexdigest())
+            text_sums.append(hashlib.sha256(back.encode()).hexdigest())
             if texts:
-                flat = np.frombuffer(b"".join(all_ids), "<u4").astype(np.int32)
-                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids", "decoded"][: len(columns)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                all_ids.append(ids)
+                decoded.append(back)
+        columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
+        if texts:
+            flat = np.frombuffer(b"".join(all_ids), "<u4").astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(decoded, pa.string())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids", "decoded"][: len(columns)])
 
     return some.mapInArrow(run, schema)
