@@ -84,6 +84,13 @@ def bits_of(replies: pa.Table, part: np.ndarray, kind: int) -> np.ndarray:
     return out
 
 
+def paired(keys: np.ndarray, rests: np.ndarray) -> np.ndarray:
+    """One number for each key and rest: the key's rank among those given, then the rest. It is equal for equal pairs only,
+    and in the order of the pairs."""
+    rank = np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+    return rank << np.uint64(32) | rests
+
+
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over each run of ``width`` values, by doubling."""
     out, have = values, 1
@@ -98,15 +105,17 @@ class Windows:
     """The windows of ``width`` units (bytes or words) in one piece of rows.
 
     ``at``: places of the windows that lie in one row. A window's anchor is the least hash of its grams of ``gram`` units,
-    so equal windows have equal anchors; ``anchors`` are the hashes that some window picks, once for each place. ``key``:
-    two symbols of 32 bits, for the first and the second half of the window. A run is a row of windows, each one unit
-    after the other, with one anchor; ``run`` numbers them, ``run_key`` stands for all units that a run covers.
+    so equal windows have equal anchors; ``anchors`` are the hashes that some window picks, once for each place. ``key`` and
+    ``rest``: 32 bits of a hash of the window's first half, then 64 bits of a hash of the whole window (32 of them in
+    ``rest``). A run is a row of windows, each one unit after the other, with one anchor; ``run`` numbers them,
+    ``run_key`` stands for all units that a run covers.
     """
 
     def __init__(self, units: np.ndarray, first: np.ndarray, width: int, gram: int):
         n = len(units)
         self.anchors = self.key = self.run_key = self.run_anchor = np.zeros(0, np.uint64)
         self.at = self.run = np.zeros(0, np.int32)
+        self.rest = np.zeros(0, np.uint32)
         if n < width:
             return
         up, down = (B._UP[:n], B._DOWN) if n <= len(B._UP) else (B._powers(B._BASE, n), B._powers(B._INVERSE, n))
@@ -129,8 +138,11 @@ class Windows:
         if not len(at):
             return
         anchor = anchor[at]
-        half = hashes(width // 2) >> np.uint64(32)
-        self.key = half[at] << np.uint64(32) | half[at + width // 2]
+        half = hashes(width // 2)
+        head = half[at]
+        whole = B.mix(head + B.mix(half[at + width // 2]))
+        self.key = head >> np.uint64(32) << np.uint64(32) | whole >> np.uint64(32)
+        self.rest = whole.astype(np.uint32)
         new = np.ones(len(at), bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1)
         starts = np.flatnonzero(new)

@@ -7,14 +7,17 @@ documents (``blocks``):
    anchor is at one place only can't be repeated and go no further. Where all that a run of neighbouring strings with one
    anchor covers is at two places or more, as in copies, its strings are known to be repeated; only one of those places
    takes part in what follows, so that others can meet it.
-2. Shards. Each block is a shard: it orders its remaining suffixes by their first ``length`` bytes, read as symbols of
-   half that size (32-bit fingerprints), and sends each distinct one once to the part that owns its range.
+2. Shards. Each block is a shard: it orders its remaining suffixes by their first ``length`` bytes, read as two
+   fingerprints (32 bits of the first half, 64 bits of all), and sends each distinct one once to the part that owns its range.
 3. Merging. A part merges its shards two by two. The interleave of two shards starts as one interval and is refined
    symbol by symbol: an interval of equal prefixes splits where the next symbols differ, which moves neither shard's
-   own order. Suffixes that share an interval after the last symbol have a common prefix of ``length`` bytes.
+   own order. Suffixes that share an interval after the last symbol have a common prefix of ``length`` bytes. A part
+   reads them as two symbols: the rank of the first 64 bits among all that it holds, and the last 32 bits.
 
 The symbols are kept with the suffixes, as steps back through a transform would lead out of the part. Two different
-strings with equal fingerprints would count as repeated: for n suffixes about n^2 / 2^65 such pairs are expected.
+strings with equal fingerprints would count as repeated. Of pairs that share their first half, and are told apart
+by the other fingerprint alone, p give about p / 2^64 wrong matches. Runs are known by one fingerprint of 64 bits: r
+different ones give about r^2 / 2^65 wrong matches.
 
 Each row is a document; repeated rows are repeats of each other. A null text is an empty text. Ids may be null or repeat.
 Other columns are not looked at. Long texts are read whole, in overlapping pieces.
@@ -51,7 +54,7 @@ def pieces(column: pa.Array, length: int, gram: int) -> Iterator[tuple[int, K.Wi
 
 
 def merge(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two sorted lists of distinct suffixes (keys of two symbols, and whether each is repeated) become one.
+    """Two sorted lists of distinct suffixes (keys of two symbols of 32 bits, and whether each is repeated) become one.
 
     ``level`` numbers the intervals of suffixes that agree so far; each round refines it by one more symbol.
     """
@@ -81,7 +84,9 @@ def merge(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]
 
 def _merged(group: pa.Table) -> pa.Table:
     """Answers of a part: which suffixes are repeated in all shards together."""
-    own = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
+    first = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
+    rest = [K.unpack(x, np.uint32) for x in group.column("rest").to_pylist()]
+    own = np.split(K.paired(np.concatenate(first), np.concatenate(rest)), np.cumsum([len(k) for k in first])[:-1])
     more = [K.unpack(x, np.uint8).astype(bool) for x in group.column("more").to_pylist()]
     todo = list(zip(own, more, strict=True))
     while len(todo) > 1:
@@ -122,15 +127,16 @@ class _Shard:
         return pa.concat_tables([anchors, runs])
 
     def read(self, replies: pa.Table) -> None:
-        """``places``: where suffixes known to be repeated begin. ``keys``: distinct suffixes that take part, in order,
-        ``sure``: whether one is known to be repeated or is here twice. ``open``, ``which``: where the others begin, and
-        which of the keys they are."""
+        """``places``: where suffixes known to be repeated begin. ``keys``, ``rests``: distinct suffixes that take
+        part, in order, ``sure``: whether one is known to be repeated or is here twice. ``open``, ``which``: where the
+        others begin, and which of the keys they are."""
         live = self.anchors[K.bits_of(replies, self.anchor_part, 0)]
         repeated = K.bits_of(replies, self.run_part, 2)[self.which_run]
         mine = np.zeros(len(repeated), bool)
         mine[self.first_run] = K.bits_of(replies, self.run_part, 3)
         at = 0
-        done, todo, keys, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+        done, todo, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        keys, rests = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         for base, w in self.pieces:
             n = len(w.run_key)
             known, goes_on = repeated[at : at + n], w.live_runs(live) & (~repeated[at : at + n] | mine[at : at + n])
@@ -139,10 +145,13 @@ class _Shard:
             some = np.flatnonzero(goes_on[w.run])
             todo.append(w.at[some] + np.int64(base))
             keys.append(w.key[some])
+            rests.append(w.rest[some])
             sure.append(known[w.run[some]])
         self.pieces = []
         self.places, self.open, known = np.concatenate(done), np.concatenate(todo), np.concatenate(sure)
-        self.keys, self.which, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        all_keys, all_rests = np.concatenate(keys), np.concatenate(rests)
+        _, at, self.which, count = np.unique(K.paired(all_keys, all_rests), True, True, True)
+        self.keys, self.rests = all_keys[at], all_rests[at]
         self.sure = count > 1
         self.sure[self.which[known]] = True
 
@@ -166,10 +175,11 @@ def drop_repeats(
 
     def shard(block: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(block):
-            return K.letters(0, np.zeros(0, np.int64), {"keys": np.zeros(0, np.uint64), "more": np.zeros(0, bool)}, "keys")
+            none = {"keys": np.zeros(0, np.uint64), "rest": np.zeros(0, np.uint32), "more": np.zeros(0, bool)}
+            return K.letters(0, np.zeros(0, np.int64), none, "keys")
         s = _Shard(block, length, parts)
         s.read(replies)
-        return K.letters(s.number, K.part_of(s.keys, parts), {"keys": s.keys, "more": s.sure}, "keys")
+        return K.letters(s.number, K.part_of(s.keys, parts), {"keys": s.keys, "rest": s.rests, "more": s.sure}, "keys")
 
     def removed(block: pa.Table, replies: pa.Table) -> pa.Table:
         data, offsets = B.buffer_of(block.column("text"))
@@ -196,7 +206,7 @@ def drop_repeats(
         }
         return pa.table(out if digest else out | {"kept": pa.array(kept, pa.binary())})
 
-    sent = "part int, block int, keys binary, more binary"
+    sent = "part int, block int, keys binary, rest binary, more binary"
     by_block = dealt.groupBy("block")
     asks = by_block.applyInArrow(asked, "part int, block int, kind int, keys binary, more binary")
     told = asks.groupBy("part").applyInArrow(_told, K.ANSWER)

@@ -5,14 +5,15 @@ same one at an earlier word. The steps run over blocks of documents (``blocks``)
 
 1. Anchors. A window's anchor is the least hash of its grams, so equal windows have equal anchors; windows whose anchor
    is at one place only can't be repeated and go no further.
-2. Prefixes. Suffixes are read as two symbols of ``width / 2`` words (32-bit fingerprints). Blocks send how many distinct
-   suffixes begin with each first symbol. A prefix with more than ``GROUP`` suffixes in all is made longer: its suffixes
+2. Prefixes. Suffixes are read as two fingerprints: 32 bits of the first ``width / 2`` words, 64 bits of all words. Blocks
+   send how many distinct suffixes begin with each first symbol. A prefix with more than ``GROUP`` suffixes in all is made longer: its suffixes
    are dealt by both symbols, those of other prefixes by the first one.
 3. Trees. Each block sends its distinct suffixes, each with its earliest place, to the part of their prefix. A part builds
    the subtrees of its prefixes: suffixes in order, inner nodes where neighbours share symbols. A node with all symbols in
    common is a repeat; its earliest place stays, and the blocks learn for each suffix sent whether that is theirs.
 
-Two different windows with equal fingerprints would count as one: for n suffixes about n^2 / 2^65 pairs are expected.
+Two different windows with equal fingerprints would count as one. Of pairs that share their first half, and are told
+apart by the other fingerprint alone, p give about p / 2^64 wrong matches.
 
 Each row is a document. Rows with one id are read as one document, so only an earlier word counts between them; rows
 without id are read as one document that comes last. A null text has no words. Other columns are not looked at. ``id`` is
@@ -56,7 +57,7 @@ class _Block:
     def read(self, replies: pa.Table) -> None:
         """Keeps row, word and key of each window with a live anchor, and the distinct keys with their earliest place."""
         live = self.anchors[K.bits_of(replies, self.anchor_part, 0)]
-        rows, places, keys, counts = [], [], [], []
+        rows, places, keys, rests, counts = [], [], [], [], []
         for base, w, words in self._pieces():
             mine = w.live_runs(live)[w.run]
             at = w.at[mine].astype(np.int64)
@@ -64,18 +65,20 @@ class _Block:
             rows.append(row + base)
             places.append(at - words.first[row])
             keys.append(w.key[mine])
+            rests.append(w.rest[mine])
             counts.append(np.diff(words.first))
         none = np.zeros(0, np.int64)
         self.row, self.place = np.concatenate([none, *rows]), np.concatenate([none, *places])
         self.n_words = np.concatenate([none, *counts])
         ids = self.table.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
         self.doc = ids[self.row]
-        all_keys = np.concatenate([np.zeros(0, np.uint64), *keys])
-        order = np.lexsort((self.place, self.doc, all_keys))
+        all_keys, all_rests = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.uint64, keys), (np.uint32, rests)))
+        pair = K.paired(all_keys, all_rests)
+        order = np.lexsort((self.place, self.doc, pair))
         new = np.ones(len(order), bool)
-        new[1:] = all_keys[order][1:] != all_keys[order][:-1]
+        new[1:] = pair[order][1:] != pair[order][:-1]
         first = order[new]
-        self.keys, self.first_doc, self.first_place = all_keys[first], self.doc[first], self.place[first]
+        self.keys, self.rests, self.first_doc, self.first_place = all_keys[first], all_rests[first], self.doc[first], self.place[first]
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
 
@@ -117,9 +120,10 @@ def subtree(keys: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.nd
 def _earliest(group: pa.Table) -> pa.Table:
     """Answers of a part: which suffixes were sent with the earliest place of their node."""
     own = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
+    rest = [K.unpack(x, np.uint32) for x in group.column("rest").to_pylist()]
     doc = np.concatenate([K.unpack(x, np.int64) for x in group.column("doc").to_pylist()])
     place = np.concatenate([K.unpack(x, np.int64) for x in group.column("place").to_pylist()])
-    order, shared = subtree(np.concatenate(own), doc, place)
+    order, shared = subtree(K.paired(np.concatenate(own), np.concatenate(rest)), doc, place)
     node = np.cumsum(shared < 2) - 1  # the deep node, or the single leaf, that a leaf belongs to
     head = order[np.flatnonzero(shared < 2)[node]]
     first = np.zeros(len(order), bool)
@@ -155,11 +159,12 @@ def drop_repeats(
     def suffixes(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table):
             none = np.zeros(0, np.int64)
-            return K.letters(0, none, {"keys": no_keys, "doc": none, "place": none}, "keys")
+            return K.letters(0, none, {"keys": no_keys, "rest": np.zeros(0, np.uint32), "doc": none, "place": none}, "keys")
         b = _Block(table, width, parts)
         b.read(replies)
         order, part = b.dealt(replies)
-        return K.letters(b.number, part, {"keys": b.keys[order], "doc": b.first_doc[order], "place": b.first_place[order]}, "keys")
+        columns = {"keys": b.keys, "rest": b.rests, "doc": b.first_doc, "place": b.first_place}
+        return K.letters(b.number, part, {k: x[order] for k, x in columns.items()}, "keys")
 
     def removed(table: pa.Table, replies: pa.Table) -> pa.Table:
         b = _Block(table, width, parts)
@@ -192,7 +197,7 @@ def drop_repeats(
     counted = by_block.cogroup(live.groupBy("block")).applyInArrow(prefixes, sent + "n binary")
     long = counted.groupBy("part").applyInArrow(_crowded, K.ANSWER)
     told = live.unionByName(long)
-    leaves = by_block.cogroup(told.groupBy("block")).applyInArrow(suffixes, sent + "doc binary, place binary")
+    leaves = by_block.cogroup(told.groupBy("block")).applyInArrow(suffixes, sent + "rest binary, doc binary, place binary")
     first = leaves.groupBy("part").applyInArrow(_earliest, K.ANSWER)
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ("" if digest else ", kept string")
     return by_block.cogroup(told.unionByName(first).groupBy("block")).applyInArrow(removed, schema)
