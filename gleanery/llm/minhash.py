@@ -245,6 +245,16 @@ def _links(all_sets: DataFrame, docs: DataFrame, width: int, percent: int, text:
     return first.unionByName(rest)
 
 
+def _members(docs: DataFrame, width: int, percent: int, text: str, id: str, bands: int, rows: int) -> DataFrame:
+    """Per document ``doc_id``, ``text_key``, ``n_shingles`` and its component's ``label``, null without a word."""
+    all_sets = saved(sets(docs, width, text, id, bands, rows))
+    labels = components(_links(all_sets, docs, width, percent, text, bands, rows))
+    members = all_sets.select("doc_id", "text_key", "set_key", "n_shingles")
+    return members.join(labels, members["set_key"] == labels["node"], "left").select(
+        "doc_id", "text_key", "n_shingles", F.coalesce("label", "set_key").alias("label")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -258,12 +268,7 @@ def near_duplicates(
 
     ``kept`` marks the document with the component's id; a document without id is kept if its component has no id.
     """
-    all_sets = saved(sets(docs, width, text, id, bands, rows))
-    labels = components(_links(all_sets, docs, width, percent, text, bands, rows))
-    members = all_sets.select("doc_id", "text_key", "set_key", "n_shingles")
-    members = members.join(labels, members["set_key"] == labels["node"], "left").select(
-        "doc_id", "text_key", "n_shingles", F.coalesce("label", "set_key").alias("label")
-    )
+    members = _members(docs, width, percent, text, id, bands, rows)
     least = members.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = members.join(least, "label", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
@@ -272,9 +277,20 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Rows with one id and one text stay or go together."""
-    found = near_duplicates(docs, width, percent, text, id).where("kept")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    """One row of ``docs`` for each component, with all its columns, and all rows without a word. Within a component the
+    least id stays, null last, then the least digest of the text; of rows with one id and text the least row as JSON."""
+    members = _members(docs, width, percent, text, id, BANDS, ROWS).select("label", "doc_id", "text_key")
+    counted = members.where("label IS NOT NULL").groupBy("label", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "n")
+    one = counted.groupBy("label").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_key", "one.n")
+    empty = members.where("label IS NULL").select("doc_id", "text_key").distinct().withColumn("n", F.lit(1).cast("long"))
+    found = saved(one.unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("n").alias("_n")))
     keyed = docs.withColumn("_text_key", text_key(text))
     match = (F.col("_text_key") == F.col("_key")) & F.col(f"`{id}`").eqNullSafe(F.col("_id"))
-    return keyed.join(found, match, "left_semi").drop("_text_key")
+    out = keyed.join(found.where("_n = 1"), match, "left_semi").drop("_text_key")
+    repeated = found.where("_n > 1")
+    if repeated.isEmpty():
+        return out
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    same = keyed.join(repeated, match, "left_semi").groupBy(F.col("_text_key"), F.col(f"`{id}`").alias("_id"))
+    return out.unionByName(same.agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*"))
