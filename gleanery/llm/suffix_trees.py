@@ -6,8 +6,8 @@ same one at an earlier word. The steps run over blocks of documents (``blocks``)
 1. Anchors. A window's anchor is the least hash of its grams, so equal windows have equal anchors; windows whose anchor
    is at one place only can't be repeated and go no further.
 2. Prefixes. Suffixes are read as two fingerprints: 32 bits of the first ``width / 2`` words, 64 bits of all words. Blocks
-   send how many distinct suffixes begin with each first symbol. A prefix with more than ``GROUP`` suffixes in all is made longer: its suffixes
-   are dealt by both symbols, those of other prefixes by the first one.
+   send how many distinct suffixes begin with each first symbol. A prefix with more than ``GROUP`` suffixes in all is made
+   longer: its suffixes are dealt by both symbols, those of other prefixes by the first one.
 3. Trees. Each block sends its distinct suffixes, each with its earliest place, to the part of their prefix. A part builds
    the subtrees of its prefixes: suffixes in order, inner nodes where neighbours share symbols. A node with all symbols in
    common is a repeat; its earliest place stays, and the blocks learn for each suffix sent whether that is theirs.
