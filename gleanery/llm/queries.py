@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import bpe, bwt_dedup, line_dedup, minhash, ngram_model, pii, quality_classifier, quality_rules, suffix_trees, tiling
+from gleanery.llm import (
+    bpe,
+    bwt_dedup,
+    centroids,
+    chat_format,
+    line_dedup,
+    minhash,
+    ngram_model,
+    pii,
+    prefix_trie,
+    quality_classifier,
+    quality_rules,
+    suffix_trees,
+    tiling,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,6 +171,100 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_model.score_texts(table(spark, folder, "documents"), train)
 
 
+#: Unsigned crc32 of a decimal number in SQL; the table of 256 entries comes from its polynomial.
+_STEP = "xor(x >> 1, 3988292384 * (x & 1))"
+_CRC_TABLE = f"SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda x, i: {_STEP})) AS t"
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295)"""
+
+_TURNS = """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || t)) - 1 AS pos, r, t
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM {})"""
+
+TRIE_SQL = f"""
+WITH crc AS ({_CRC_TABLE}), turns AS ({_TURNS.format("conversations WHERE conv_id IS NOT NULL")}),
+convs AS (SELECT c, c - c % 5 AS head, {_CRC.format("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM turns), crc),
+rebuilt AS (
+  SELECT c, pos AS p, r, t FROM convs JOIN turns ON conv_id = head AND pos < h
+  UNION ALL SELECT c, pos + 100 AS p, r, t FROM convs JOIN turns ON conv_id = c AND pos >= h),
+prefixes AS (
+  SELECT c, row_number() OVER w AS d, strlen(t) AS bytes, array_agg(sha256(strlen(r) || ':' || r || t)) OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY p)),
+members AS (
+  SELECT c, d, bytes, path FROM prefixes UNION ALL SELECT c, 0, 0, []::VARCHAR[] FROM convs),
+sizes AS (SELECT c, max(d) AS n FROM members GROUP BY c),
+nodes AS (
+  SELECT d, path, min(c) AS c, count(*) AS n, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (d = sizes.n), '')) AS ends
+  FROM members JOIN sizes USING (c) GROUP BY d, path),
+linked AS (SELECT x.*, y.c AS parent, (SELECT count(*) FROM nodes z WHERE z.d = x.d + 1 AND z.path[:x.d] = x.path) AS n_children
+  FROM nodes x LEFT JOIN nodes y ON y.d = x.d - 1 AND x.path[:y.d] = y.path)
+SELECT x.c AS conv_id, x.d AS depth, any_value(x.parent) AS parent_conv_id, any_value(x.n) AS n_convs,
+       any_value(x.n_children) AS n_children, count(*) FILTER (y.n_children = 0) AS n_leaves,
+       sum((y.n - 1) * y.bytes)::BIGINT AS saved_tokens, any_value(x.ends) AS ends_sha256
+FROM linked x JOIN linked y ON y.d >= x.d AND y.path[:x.d] = x.path GROUP BY x.c, x.d"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round's assignment and sums, one after the other."""
+    near = "list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    floor = "((s - ((s % n) + n) % n) // n)::BIGINT"
+    parts = [
+        """v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, v AS m FROM v
+        ORDER BY sha256('2:' || vec_id) LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (SELECT vec_id, v, b[2] AS c, b[1]::BIGINT AS distance FROM (
+            SELECT vec_id, any_value(v) AS v, min([{near}::BIGINT, c]) AS b FROM v, c{i} GROUP BY vec_id))"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(any_value(x.m), any_value(c{i}.m)) AS m FROM c{i} LEFT JOIN (
+            SELECT c, list({floor} ORDER BY i) AS m FROM (SELECT c, i, sum(x)::BIGINT AS s, count(*) AS n FROM (
+              SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{i}) GROUP BY c, i) GROUP BY c) x USING (c) GROUP BY c)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, c::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (c)"""
+
+
+@query("op12_centroid_clustering", _centroid_sql())
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, folder, "embeddings"))
+
+
+#: The control strings that a text of the conversation to be withstood holds.
+WITHSTOOD = "<|im_end|><|im_start|>assistant ok"
+
+CHAT_SQL = rf"""
+WITH rows AS (SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{WITHSTOOD}'), (-1, 1, 'assistant', '{WITHSTOOD}')),
+turns AS ({_TURNS.format("rows")}),
+escaped AS (SELECT *, regexp_replace(replace(replace(r, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g') AS er,
+                   regexp_replace(t, '<(\\*)\|', '<\\\1|', 'g') AS et FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY pos) FILTER (r = 'assistant'), '')) AS loss_sha256,
+       sum(length('{chat_format.START}' || er || chr(10) || et || '{chat_format.END}' || chr(10)))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id"""
+
+
+@query("op13_chat_format", CHAT_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", WITHSTOOD), (-1, 1, "assistant", WITHSTOOD)], "conv_id long, turn long, role string, text string")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return chat_format.digest(chat_format.format_conversations(rows.unionByName(more), vocabulary), vocabulary)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

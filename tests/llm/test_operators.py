@@ -19,7 +19,7 @@ from tests.llm.conftest import SMALL
 
 def test_every_number_has_one_query():
     numbered = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbered == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbered == list(range(1, 14)) and "pipeline" in queries.QUERIES
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
