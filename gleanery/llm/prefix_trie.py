@@ -1,25 +1,24 @@
 """Trie of conversation prefixes by van Emde Boas recursion.
 
 A trie of height 2h is cut at half height: the cut prefixes get names, the sequences above the cut make an upper trie, those
-below it a forest of lower tries with the names as roots, and both are built the same way. Here all tries of one height are
-built together, in as many rounds as halvings. A depth d belongs to the round of its lowest set bit b: its prefix is cut into
-the prefix of length d - b, which an earlier round has named, and a block of b turns, known by one digest. So a round names
-each pair of root name and block, by the smallest conversation that has it.
-
-* Above a cut only one sequence per cut prefix goes on, with the number of those that share it. So copies and common first
-  turns shrink to one row on the way down, whatever their number.
-* Totals are grafted upward: from the lowest round on, each node hands its own total and that of the tries hung below it to its
-  root; then, from the highest round down, the totals at the right border of each trie are handed to the cut they hang from.
-* Block digests are made in chunks of 256 turns, then 256 chunks, and so on, so one very long conversation is many rows. Turn
-  texts leave the first scan as 128 bits of SHA-256 and a length.
-
-Rounds grow with the logarithm of the longest conversation. All joins have one unique side, all groups are sums that combine
-before they shuffle; the ids that end at a node are packed in ranges of 65,536 before they meet, and hashed as they come.
+below it a forest of lower tries with the names as roots, and both are built the same way, all at the same time. So a depth d
+belongs to the cut of its lowest set bit b: its prefix is the prefix of length d - b, the root of its trie, followed by a block
+of b turns. Its name is a digest of the root's name and the block's digest.
+
+* Names of one conversation are made in chunks of 256 turns; the ends of full chunks are the turns of a sequence 256 times
+  shorter, which is named first and gives each chunk the name it starts from. So one very long conversation is many rows.
+  Turn texts leave the first scan as 128 bits of SHA-256 and a length.
+* Equal prefixes have equal names, so one sum per name, which combines before it is shuffled, makes the nodes. Copies and common
+  first turns are one row from there on.
+* Totals are grafted upward over the nodes alone. From the lowest cut on, each node hands its own total and that of the tries
+  hung below it to its root; then, from the highest cut down, the totals at the lower border of each trie are handed to the
+  prefixes it was cut at. Both take as many rounds as there are halvings, the logarithm of the longest conversation.
+* The ids that end at a node are packed in ranges of 65,536 before they meet, and hashed as they come.
 
 Null roles and texts are empty. Rows with a null ``conv_id`` belong to no conversation and are left out. Turns are ordered by
-``turn`` (null first), equal ones by a digest of role and text; repeated rows are turns of their own. ``conv_id - conv_id % 5`` takes the sign of
-the id, as SQL does. Equal digests of 128 bits are taken as equal turns. An empty table gives no rows. Other columns are not
-looked at.
+``turn`` (null first), equal ones by a digest of role and text; repeated rows are turns of their own.
+``conv_id - conv_id % 5`` takes the sign of the id, as SQL does. Equal digests of 128 bits are taken as equal. An empty table
+gives no rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,6 +39,7 @@ CHUNK_BITS = 8
 CHUNK = 1 << CHUNK_BITS
 ID_RANGE_BITS = 16
 FAMILY, MOST_SHARED = 5, 8
+ROOT = b""
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -96,190 +96,207 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return convs.select("conv", "length"), rest.select(columns).unionByName(first.select(columns))
 
 
-def _fold(unit: int):
-    """Block digests of chunks: a row for each depth inside a chunk, and level -1 for a full chunk."""
+def _sequence(chunks: list[dict]) -> list[list[bytes]]:
+    """Digests of all blocks of 1, 2, 4 ... turns of a chunk that begin at a multiple of their size."""
+    blocks = [[t["digest"] for t in chunks]]
+    while len(blocks[-1]) > 1:
+        last = blocks[-1]
+        blocks.append([_short(last[i] + last[i + 1]) for i in range(0, len(last) - 1, 2)])
+    return blocks
+
+
+def _short(x: bytes) -> bytes:
+    return hashlib.sha256(x).digest()[:16]
+
+
+def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full chunks as turns of the shorter sequence."""
+    for batch in batches:
+        turns = batch.column("turns").to_pylist()
+        digests = pa.array([_sequence(x)[CHUNK_BITS][0] for x in turns], pa.binary())
+        sizes = pa.array([x[-1]["bytes"] for x in turns], pa.int64())
+        columns = [batch.column("conv"), batch.column("chunk"), digests, sizes, batch.column("length")]
+        yield pa.RecordBatch.from_arrays(columns, ["conv", "pos", "digest", "bytes", "length"])
+
+
+_NAMED = "conv long, name binary, depth long, level int, ups array<struct<level:int,up:binary>>, bytes long, ends long"
+_UPS = pa.list_(pa.struct([("level", pa.int32()), ("up", pa.binary())]))
+
+
+def _name(bits: int):
+    """Names the depths of each chunk, whose start (and end, if full) have been named. The row of a named end, with null
+    ``bytes``, only adds to the prefixes that the end was cut at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            conv, depth, level, digest, size, length = [], [], [], [], [], []
-            for c, chunk, turns, n in zip(*[batch.column(k).to_pylist() for k in ("conv", "chunk", "turns", "length")], strict=True):
-                blocks = [[t["digest"] for t in turns]]
-                while len(blocks[-1]) > 1:
-                    last = blocks[-1]
-                    blocks.append([hashlib.sha256(last[i] + last[i + 1]).digest()[:16] for i in range(0, len(last) - 1, 2)])
-                for t, turn in enumerate(turns, 1):
+            rows = []
+            for conv, chunk, turns, length, start, end in zip(
+                *[batch.column(k).to_pylist() for k in ("conv", "chunk", "turns", "length", "start", "end")], strict=True
+            ):
+                blocks, names = _sequence(turns), [start or ROOT]
+                for t, turn in enumerate(turns[: CHUNK - 1], 1):
                     k = (t & -t).bit_length() - 1
-                    conv.append(c)
-                    depth.append((chunk * CHUNK + t) * unit)
-                    level.append(k if t < CHUNK else -1)
-                    digest.append(blocks[k][(t >> k) - 1])
-                    size.append(turn["bytes"])
-                    length.append(n)
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-            columns = [pa.array(x, t) for x, t in zip((conv, depth, level, digest, size, length), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["conv", "depth", "level", "digest", "bytes", "length"])
+                    names.append(_short(names[t - (1 << k)] + blocks[k][(t >> k) - 1]))
+                    depth = (chunk * CHUNK + t) << bits
+                    ups = [{"level": bits + i, "up": names[t - (1 << i)]} for i in range(k + 1)]
+                    rows.append((conv, names[t], depth, bits + k, ups, turn["bytes"], int(depth == length)))
+                if end is not None:
+                    ups = [{"level": bits + i, "up": names[CHUNK - (1 << i)]} for i in range(CHUNK_BITS)]
+                    rows.append((conv, end, (chunk + 1) * CHUNK << bits, None, ups, None, 0))
+            if rows:
+                types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), _UPS, pa.int64(), pa.int64())
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["conv", "name", "depth", "level", "ups", "bytes", "ends"])
 
     return run
 
 
-def blocks_of(turns: DataFrame, longest: int) -> DataFrame:
-    """``(conv, depth, level, digest, bytes, length)``: for each depth the digest of the block of 2**level turns that ends there,
-    ``level`` being that of the depth's lowest set bit."""
-    out, unit, bits = [], 1, 0
-    while unit <= longest:
+def named_prefixes(turns: DataFrame, longest: int) -> DataFrame:
+    """A row for each depth of each conversation: ``conv, name, depth, level, ups, bytes, ends``. ``level`` is the number of the
+    depth's lowest set bit, ``ups`` are the names of the prefixes that are shorter by powers of two up to that bit, the last being
+    the root's; ``ends`` is 1 at the conversation's end."""
+    sequences, bits = [], 0
+    while longest >> bits:
         chunk = F.shiftright("pos", CHUNK_BITS).alias("chunk")
         turns_of_chunk = F.sort_array(F.collect_list(F.struct("pos", "digest", "bytes"))).alias("turns")
         chunks = turns.groupBy("conv", chunk).agg(turns_of_chunk, F.max("length").alias("length"))
-        found = saved(chunks.mapInArrow(_fold(unit), "conv long, depth long, level int, digest binary, bytes long, length long"))
-        out.append(found.where("level >= 0").withColumn("level", F.col("level") + bits))
-        unit, bits = unit << CHUNK_BITS, bits + CHUNK_BITS
-        turns = found.where("level < 0").select("conv", (F.col("depth") / unit - 1).cast("long").alias("pos"), "digest", "bytes", "length")
+        sequences.append((bits, chunks))
+        bits += CHUNK_BITS
+        if longest >> bits:
+            sequences[-1] = (bits - CHUNK_BITS, saved(chunks))
+            full = sequences[-1][1].where(F.size("turns") == CHUNK)
+            turns = full.mapInArrow(_full, "conv long, pos long, digest binary, bytes long, length long")
+    out: list[DataFrame] = []
+    for bits, chunks in reversed(sequences):
+        if out:
+            above = _union(out).where("bytes IS NOT NULL").select("conv", F.shiftright("depth", bits + CHUNK_BITS).alias("chunk"), "name")
+            ends = above.select("conv", (F.col("chunk") - 1).alias("chunk"), F.col("name").alias("end"))
+            chunks = chunks.join(above.withColumnRenamed("name", "start"), ["conv", "chunk"], "left").join(ends, ["conv", "chunk"], "left")
+        else:
+            nothing = F.lit(None).cast("binary")
+            chunks = chunks.select("*", nothing.alias("start"), nothing.alias("end"))
+        out.append(chunks.mapInArrow(_name(bits), _NAMED))
+        if bits:
+            out[-1] = saved(out[-1])
     return _union(out)
 
 
 def _ends(rows: DataFrame) -> DataFrame:
-    """``(depth, root, digest, ends_sha256)``: the digest of the sorted ids that end at each node."""
-    key = ["depth", "root", "digest"]
+    """``(name, ends_sha256)`` from ``(name, conv)``: the digest of the sorted ids that end at each node."""
     ids = F.concat_ws(",", F.transform(F.sort_array(F.collect_list("conv")), lambda x: x.cast("string"))).alias("ids")
-    packed = rows.groupBy(*key, F.shiftright("conv", ID_RANGE_BITS).alias("range")).agg(ids)
+    packed = rows.groupBy("name", F.shiftright("conv", ID_RANGE_BITS).alias("range")).agg(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sha, rows = None, None, []
+        now, sha, done = None, None, []
 
         def batch_of() -> pa.RecordBatch:
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, [*key, "ends_sha256"])
+            columns = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.binary(), pa.string()), strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["name", "ends_sha256"])
 
         for batch in batches:
-            for d, r, g, ids in zip(*[batch.column(k).to_pylist() for k in (*key, "ids")], strict=True):
-                if (d, r, g) == now:
+            for name, ids in zip(batch.column("name").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                if name == now:
                     sha.update(b",")
                 else:
                     if now is not None:
-                        rows.append((*now, sha.hexdigest()))
-                    now, sha = (d, r, g), hashlib.sha256()
+                        done.append((now, sha.hexdigest()))
+                    now, sha = name, hashlib.sha256()
                 sha.update(ids.encode())
-            if rows:
+            if done:
                 yield batch_of()
-                rows = []
+                done = []
         if now is not None:
-            rows.append((*now, sha.hexdigest()))
+            done.append((now, sha.hexdigest()))
             yield batch_of()
 
-    in_order = packed.repartition(*key).sortWithinPartitions(*key, "range")
-    return in_order.mapInArrow(run, "depth long, root long, digest binary, ends_sha256 string")
-
-
-class _Rounds:
-    """Nodes of each round, the ends at them, and which node at a trie's right border hangs from which cut."""
-
-    def __init__(self, blocks: DataFrame, top: int):
-        self.nodes: dict[int, DataFrame] = {}
-        self.links: dict[int, DataFrame] = {}
-        self.ended: list[DataFrame] = []
-        names: list[DataFrame] = []
-        for k in range(top, -1, -1):
-            names.append(self._named(blocks.where(F.col("level") == k).drop("level"), 1 << k, names))
-
-    def _named(self, rows: DataFrame, size: int, names: list[DataFrame]) -> DataFrame:
-        """One round; gives the names of its rows that go on."""
-        border = F.col("depth") + size
-        if names:
-            above = _union(names).select("conv", (F.col("depth") + size).alias("depth"), F.col("name").alias("found_root"))
-            reps = _union([n.select(F.col("name").alias("conv"), (F.col("depth") - size).alias("depth"), "n") for n in self.nodes.values()])
-            rows = rows.join(above, ["conv", "depth"], "left").join(reps, ["conv", "depth"], "left")
-            rows = rows.where((F.col("depth") == size) | F.col("found_root").isNotNull()).where((F.col("length") < border) | F.col("n").isNotNull())
-        else:
-            rows = rows.withColumn("found_root", F.lit(None).cast("long")).withColumn("n", F.lit(None).cast("long"))
-        rows = saved(rows.withColumn("root", F.coalesce("found_root", F.lit(0))).drop("found_root"))
-        key = ["depth", "root", "digest"]
-        ends = F.col("length") == F.col("depth")
-        nodes = saved(
-            rows.groupBy(*key).agg(
-                F.min("conv").alias("name"),
-                F.sum(F.coalesce("n", F.lit(1))).alias("n"),
-                F.sum(ends.cast("long")).alias("n_ends"),
-                F.max("bytes").alias("bytes"),
-            )
-        )
-        named = rows.where(~ends).join(nodes.select(*key, "name"), key).select("conv", "depth", "name", F.col("n").isNotNull().alias("at_border"))
-        named = saved(named)
-        k = size.bit_length() - 1
-        self.nodes[k] = nodes
-        self.links[k] = named.where("at_border").select("conv", border.alias("depth"), F.col("name").alias("above"))
-        self.ended.append(rows.where(ends).select(*key, "conv"))
-        return named
-
-
-def _totals(nodes: dict[int, DataFrame], links: dict[int, DataFrame]) -> tuple[list[DataFrame], DataFrame]:
-    """``(name, depth, saved, leaves)`` of each node's subtree, and what reaches the trie's root."""
+    in_order = packed.repartition("name").sortWithinPartitions("name", "range")
+    return in_order.mapInArrow(run, "name binary, ends_sha256 string")
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("name", "level").agg(F.sum("saved").alias("saved"), F.sum("leaves").alias("leaves"))
+
+
+def _with(nodes: DataFrame, *given: DataFrame) -> DataFrame:
+    """Nodes with what they were given added to their own totals."""
+    for g in given:
+        more = g.select("name", F.col("saved").alias("more_saved"), F.col("leaves").alias("more_leaves"))
+        nodes = nodes.join(more, "name", "left")
+        for c in ("saved", "leaves"):
+            nodes = nodes.withColumn(c, F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).drop(f"more_{c}")
+    return nodes
+
+
+def _totals(nodes: DataFrame, top: int) -> DataFrame:
+    """``(name, saved, leaves)``: what each node is given by the rest of its subtree, in up to two rows.
+
+    ``pending`` is what nodes of higher (then lower) cuts have been given so far; a round takes what is there for its own cut
+    and hands it on.
+    """
     given: list[DataFrame] = []
     inner: dict[int, DataFrame] = {}
-    for k in sorted(nodes):
-        own = nodes[k].select(
-            "name", "depth", "root", ((F.col("n") - 1) * F.col("bytes")).alias("saved"), (F.col("n") == F.col("n_ends")).cast("long").alias("leaves")
-        )
-        inner[k] = saved(_plus(own, [g.where(_level("depth") == 1 << k) for g in given]))
-        given.append(inner[k].select(F.col("root").alias("name"), (F.col("depth") - (1 << k)).alias("depth"), "saved", "leaves"))
-    whole: list[DataFrame] = []
-    for k in sorted(nodes, reverse=True):
-        rows = inner[k].drop("root")
-        if whole:
-            below = links[k].join(_union(whole).withColumnRenamed("name", "conv"), ["conv", "depth"])
-            below = below.select(F.col("above").alias("name"), (F.col("depth") - (1 << k)).alias("depth"), "saved", "leaves")
-            rows = _plus(rows, [below])
-        whole.append(saved(rows))
-    return whole, _union(given).where("depth = 0")
-
-
-def _level(depth: str) -> Column:
-    return F.col(depth).bitwiseAND(-F.col(depth))
-
-
-def _plus(rows: DataFrame, more: list[DataFrame]) -> DataFrame:
-    """``rows`` with the sums of ``more`` added."""
-    if not more:
-        return rows
-    sums = _union(more).groupBy("name", "depth").agg(F.sum("saved").alias("more_saved"), F.sum("leaves").alias("more_leaves"))
-    rows = rows.join(sums, ["name", "depth"], "left")
-    for c in ("saved", "leaves"):
-        rows = rows.withColumn(c, F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).drop(f"more_{c}")
-    return rows
+    pending = nodes.where("false").select("name", "level", "saved", "leaves")
+    for k in range(top + 1):
+        inner[k] = pending.where(F.col("level") == k)
+        up = F.element_at("ups", -1)
+        at = _with(nodes.where(F.col("level") == k), inner[k]).select(up["up"].alias("name"), "above", "saved", "leaves")
+        to_root = at.select("name", F.col("above").alias("level"), "saved", "leaves")
+        pending = saved(_summed(pending.where(F.col("level") > k).unionByName(to_root)))
+        given.append(inner[k])
+    given.append(pending)
+    pending = nodes.where("false").select("name", "level", "saved", "leaves")
+    for k in range(top, -1, -1):
+        mine = pending.where(F.col("level") == k)
+        given.append(mine)
+        if not k:
+            break
+        at = _with(nodes.where(F.col("level") == k), inner[k], mine).select(F.explode("ups").alias("up"), "saved", "leaves")
+        to_cuts = at.where(F.col("up.level") < k).select("up.up", "up.level", "saved", "leaves").withColumnRenamed("up", "name")
+        pending = saved(_summed(pending.where(F.col("level") < k).unionByName(to_cuts)))
+    return _union([g.select("name", "saved", "leaves") for g in given])
 
 
 def prefix_trie(conversations: DataFrame) -> DataFrame:
     """One row per node: ``conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256``."""
     convs, turns = rebuilt(numbered_turns(conversations))
-    facts = convs.agg(F.min("conv").alias("name"), F.count(F.lit(1)).alias("n"), F.sum((F.col("length") == 0).cast("long")).alias("n_ends"), F.max("length").alias("longest"))
-    root = facts.first()
-    longest = root.longest or 0
-    rounds = _Rounds(blocks_of(turns, longest), longest.bit_length() - 1) if longest else None
-    turnless = convs.where("length = 0").select(F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("root"), F.lit(b"").alias("digest"), "conv")
-    top = facts.where("n > 0").select(
-        F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("root"), F.lit(b"").alias("digest"), "name", "n", "n_ends", F.lit(0).cast("long").alias("bytes")
-    )
-    ends = _ends(_union([turnless, *(rounds.ended if rounds else [])]))
-    nodes = _union([top, *(rounds.nodes.values() if rounds else [])]).join(ends, ["depth", "root", "digest"], "left")
-    own = top.select("name", "depth", F.lit(0).cast("long").alias("saved"), (F.col("n") == F.col("n_ends")).cast("long").alias("leaves"))
-    if not rounds:
-        totals, parents = own, top.select("name", "depth", F.lit(None).cast("long").alias("parent"))
-    else:
-        whole, to_root = _totals(rounds.nodes, rounds.links)
-        at_root = to_root.withColumn("name", F.lit(root.name).cast("long"))
-        totals = _union([_plus(own, [at_root]), *whole])
-        odd = rounds.nodes[0].select("name", "depth", F.when(F.col("depth") == 1, F.lit(root.name)).otherwise(F.col("root")).alias("parent"))
-        even = rounds.links[0].select(F.col("conv").alias("name"), "depth", F.col("above").alias("parent"))
-        parents = odd.unionByName(even)
-    children = parents.where("parent IS NOT NULL").groupBy(F.col("parent").alias("name"), (F.col("depth") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n_children"))
-    out = nodes.join(totals, ["name", "depth"]).join(parents, ["name", "depth"], "left").join(children, ["name", "depth"], "left")
-    return out.select(
-        F.col("name").alias("conv_id"),
+    facts = convs.agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n"), F.sum((F.col("length") == 0).cast("long")).alias("n_ends"), F.max("length").alias("longest"))
+    longest = facts.first().longest or 0
+    top = longest.bit_length() - 1
+    no_ups = F.array().cast("array<struct<level:int,up:binary>>").alias("ups")
+    zero = F.lit(0).cast("long")
+    nodes = facts.where("n > 0").select(F.lit(ROOT).alias("name"), zero.alias("depth"), F.lit(top + 1).alias("level"), no_ups, zero.alias("bytes"), "conv", "n", "n_ends")
+    ended = convs.where("length = 0").select(F.lit(ROOT).alias("name"), "conv")
+    if longest:
+        rows = saved(named_prefixes(turns, longest))
+        any_of = [F.first(c).alias(c) for c in ("depth", "level", "ups", "bytes")]
+        inner = rows.where("bytes IS NOT NULL").groupBy("name").agg(*any_of, F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n"), F.sum("ends").alias("n_ends"))
+        if longest >= CHUNK:
+            more = rows.where("bytes IS NULL").select("name", F.explode("ups").alias("up")).groupBy("name", "up.level").agg(F.first("up").alias("up"))
+            more = more.groupBy("name").agg(F.sort_array(F.collect_list("up")).alias("more"))  # one for each cut
+            inner = inner.join(more, "name", "left").withColumn("ups", F.concat(F.coalesce("more", no_ups), "ups")).drop("more")
+        nodes = nodes.unionByName(inner)
+        ended = ended.unionByName(rows.where("ends = 1").select("name", "conv"))
+    above = F.col("depth").bitwiseAND(F.col("depth") - 1)
+    own = ((F.col("n") - 1) * F.col("bytes")).alias("saved"), (F.col("n") == F.col("n_ends")).cast("long").alias("leaves")
+    nodes = saved(nodes.select("*", *own, F.when(above <= 0, top + 1).otherwise(_level(above)).alias("above")))
+    totals = _totals(nodes, top) if longest else nodes.where("false").select("name", "saved", "leaves")
+    totals = totals.unionByName(nodes.select("name", "saved", "leaves")).groupBy("name").agg(F.sum("saved").alias("saved_tokens"), F.sum("leaves").alias("n_leaves"))
+    parent = F.element_at("ups", 1)["up"]
+    children = nodes.where("depth > 0").groupBy(parent.alias("name")).agg(F.count(F.lit(1)).alias("n_children"))
+    facts_of = nodes.select(F.col("name").alias("parent"), F.col("conv").alias("parent_conv_id"))
+    out = nodes.withColumn("parent", F.when(F.col("depth") > 0, parent)).join(totals, "name").join(children, "name", "left").join(_ends(ended), "name", "left")
+    return out.join(facts_of, "parent", "left").select(
+        F.col("conv").alias("conv_id"),
         "depth",
-        F.col("parent").alias("parent_conv_id"),
+        "parent_conv_id",
         F.col("n").alias("n_convs"),
         F.coalesce("n_children", F.lit(0)).alias("n_children"),
-        F.col("leaves").alias("n_leaves"),
-        F.col("saved").alias("saved_tokens"),
+        "n_leaves",
+        "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
     )
+
+
+def _level(depth: Column) -> Column:
+    """The number of the lowest set bit."""
+    return F.bit_count(depth.bitwiseAND(-depth) - 1).cast("int")
