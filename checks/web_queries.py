@@ -14,28 +14,28 @@ AS_OF = datetime(2024, 1, 1)
 
 CTE = f"""
 WITH rows AS ({S.WEB_ROWS_SQL}),
-filled AS (SELECT *, coalesce(last_value(CASE WHEN size % 8 = 0 THEN 'Official' WHEN size % 4 = 0 THEN 'Tool' END IGNORE NULLS)
+filled AS (SELECT *, coalesce(last_value(CASE WHEN inner_row = 1 THEN NULL WHEN inner_row = 2 THEN 'Starter' WHEN size % 8 = 0 THEN 'Official' WHEN size % 4 = 0 THEN 'Tool' END IGNORE NULLS)
              OVER (PARTITION BY page_id ORDER BY row_pos ROWS UNBOUNDED PRECEDING), 'Other') AS category FROM rows),
 data AS (SELECT *, contains(target, 't') AS ok, 'nav' || target AS repo,
            CASE WHEN size > 6 THEN 'A responsive magazine theme,' ELSE 'Plain' END AS description,
            CASE WHEN size > 6 THEN 'A responsive magazine theme, well kept'
-                ELSE 'Plain' END AS notes FROM filled WHERE size % 4 <> 0)
+                ELSE 'Plain' END AS notes FROM filled WHERE size % 4 <> 0 AND inner_row = 0)
 """
 
 
-@query("page_links", f"{CTE} SELECT page_id, row_pos, target AS url FROM rows")
+@query("page_links", f"SELECT page_id, link_pos AS row_pos, target AS url FROM ({S.LINKS_SQL})")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return W.page_links(S.table(spark, folder, "pages"))
 
 
-@query("table_rows", f"{CTE} SELECT page_id, row_pos, CASE WHEN size % 4 = 0 THEN 1 ELSE 3 END AS cells FROM rows")
+@query("table_rows", f"{CTE} SELECT page_id, row_pos, CASE WHEN inner_row = 1 THEN 0 WHEN size % 4 = 0 OR inner_row = 2 THEN 1 WHEN nested THEN 5 ELSE 3 END AS cells FROM rows")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return W.table_rows(S.table_pages(spark, folder)).select("page_id", "row_pos", F.size("cells").alias("cells"))
 
 
 @query("fill_category_down", f"{CTE} SELECT page_id, row_pos, category FROM filled")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return W.fill_category_down(W.table_rows(S.table_pages(spark, folder))).select("page_id", "row_pos", "category")
+    return W.fill_category_down(W.page_rows(S.table_pages(spark, folder))).select("page_id", "row_pos", "category")
 
 
 @query(

@@ -46,7 +46,7 @@ def is_blank(c: str | Column) -> Column:
 # ---- word search -----------------------------------------------------------
 # Over a named column a word list is one SQL expression: hundreds of words then
 # cost one call to build instead of three each.
-def _sql(text: str) -> str:
+def sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -55,19 +55,19 @@ def contains_any(c: str | Column, words: Iterable[str]) -> Column:
     if not words:
         return F.lit(False)
     if isinstance(c, str):
-        return F.expr(" OR ".join(f"contains({c}, {_sql(w)})" for w in words))
+        return F.expr(" OR ".join(f"contains({c}, {sql_text(w)})" for w in words))
     return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
 
 
 def count_words(c: str, words: Iterable[str]) -> Column:
     """How many of ``words`` occur in the text at least once."""
-    return F.expr(" + ".join(f"if(contains({c}, {_sql(w)}), 1, 0)" for w in words) or "0")
+    return F.expr(" + ".join(f"if(contains({c}, {sql_text(w)}), 1, 0)" for w in words) or "0")
 
 
 def join_words(c: str, words: Iterable[str], sep: str = ", ") -> Column:
     """The words that occur, in list order, joined to one text."""
-    found = "".join(f", if(contains({c}, {_sql(w)}), {_sql(w)}, NULL)" for w in words)
-    return F.expr(f"concat_ws({_sql(sep)}{found})")
+    found = "".join(f", if(contains({c}, {sql_text(w)}), {sql_text(w)}, NULL)" for w in words)
+    return F.expr(f"concat_ws({sql_text(sep)}{found})")
 
 
 def matching(values: str | Column, words: Iterable[str]) -> Column:

@@ -4,48 +4,39 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions import html
 from gleanery.functions.columns import clamp, contains_any, has_text, moment, points, strip, total
 from gleanery.profiles import WEB_BASE_TAG, WEB_FEATURE_TAGS
 
-# Texts in table cells: tags removed, the common entities resolved.
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# The number of stars as it is written in a cell. Fixed value.
 _STARS = r"(?i)(\d+(?:[.,]\d+)?)\s*k?\s*stars?"
 
 
-def cell_text(html: Column) -> Column:
-    plain = F.regexp_replace(html, r"<[^>]*>", "")
-    for entity, text in _ENTITIES:
-        plain = F.replace(plain, F.lit(entity), F.lit(text))
-    return strip(plain)
+def cell_text(cell: Column) -> Column:
+    return html.text_of(cell)
 
 
-def link_target(html: Column) -> Column:
+def link_target(cell: Column) -> Column:
     """The trimmed href of the first link, null without one."""
-    tag = F.regexp_extract(html, r"(?is)<a\b([^>]*)>", 1)
-    quoted = F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')""", 0)
-    value = F.regexp_replace(quoted, r"(?is)^href\s*=\s*[\"']|[\"']$", "")
-    return F.nullif(strip(F.replace(value, F.lit("&amp;"), F.lit("&"))), F.lit(""))
+    return F.nullif(strip(html.attribute(F.get(html.start_tags(cell, "a"), F.lit(0)), "href")), F.lit(""))
 
 
-def table_rows(pages: DataFrame, *, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """WEB-1: body rows of the first table of each page with their cells.
+def page_rows(pages: DataFrame, *, page_id: str = "page_id", html_column: str = "html") -> DataFrame:
+    """WEB-1: for each page the ``rows`` of its first table, each with the HTML of its cells.
 
-    A page is one string, so its rows are at hand in one record and their
-    positions come from the explode; nothing is shuffled.  Closing tags of rows
-    and cells and the body tag are optional, as in HTML.
+    A page is one string, so its rows are at hand in one record; nothing is shuffled.
     """
-    shown = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>", "")
-    table = F.regexp_extract(shown, r"(?is)<table\b[^>]*>(.*?)(?:</table\s*>|\z)", 1)
-    body = F.regexp_replace(table, r"(?is)<thead\b.*?</thead\s*>|<tfoot\b.*?</tfoot\s*>", "")
-    row = r"(?is)<tr\b[^>]*>(.*?)(?=</tr\s*>|<tr\b|\z)"
-    cell = r"(?is)<td\b[^>]*>(.*?)(?=</td\s*>|<td\b|<th\b|\z)"
-    rows = F.regexp_extract_all(body, F.lit(row), F.lit(1))
-    return pages.select(F.col(page_id).alias("page_id"), F.posexplode(rows).alias("row_pos", "_row")).select(
-        "page_id", "row_pos", F.regexp_extract_all("_row", F.lit(cell), F.lit(1)).alias("cells")
-    )
+    cut = pages.select(F.col(page_id).alias("page_id"), html.tokens(html_column).alias("_tokens"))
+    rows = F.transform(html.first_table(F.col("_tokens")), lambda cells, i: F.struct(i.alias("row_pos"), cells.alias("cells")))
+    return cut.select("page_id", rows.alias("rows"))
+
+
+def table_rows(pages: DataFrame, *, page_id: str = "page_id", html_column: str = "html") -> DataFrame:
+    """WEB-1: the same, one row each."""
+    return page_rows(pages, page_id=page_id, html_column=html_column).select("page_id", F.inline("rows"))
 
 
 def category_from_header(text: Column) -> Column:
@@ -59,23 +50,33 @@ def category_from_header(text: Column) -> Column:
     )
 
 
-def fill_category_down(rows: DataFrame, *, default: str = "Other") -> DataFrame:
+def fill_category_down(paged: DataFrame, *, default: str = "Other") -> DataFrame:
     """WIN-8: a one-cell row names the category of the rows below it.
 
-    The window runs inside one page, the unit a reader holds anyway.
+    Within the record of a page: its header rows cut ``rows`` into slices, and each slice takes the category of its header.
     """
-    so_far = Window.partitionBy("page_id").orderBy("row_pos").rowsBetween(Window.unboundedPreceding, 0)
-    # The text is a column of its own, so that it is read once and not per word.
-    headed = rows.withColumn("_head", F.when(F.size("cells") == 1, cell_text(F.get("cells", F.lit(0)))))
-    header = F.when(F.col("_head").isNotNull(), category_from_header(F.col("_head")))
-    return headed.withColumn(
-        "category", F.coalesce(F.last(header, ignorenulls=True).over(so_far), F.lit(default))
-    ).drop("_head")
+
+    def slices(heads: Column) -> Column:
+        def one(head: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(heads, i + 1)["pos"], F.size("rows"))
+            some = F.slice("rows", head["pos"] + 1, end - head["pos"])
+            return F.transform(some, lambda r: F.struct(r["row_pos"].alias("row_pos"), r["cells"].alias("cells"), head["category"].alias("category")))
+
+        return F.flatten(F.transform(heads, one))
+
+    start = F.array(F.struct(F.lit(0).alias("pos"), F.lit(default).alias("category")))
+    headers = F.transform(
+        F.filter("rows", lambda r: F.size(r["cells"]) == 1),
+        lambda r: html.let(
+            cell_text(F.get(r["cells"], F.lit(0))), lambda t: F.struct(r["row_pos"].alias("pos"), category_from_header(t).alias("category"))
+        ),
+    )
+    return paged.select("page_id", F.inline(html.let(F.concat(start, headers), slices)))
 
 
-def extract_rows(pages: DataFrame, *, page_id: str = "page_id", html: str = "html") -> DataFrame:
+def extract_rows(pages: DataFrame, *, page_id: str = "page_id", html_column: str = "html") -> DataFrame:
     """WEB-1: data rows (three cells or more) with their category."""
-    return fill_category_down(table_rows(pages, page_id=page_id, html=html)).filter(F.size("cells") >= 3)
+    return fill_category_down(page_rows(pages, page_id=page_id, html_column=html_column)).filter(F.size("cells") >= 3)
 
 
 def star_count(text: Column, *, thousands: bool = False) -> Column:
@@ -194,7 +195,7 @@ def migration_category_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("category").agg(F.count(F.lit(1)).alias("items"))
 
 
-def page_links(pages: DataFrame, *, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """Link targets of the list entries of each page with their position."""
-    targets = F.regexp_extract_all(F.col(html), F.lit('<li><a href="([^"]*)">'), F.lit(1))
-    return pages.select(F.col(page_id).alias("page_id"), F.posexplode(targets).alias("row_pos", "url"))
+def page_links(pages: DataFrame, *, page_id: str = "page_id", html_column: str = "html") -> DataFrame:
+    """Targets of all links of each page with their position among the links; links without a target are passed over."""
+    targets = F.transform(html.start_tags(html_column, "a"), lambda tag: html.attribute(tag, "href"))
+    return pages.select(F.col(page_id).alias("page_id"), F.posexplode(F.filter(targets, lambda x: x.isNotNull())).alias("row_pos", "url"))

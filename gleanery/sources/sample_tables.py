@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanery.functions import html
 from gleanery.functions.columns import is_json
 from gleanery.schemas import ITEM_COLUMNS
 
@@ -374,12 +375,13 @@ def manifests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Each page's navigation list rewritten as an HTML table, inside its record.
+    """Each page's links rewritten as an HTML table, inside its record.
 
-    Targets with a length divisible by four become category rows.
+    Targets with a length divisible by four become category rows. By other lengths, attribute values hold ``>`` or stand without
+    quotes, blanks are character references, end tags are missing, and a table stands inside a cell.
     """
     pages = table(spark, folder, "pages")
-    targets = F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)">'), F.lit(1))
+    targets = F.transform(html.start_tags("html", "a"), lambda tag: html.attribute(tag, "href"))
 
     def row(target: Column) -> Column:
         size = F.length(target)
@@ -394,25 +396,38 @@ def table_pages(spark: SparkSession, folder: str) -> DataFrame:
             size > 6, F.concat(F.lit("A responsive magazine theme, "), size * 97, F.lit(" stars; well kept"))
         ).otherwise(F.concat(F.lit("Plain; "), size * 97, F.lit(" stars")))
         data = F.concat(
-            F.lit("<tr><td> Entry "), size, F.lit('</td>\n<td><a class="x" href="'), link, F.lit('">'), link,
-            F.lit("</a></td><td>"), notes, F.lit("</td></tr>\n"),
+            F.when(size % 3 == 0, F.lit("<tr><td title=\"a > b, no <td>\"> Entry ")).otherwise(F.lit("<tr><td> Entry&#32;")),
+            size,
+            F.when(size % 2 == 0, F.lit("</td>\n<td>")).otherwise(F.lit("<td>")),
+            F.when(size % 5 == 0, F.concat(F.lit("<a class=x href="), link, F.lit(">"))).otherwise(F.concat(F.lit("<a title='href=x' href=\""), link, F.lit('">'))),
+            link,
+            F.lit("</a></td><td>"),
+            notes,
+            F.when(size % 7 == 0, F.lit("</td><td><table><thead><tr><th>h</thead><tr><td>Starter&#x20;kits</table>")).otherwise(F.lit("</td>")),
+            F.lit("</tr>\n"),
         )
         return F.when(size % 4 == 0, header).otherwise(data)
 
     return pages.select(
         "page_id",
         F.concat(
-            F.lit("<html><body><table><thead><tr><th>Name</th></tr></thead><tbody>\n"),
+            F.lit("<html><body><!-- <table> --><table><thead><tr><th>Name</th></tr></thead><tbody>\n"),
             F.array_join(F.transform(targets, row), ""),
             F.lit("</tbody></table><table><tbody><tr><td>x</td></tr></tbody></table></body></html>"),
         ).alias("html"),
     )
 
 
-WEB_ROWS_SQL = """
-SELECT page_id, i - 1 AS row_pos, v[i] AS target, length(v[i]) AS size, length(v[i]) * 97 AS stars
+LINKS_SQL = """
+SELECT page_id, i - 1 AS link_pos, replace(v[i], '&amp;', '&') AS target
 FROM (SELECT page_id, v, unnest(range(1, len(v) + 1)) AS i
-      FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS v FROM pages))"""
+      FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1) AS v FROM pages))"""
+
+WEB_ROWS_SQL = f"""
+SELECT l.page_id, link_pos + 2 * before + inner_row AS row_pos, target, size, size * 97 AS stars, nested, inner_row
+FROM (SELECT *, coalesce(sum(nested::INT) OVER (PARTITION BY page_id ORDER BY link_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+      FROM (SELECT *, length(target) AS size, length(target) % 7 = 0 AND length(target) % 4 <> 0 AS nested FROM ({LINKS_SQL}))) l,
+     (SELECT unnest([0, 1, 2]) AS inner_row) WHERE inner_row = 0 OR nested"""
 
 
 # ---- events as cache entries -----------------------------------------------

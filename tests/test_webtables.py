@@ -108,7 +108,76 @@ def test_loose_html(spark, html):
     assert [list(r["cells"]) for r in rows] == [["a", "b", "c"], ["d"]]
 
 
-def test_rows_are_read_without_a_shuffle(spark):
+def test_rows_are_read_and_filled_without_a_shuffle(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id int, html string")
-    plan = W.table_rows(pages)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Python" not in plan
+    for read in (W.table_rows(pages), W.extract_rows(pages), W.row_items(W.extract_rows(pages), AS_OF), W.page_links(pages)):
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
+
+
+def rows_of(spark, html):
+    found = W.table_rows(spark.createDataFrame([(1, html)], "page_id int, html string")).orderBy("row_pos")
+    return [r[0] for r in found.select(F.transform("cells", W.cell_text)).collect()]
+
+
+@pytest.mark.parametrize(
+    ("html", "rows"),
+    [
+        ('<table><tr><td title="a > b <td>">a<td data-x=\'<tr>\'>b</table>', [["a", "b"]]),
+        ("<table><tr><td>a<table><thead><tr><th>h<td>i</thead><tr><td>b<td>c</table>d<td>e<tr><td>f</table>",
+         [["ahibcd", "i", "b", "c", "e"], ["i"], ["b", "c"], ["f"]]),
+        ("<table><thead><tr><td>a<table><tr><td>b</table></thead><tr><td>c</table>", [["b"], ["c"]]),
+        ("<table><tr><td>a</tr><table><tr><td>b</table>", [["a"]]),
+        ("<table><td>a<td>b<tbody><tr></tbody><td>c</table>", [["a", "b"], [], ["c"]]),
+        ("<table><caption>x <table><tr><td>y</table></caption><tr><td>a</table>", [["y"], ["a"]]),
+        ("<table><tr><td>a</th>b</tr></td>c</table>", [["ab"]]),
+        ("<tr><td>x</td></tr><table></table><table><tr><td>y</table>", []),
+        ("<table><tr><td>a <!-- <td> --> b<script>'<td>'</script>", [["a  b'"  + "'"]]),
+        ("<TABLE><TR><TD>a<br/>b<td/>c < d <tr", [["ab", "c < d"]]),
+    ],
+)
+def test_rows_as_a_browser_reads_them(spark, html, rows):
+    assert rows_of(spark, html) == rows
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("Tom&#8217;s &#x2014; &#X41;&#66", "Tom’s — AB"), ("&amp;lt; &lt;b&gt; &quot;&apos;", "&lt; <b> \"'"),
+        ("AT&T &unknown; & &; &amp", "AT&T &unknown; & &; &"), ("&#150;&#128;", "–€"), ("&#0;&#xD800;&#x110000;", "\ufffd" * 3),
+        ("x&nbsp;y&copy;", "x y©"), ("&ltx &copy=1", "&ltx &copy=1"), ("&#128512;", "\U0001f600"), ("1 < 2 > 0", "1 < 2 > 0"),
+    ],
+)
+def test_character_references(spark, html, text):
+    assert spark.createDataFrame([(html,)], "h string").select(W.cell_text(F.col("h"))).first()[0] == text
+
+
+@pytest.mark.parametrize(
+    ("cell", "url"),
+    [
+        ("<a href=https://x.org/a?b=c>l</a>", "https://x.org/a?b=c"), ("<a title=' href=no>' HREF = ' y&amp;z '>", "y&z"),
+        ("<a name=x><a href=y>", None), ("<abbr href=z><a data-href=q href='a>b'>", "a>b"), ("<a class=x/href=y>", None),
+        ('<a class="x"href=y>', "y"), ("<a href>", None), ("<!-- <a href=x> -->", None), ("none", None), ("<a/href=y>", "y"),
+    ],
+)
+def test_first_link(spark, cell, url):
+    assert spark.createDataFrame([(cell,)], "h string").select(W.link_target(F.col("h"))).first()[0] == url
+
+
+def test_every_link_of_a_page(spark):
+    page = "<p><a href=one>1</a><li><a class=x href='two&amp;'>2</a><a name=none><script>'<a href=no>'</script><area href=no><A HREF=\"\">"
+    found = W.page_links(spark.createDataFrame([(1, page), (2, None)], "page_id int, html string")).orderBy("row_pos").collect()
+    assert [tuple(r) for r in found] == [(1, 0, "one"), (1, 1, "two&"), (1, 2, "")]
+
+
+def test_long_tables_take_time_in_proportion(spark):
+    page = "<table>" + "".join(f'<tr><td title=">">{i}</td><td>b<td>c</tr>' for i in range(5000))
+    rows = W.extract_rows(spark.createDataFrame([(1, page)], "page_id int, html string"))
+    assert rows.agg(F.count(F.lit(1)), F.max("row_pos")).first() == (5000, 4999)
+
+
+def test_categories_are_filled_within_each_page(spark):
+    page = "<table><tr><td>a<td>b<td>c<tr><td>tools<tr><td>d<td>e<tr><td>x<tr><td>official<tr><td>f<td>g<td>h</table>"
+    paged = W.page_rows(spark.createDataFrame([(1, page), (2, "<p>")], "page_id int, html string"))
+    found = W.fill_category_down(paged).orderBy("row_pos").collect()
+    assert [(r.row_pos, r.category) for r in found] == [(0, "Other"), (1, "Tool"), (2, "Tool"), (3, "Theme"), (4, "Official"), (5, "Official")]
