@@ -147,3 +147,52 @@ def test_empty_rule_table(spark):
     base = items(spark, {"id": "a/x"})
     assert R.ignore_allowed(base, rules(spark)).count() == 1
     assert R.ignore_reasons(base, rules(spark)).select(F.col("ignore_reason")).count() == 0
+
+
+PIECES = ["abc", "x.y", "demo", "-test", "Straße", "9", "qQ"]
+AROUND = ["{0}", "^{0}", "{0}$", "({0})", "(?:{0})?z", "{0}+", "{0}*k", "[{0}]", "{0}|zz", r"\d{0}", r"{0}\.js", "(?i){0}", "(a|{0})b", "{0}{{2}}",
+          r"\Q{0}\E", "(?={0})", "(?!{0})x", "((?:{0})+)", "(?x) {0} # no", r"{0}\w+{1}", "[^{0}]{1}", "({0}|{1})", "{0}.?{1}", r"\[{0}\]", r"\\{0}", "(?<n>{0}{1})"]
+
+
+def test_patterns_are_found_as_by_trying_each(spark):
+    patterns = [a.format(p, PIECES[(i + 3) % len(PIECES)]) for i, p in enumerate(PIECES) for a in AROUND]
+    texts = [f"{a}/{b}{c}" for a in PIECES for b in ("", "demo", "[abc]", "ABCABC", "x.y.js") for c in ("-TEST", "9b", "\\demo", "zk", "ſtraK")]
+    texts += [p.upper() for p in PIECES] + [f"{p}{p}" for p in PIECES] + ["", "ab", "zz", "İıii"]
+    usable = spark.createDataFrame([(i, p) for i, p in enumerate(patterns)], "pos int, value string").where(R.pattern_error("value").isNull())
+    names = spark.createDataFrame([(t,) for t in texts], "repo string").distinct()
+    tried = names.join(usable, F.rlike("repo", F.concat(F.lit(R.ANY_CASE), F.col("value")))).groupBy("repo").agg(F.min_by("value", "pos"))
+    found = R.match_rules(names, rules(spark, patterns=patterns)).where("rule_kind IS NOT NULL").select("repo", "rule_value")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, tried.collect()))
+
+
+@pytest.mark.parametrize(
+    ("pattern", "held"),
+    [
+        ("^Machinery/.*7$", "machinery/"), (r"a\.bc", "a.bc"), ("abc?d", "ab|d"), ("(abc)+", "abc"), ("(abc)?", ""), ("abc|def", ""), ("x(abc|d)y", "x|y"),
+        ("[abc]def[^g]hij", "def|hij"), (r"\Qabc\E", ""), ("abc{2}d", "ab|d"), ("ab+cd", "ab|cd"), ("(?x)abc", ""), (r"abc\\def", "abc|def"), ("(?<!abc)def", "def"),
+        (r"#0000000[12]\d", "#0000000"), ("((abc))", "abc"), ("((((abc))))", ""), (r"\[abc\]", "abc"),
+    ],
+)
+def test_what_a_pattern_requires(spark, pattern, held):
+    want = {p[i : i + R.GRAM] for p in held.split("|") for i in range(len(p) - R.GRAM + 1)}
+    got = spark.createDataFrame([(pattern,)], "p string").select(R.required_grams("p")).first()[0]
+    assert set(got) == want
+
+
+def test_plans_do_not_grow_with_the_patterns(spark):
+    def plan(n):
+        table = spark.range(n).select(F.col("id").cast("int").alias("pos"), F.lit("pattern").alias("kind"), F.concat(F.lit("^own"), F.col("id"), F.lit("/")).alias("value"))
+        return R.match_rules(items(spark, {"id": "own7/x"}), table)
+
+    small, large = plan(10), plan(30_000)
+    sizes = [len(p._jdf.queryExecution().optimizedPlan().toString()) for p in (small, large)]
+    assert abs(sizes[1] - sizes[0]) < 50
+    text = large._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert [r.rule_value for r in small.collect()] == ["^own7/"] == [r.rule_value for r in large.collect()]
+
+
+def test_one_text_with_most_rows_is_matched_once(spark):
+    many = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit("hot/repo")).otherwise(F.concat(F.lit("own/"), F.col("id"))).alias("repo"))
+    found = R.match_rules(many, rules(spark, patterns=["^hot/", "own/.*0$", "^.$"]))
+    assert {(r[0], r[1]) for r in found.groupBy("rule_value").count().collect()} == {("^hot/", 2000), ("own/.*0$", 100), (None, 900)}
