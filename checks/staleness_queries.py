@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from gleanery.operators import reports, staleness
+from gleanery.operators import deltas, reports, staleness
 from gleanery.plans.stale_validation import stale_validation
 from gleanery.plans.update import stale_page
 from gleanery.sources import sample_tables as S
@@ -136,6 +136,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return _state_columns(staleness.upsert_state(prior, upserts, back))
 
 
+@query(
+    "state_changes",
+    f"""{CTE} SELECT CASE WHEN state = 'reactivated' THEN 'drop' ELSE 'put' END AS op, id, CASE WHEN state <> 'reactivated' THEN stars END AS stars
+        FROM detected WHERE state IN ('newly_stale', 'still_stale', 'reactivated')""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run writes of the state: months have passed, so all rows seen again differ; the others are not written."""
+    _, _, prior = _now_and_before(spark, folder)
+    return deltas.changes(prior, _stale(spark, folder)).select("op", "id", "stars")
+
+
+@query("merged_state", STATE_SQL)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The state before, read with the changes of the run."""
+    _, _, prior = _now_and_before(spark, folder)
+    return _state_columns(deltas.merged(prior, deltas.changes(prior, _stale(spark, folder)).withColumn("number", F.lit(1))))
+
+
 _CATEGORIES_SQL = """(SELECT string_agg(category || '=' || n, ',' ORDER BY category) FROM
    (SELECT category, count(*) AS n FROM {t} GROUP BY category)) AS by_category"""
 

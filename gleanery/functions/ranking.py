@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 SMALL_TABLE_ROWS = 100_000
@@ -46,6 +46,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The same, with the number of rows that meet each condition, counted as they are written and not by another scan."""
+    seen = Observation()
+    kept = materialize(df.observe(seen, *[F.count_if(c).alias(name) for name, c in conditions.items()]))
+    counted = seen.get
+    return kept, {name: counted.get(name, 0) for name in conditions}
+
+
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col: str = "rank"
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_text, long_date, text_or
@@ -12,9 +12,13 @@ from gleanery.profiles import CATEGORY_HEADINGS, USE_CASES, UseCase
 OTHER = "Other"
 
 
+def is_visible() -> Column:
+    return ~F.coalesce("hidden", F.lit(False))
+
+
 def visible(items: DataFrame) -> DataFrame:
     """FLT-7."""
-    return items.filter(~F.coalesce("hidden", F.lit(False)))
+    return items.filter(is_visible())
 
 
 # ---- order -----------------------------------------------------------------
@@ -209,3 +213,8 @@ def run_metrics(**counts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         found = found.unionByName(p)
     return found
+
+
+def metric_rows(spark: SparkSession, counted: dict[str, int]) -> DataFrame:
+    """AGG-13 from numbers that were counted as the tables were written."""
+    return spark.createDataFrame(list(counted.items()), "metric string, n long")

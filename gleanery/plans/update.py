@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_any_topic
-from gleanery.functions.ranking import materialize
+from gleanery.functions.ranking import materialize, materialize_counted
 from gleanery.operators import dedup, hits, merge, quality, reports, scoring, staleness, structure
 from gleanery.profiles import (
     DOMAIN_TOPICS,
@@ -19,7 +19,9 @@ from gleanery.profiles import (
     UPDATE_PROFILE,
     ScoringProfile,
 )
-from gleanery.sources import readers, writers
+from gleanery.schemas import ITEM, STALE_ITEM
+from gleanery.sources import writers
+from gleanery.sources.store import Run, Store, Table
 
 
 @dataclass
@@ -48,6 +50,8 @@ class UpdateResult:
     stale_summary: DataFrame
     findings: DataFrame
     metrics: DataFrame
+    counted: dict[str, int]
+    prior_stale: DataFrame
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -96,41 +100,38 @@ def update_run(
     if inputs.hits is None:
         new = inputs.existing.limit(0)
     else:
-        crawled = materialize(
+        crawled, seen = materialize_counted(
             hits.collapse_hits(
                 inputs.hits, inputs.specs, inputs.details, max_pages=max_pages, full_page=full_page
-            )
+            ),
+            crawled=F.lit(True),
+            filtered_no_topic=~has_any_topic("topics", topics),
         )
         topical = topic_gate(crawled, topics)
-        scored = materialize(
-            hits.to_item_categorized(classify_repos(topical, inputs, as_of, profile), official_owner=owner)
+        good = F.coalesce(F.col("score") >= profile.min_score, F.lit(False))
+        scored, kept = materialize_counted(
+            hits.to_item_categorized(classify_repos(topical, inputs, as_of, profile), official_owner=owner),
+            filtered_low_score=F.col("score") < profile.min_score,
+            classified=good,
         )
-        classified = scoring.score_gate(scored, profile.min_score)
-        new = materialize(dedup.clean_dataset(classified))
-        counted = {
-            "crawled": crawled,
-            "filtered_no_topic": crawled.filter(~has_any_topic("topics", topics)),
-            "filtered_low_score": scored.filter(F.col("score") < profile.min_score),
-            "classified": classified,
-        }
-
-    outcomes = materialize(
+        new = materialize(dedup.clean_dataset(scoring.score_gate(scored, profile.min_score)))
+        counted = seen | kept
+
+    outcomes, merged = materialize_counted(
         merge.merge_outcomes(
             inputs.existing, new, inputs.overrides, inputs.rules, topics=topics, owner=owner,
             domain_label=profile.domain_label,
-        )
+        ),
+        merged=F.col("outcome").isin(*merge.KEPT_OUTCOMES),
     )
-    detected = materialize(
-        staleness.detect_staleness(merge.merged_items(outcomes), inputs.prior_stale, as_of, threshold)
+    detected, rendered = materialize_counted(
+        staleness.detect_staleness(merge.merged_items(outcomes), inputs.prior_stale, as_of, threshold),
+        rendered=F.col("state").isin(staleness.ACTIVE, staleness.REACTIVATED) & reports.is_visible(),
     )
     items, state = staleness.active_items(detected), staleness.next_state(detected)
 
-    findings = quality.consistency_errors(new)
-    counted |= {
-        "merged": merge.merged_items(outcomes),
-        "rendered": reports.visible(items),
-        "errors": findings.filter(F.col("severity") == "error"),
-    }
+    findings, errors = materialize_counted(quality.consistency_errors(new), errors=F.col("severity") == "error")
+    counted |= merged | rendered | errors
     return UpdateResult(
         items=items,
         detected=detected,
@@ -139,7 +140,9 @@ def update_run(
         stale_state=state,
         stale_summary=staleness.stale_summary(detected),
         findings=findings,
-        metrics=reports.run_metrics(**counted),
+        metrics=reports.metric_rows(inputs.existing.sparkSession, counted),
+        counted=counted,
+        prior_stale=inputs.prior_stale,
         reports={
             "directory": reports.category_order(reports.directory_rows(items)),
             "use_cases": reports.use_case_lists(items),
@@ -150,14 +153,23 @@ def update_run(
     )
 
 
-def save_update(
-    result: UpdateResult, catalog_root: str, state_root: str, report_root: str, backup_root: str, as_of: datetime
-) -> None:
-    """The sinks of the run; leave this call out for a dry run."""
-    writers.backup_state(result.items.sparkSession, state_root, backup_root, as_of)
-    writers.write_stale(result.stale_state, state_root, as_of)
-    writers.write_items(result.items, catalog_root, as_of)
-    writers.write_report(result.reports, report_root, as_of)
+def _run_tables(items: DataFrame, state: DataFrame, prior: DataFrame, report_tables: dict[str, DataFrame]) -> dict[str, Table]:
+    """What a run leaves: the catalog, the state as its changes, the state before the run, and the reports."""
+    tables = {
+        "catalog": Table(reports.catalog_order(items)),
+        "state": Table(writers.spread_by_category(state), key="id", partition_by=("category",)),
+        "backup": Table(prior),
+    }
+    return tables | {f"reports/{name}": Table(rows) for name, rows in report_tables.items()}
+
+
+def save_update(result: UpdateResult, store: Store, as_of: datetime, *, after: int | None = None) -> Run:
+    """The sinks of the run, committed as one; leave this call out for a dry run.
+
+    ``after`` is the number of the run whose state and catalog were read.
+    """
+    tables = _run_tables(result.items, result.stale_state, result.prior_stale, result.reports)
+    return store.save(as_of, tables, after=after, metrics=result.counted)
 
 
 class StalePage(NamedTuple):
@@ -177,18 +189,13 @@ def stale_page(items: DataFrame, prior: DataFrame, as_of: datetime, threshold: i
     return StalePage(state, staleness.active_items(detected), directory, staleness.stale_summary(detected))
 
 
-def stale_page_run(
-    spark: SparkSession, catalog_root: str, state_root: str, report_root: str, backup_root: str, as_of: datetime
-) -> DataFrame:
+def stale_page_run(store: Store, as_of: datetime) -> DataFrame:
     """E2: take the stored catalog, move stale items to the state, keep the rest.
 
-    Returns the one-row summary.  The readers see the versions that are current now, also after the writes.
+    Returns the one-row summary.  Catalog and state are read as one run left them, also after this one is committed.
     """
-    items = readers.read_items(spark, writers.current_path(spark, catalog_root) or catalog_root)
-    prior = readers.read_stale(spark, writers.current_path(spark, state_root) or state_root)
+    run = store.last()
+    items, prior = store.read("catalog", ITEM, run), store.read("state", STALE_ITEM, run)
     page = stale_page(items, prior, as_of)
-    writers.backup_state(spark, state_root, backup_root, as_of)
-    writers.write_stale(page.state, state_root, as_of)
-    writers.write_items(page.active, catalog_root, as_of)
-    writers.write_report({"stale_directory": page.directory}, report_root, as_of)
+    store.save(as_of, _run_tables(page.active, page.state, prior, {"stale_directory": page.directory}), after=run.number if run else 0)
     return page.summary

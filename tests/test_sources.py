@@ -11,6 +11,7 @@ from gleanery import schemas as S
 from gleanery.operators import staleness as ST
 from gleanery.plans.stale_validation import stale_validation
 from gleanery.plans.update import UpdateInputs, save_update, stale_page_run, update_run
+from gleanery.sources.store import Store
 from gleanery.sources import readers as R
 from gleanery.sources import writers as W
 from tests.conftest import AS_OF, by, items, overrides, rules, stale_items
@@ -125,6 +126,17 @@ def test_state_is_read_per_category(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(category" in plan
     saved = W.backup_state(spark, root, str(tmp_path / "backup"), AS_OF)
     assert spark.read.parquet(saved).count() == 2
+    # A state without rows has no files; a second try keeps the backup of the first.
+    W.write_stale(table.limit(0), root, datetime(2027, 1, 1))
+    assert W.backup_state(spark, root, str(tmp_path / "backup"), AS_OF) == saved and spark.read.parquet(saved).count() == 2
+    empty = W.backup_state(spark, root, str(tmp_path / "backup"), datetime(2027, 1, 1))
+    assert R.read_stale(spark, empty).count() == 0
+
+
+def test_reports_are_published_once(spark, tmp_path):
+    first = W.write_report({"a": spark.range(3)}, str(tmp_path), AS_OF)
+    assert W.write_report({"a": spark.range(9)}, str(tmp_path), AS_OF) == first
+    assert spark.read.parquet(first["a"]).count() == 3
 
 
 def run_inputs(spark, **given):
@@ -170,19 +182,22 @@ def test_update_run_end_to_end(spark, tmp_path):
     assert changes["u/theme"] == "added" and changes["old/weak"] == "removed"
     assert result.stale_summary.first()["newly_stale"] == 1
 
-    roots = [str(tmp_path / n) for n in ("catalog", "state", "reports", "backup")]
-    save_update(result, *roots, AS_OF)
-    saved = R.read_items(spark, W.current_path(spark, roots[0]))
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.read("state", S.STALE_ITEM).count() == 0
+    run = save_update(result, store, AS_OF, after=0)
+    assert run.number == 1 and run.metrics["crawled"] == 4
+    saved = store.read("catalog", S.ITEM)
     assert [r["id"] for r in saved.collect()] == ["u/theme"]
-    assert spark.read.parquet(f"{roots[2]}/directory/v-{W.version_name(AS_OF)}").count() == 1
+    assert spark.read.parquet(f"{store.root}/{run.tables['reports/directory'].base}").count() == 1
 
     # Months later the stored theme has gone stale: the page run moves it.
     later = datetime(2027, 12, 1)
-    summary = stale_page_run(spark, *roots, later).first()
+    summary = stale_page_run(store, later).first()
     assert (summary["total"], summary["newly_stale"], summary["reactivated"]) == (2, 1, 0)
-    assert R.read_items(spark, W.current_path(spark, roots[0])).count() == 0
-    assert R.read_stale(spark, W.current_path(spark, roots[1])).count() == 2
-    state = R.read_stale(spark, W.current_path(spark, roots[1]))
+    assert store.read("catalog", S.ITEM).count() == 0
+    state = store.read("state", S.STALE_ITEM)
+    assert state.count() == 2 and len(store.last().tables["state"].changes) == 1
+    assert [r.id for r in store.read("backup", S.STALE_ITEM).collect()] == ["old/kept"]
     assert stale_validation(saved.limit(0), state, ST.stale_statistics(state)).count() == 0
 
 
