@@ -55,19 +55,20 @@ def materialize_counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame,
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col: str = "rank"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank_col: str = "rank", id: str = "id"
 ) -> DataFrame:
     """Number all rows of each key from 1, for few and possibly huge groups.
 
-    A window would put a whole group into one task.  Here the rows are range
-    partitioned over key and order, numbered where they are, and shifted by the
-    sizes of the slices in front of them.  ``order`` must be total per key.
+    A window would put a whole group into one task.  Here ids and keys alone are range
+    partitioned over key and order and numbered where they are; the sizes of the slices in front
+    are added, and the rank is joined back by ``id``, which is unique and not null.  So the
+    whole rows move once, and none of them is written.  ``order`` must be total per key.
     """
     key_cols = [F.col(k) for k in keys]
     placed = materialize(
         df.repartitionByRange(*key_cols, *order)
         .sortWithinPartitions(*key_cols, *order)
-        .withColumn("_slot", F.monotonically_increasing_id())
+        .select(F.col(id).alias("_id"), *key_cols, F.monotonically_increasing_id().alias("_slot"))
     ).withColumn("_slice", F.shiftright("_slot", 33))
 
     slices = placed.groupBy(*keys, "_slice").agg(
@@ -84,7 +85,7 @@ def number_rows(
     if offsets.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS:
         offsets = F.broadcast(offsets)
     same = [placed[k].eqNullSafe(offsets[f"_key_{k}"]) for k in keys]
-    return placed.join(offsets, [*same, placed["_slice"] == offsets["_key_slice"]]).select(
-        *df.columns,
-        (F.col("_slot") - F.col("_first") + F.col("_ahead") + 1).alias(rank_col),
+    ranks = placed.join(offsets, [*same, placed["_slice"] == offsets["_key_slice"]]).select(
+        "_id", (F.col("_slot") - F.col("_first") + F.col("_ahead") + 1).alias("_rank")
     )
+    return df.join(ranks, F.col(id) == F.col("_id")).select(*df.columns, F.col("_rank").alias(rank_col))

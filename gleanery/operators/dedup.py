@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_text
-from gleanery.functions.ranking import first_per_key, materialize
+from gleanery.functions.ranking import SMALL_TABLE_ROWS, first_per_key, materialize
 
 REPO_REASON = "Multiple entries for repository: "
 URL_REASON = "Multiple entries with same URL: "
+# Rows of one group that one task joins, about.
+HEAVY_GROUP = 100_000
 
 
 def repo_key() -> Column:
@@ -40,13 +42,28 @@ def dedup_groups(items: DataFrame, key: Column, *, reason: str, tie: str = "id")
     )
 
 
-def dedup_members(items: DataFrame, key: Column, *, reason: str, tie: str = "id") -> DataFrame:
-    """AGG-8, long form: one row per duplicate, so no group is held as an array."""
-    groups = dedup_groups(items, key, reason=reason, tie=tie).drop("duplicates")
+def dedup_members(items: DataFrame, key: Column, *, reason: str, tie: str = "id", heavy: int = HEAVY_GROUP) -> DataFrame:
+    """AGG-8, long form: one row per duplicate, so no group is held as an array.
+
+    A group of more than ``heavy`` rows is dealt to parts of about that size: its row is repeated once for each part,
+    and its members go to the part that their id gives. Other groups have one part and are not repeated.
+    """
+    groups = dedup_groups(items, key, reason=reason, tie=tie)
+    parts = F.ceil((F.col("duplicates") + 1) / heavy)
+    spread = materialize(groups.select("group_key", "primary_id", "reason", parts.alias("_parts")))
+    split = spread.where("_parts > 1").select(F.col("group_key").alias("_heavy"), F.col("_parts").alias("_of"))
+    # At most one heavy group per ``heavy`` rows; sent whole only if they are few.
+    if split.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS:
+        split = F.broadcast(split)
+    members = items.select(key.alias("group_key"), F.col("id").alias("duplicate_id"))
+    dealt = members.join(split, F.col("group_key") == F.col("_heavy"), "left").select(
+        "group_key", "duplicate_id", F.pmod(F.xxhash64("duplicate_id"), F.coalesce("_of", F.lit(1))).alias("_part")
+    )
+    each = spread.select("group_key", "primary_id", "reason", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
     return (
-        items.select(key.alias("group_key"), F.col("id").alias("duplicate_id"))
-        .join(groups, "group_key")
+        dealt.join(each, ["group_key", "_part"])
         .filter(F.col("duplicate_id") != F.col("primary_id"))
+        .select("group_key", "duplicate_id", "primary_id", "reason")
     )
 
 

@@ -109,3 +109,21 @@ def test_one_hot_key_with_a_third_of_all_rows(spark):
     members = D.dedup_members(hot, D.repo_key(), reason="")
     assert members.count() == n // 3 - 1
     assert by(D.dedup_groups(hot, D.repo_key(), reason=""), "group_key")["hot"]["duplicates"] == n // 3 - 1
+
+
+def test_a_heavy_group_is_dealt_to_many_tasks_without_adaptive_help(spark):
+    base = spark.range(30_000).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 > 0, F.lit("Hot/Repo")).otherwise(F.concat(F.lit("own/"), F.col("id") % 4000)).alias("repo"),
+        (F.col("id") % 7).alias("stars"),
+    )
+    plain = D.dedup_members(base, D.repo_key(), reason="r ")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = D.dedup_members(base, D.repo_key(), reason="r ", heavy=500)
+        sizes = [r["count"] for r in split.where("group_key = 'hot/repo'").groupBy(F.spark_partition_id()).count().collect()]
+        found = split.exceptAll(plain).count(), plain.exceptAll(split).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == (0, 0) and sum(sizes) == 19_999 and len(sizes) >= 6 and max(sizes) < 0.4 * sum(sizes)

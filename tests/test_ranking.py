@@ -27,6 +27,21 @@ def test_numbering_equals_a_window(spark, monkeypatch, small):
     assert got == want and len(got) == 5000
 
 
+def test_numbering_writes_ids_only_and_splits_a_hot_group(spark, monkeypatch):
+    written, keep = [], R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df: written.append(keep(df)) or written[-1])
+    wide = groups(spark, 50_000).withColumn("text", F.repeat(F.col("id").cast("string"), 50)).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = R.number_rows(wide, ["g"], [F.desc("v"), F.asc("id")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (table,) = written
+    assert table.columns == ["_id", "g", "_slot"] and ranked.columns == [*wide.columns, "rank"]
+    hot = table.where("g = 'hot'").groupBy(F.shiftright("_slot", 33)).count().collect()
+    assert len(hot) >= 4 and max(r["count"] for r in hot) < 0.5 * sum(r["count"] for r in hot)
+
+
 def test_numbering_of_nothing(spark):
     assert R.number_rows(groups(spark).limit(0), ["g"], [F.asc("id")]).count() == 0
 
