@@ -49,8 +49,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     found = S.hits(spark, folder)
     # A page counts as full from the size of the smallest first page on.
     least = H.page_sizes(found.filter("page = 1")).agg(F.min("page_size")).first()[0]
-    bounds = H.bounds_of(S.search_specs(spark, folder))
-    read = H.page_limit(found, bounds, max_pages=PAGES, full_page=least)
+    read = H.page_limit(found, max_pages=PAGES, full_page=least)
     return read.select("query_pos", "page", "hit_pos")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.functions.columns import has_text
-from gleanery.functions.ranking import SMALL_TABLE_ROWS, first_per_key, top_k_per_key
+from gleanery.functions.ranking import SMALL_TABLE_ROWS, first_per_key, materialize, top_k_per_key
 
 MAX_PAGES = 10
 PAGE_SIZE = 100
@@ -55,11 +55,16 @@ def pages_read(hits: DataFrame, *, max_pages: int = MAX_PAGES, full_page: int =
 
 
 def page_limit(
-    hits: DataFrame, bounds: Bounds, *, max_pages: int = MAX_PAGES, full_page: int = PAGE_SIZE
+    hits: DataFrame, bounds: Bounds | None = None, *, max_pages: int = MAX_PAGES, full_page: int = PAGE_SIZE
 ) -> DataFrame:
-    """Keep the hits of the pages read.  ``bounds`` limits the size of the page table."""
+    """Keep the hits of the pages read.
+
+    ``bounds`` limits the size of the page table; it may be given only where all hits are of listed queries.
+    """
     pages = pages_read(hits, max_pages=max_pages, full_page=full_page).drop("page_size")
-    return hits.join(_sent_whole(pages, bounds.queries * max_pages), ["query_pos", "page"], "left_semi")
+    if bounds:
+        pages = _sent_whole(pages, bounds.queries * max_pages)
+    return hits.join(pages, ["query_pos", "page"], "left_semi")
 
 
 def first_seen_within_query(hits: DataFrame) -> DataFrame:
@@ -151,13 +156,15 @@ def collapse_hits(
 ) -> DataFrame:
     """CRL-1: paging, first seen per query, filters, cap, first seen overall.
 
-    The windows run over a few narrow columns.  What they leave is at most the
-    sum of all caps, so the whole rows are fetched by position in a second scan
-    and are never shuffled.  (query_pos, page, hit_pos) identifies a hit.
+    A few narrow columns of the hits of listed queries are written once to the scratch folder; paging, first seen and
+    cap work on them.  What they leave is at most the sum of all caps, so the whole rows are fetched by
+    position in a second scan and are never shuffled.  (query_pos, page, hit_pos) identifies a hit.
     """
     bounds = bounds_of(specs)
     position = ["query_pos", "page", "hit_pos"]
-    seen = hits.select(*position, "full_name", "stargazers_count", "archived", "fork")
+    listed = _sent_whole(specs.select("query_pos"), bounds.queries)
+    seen = hits.filter(F.col("page") <= max_pages).join(listed, "query_pos", "left_semi")
+    seen = materialize(seen.select(*position, "full_name", "stargazers_count", "archived", "fork"))
     seen = page_limit(seen, bounds, max_pages=max_pages, full_page=full_page)
     seen = first_seen_within_query(seen)
     seen = include_hits(seen, include_archived=include_archived, include_forks=include_forks)

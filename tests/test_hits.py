@@ -139,6 +139,19 @@ def test_whole_rows_are_fetched_by_position(spark):
     assert "BroadcastHashJoin" in top and "Window" not in top and "hashpartitioning" not in top
 
 
+def test_hits_are_scanned_twice_and_stray_queries_left_out(spark, tmp_path):
+    """Hits of a query that no list has never reach a table that is sent whole."""
+    rows = [hit(q, p, k, f"a/{q}-{p}-{k}") for q in (0, 7, 8) for p in (1, 2) for k in range(3)]
+    table(spark, *rows).write.parquet(str(tmp_path / "hits"))
+    stored = spark.read.parquet(str(tmp_path / "hits"))
+    found = H.collapse_hits(stored, specs(spark, (4, 0)), full_page=3)
+    assert {r.full_name for r in found.collect()} == {"a/0-1-0", "a/0-1-1", "a/0-1-2", "a/0-2-0"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count(str(tmp_path / "hits")) == 1
+    limited = H.page_limit(stored, full_page=3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in limited
+
+
 def test_repo_metadata(spark):
     contents = spark.createDataFrame(
         [
