@@ -48,6 +48,7 @@ def _run(spark: SparkSession, folder: str) -> UpdateResult:
     listing = S.listing(spark, folder).withColumn(
         "full_name", F.concat(F.lit("u/user-"), F.split_part("full_name", F.lit("/"), F.lit(2)))
     )
+    manifests = S.manifests(spark, folder).withColumn("full_name", _user(F.split_part("full_name", F.lit("/"), F.lit(2))))
     inputs = UpdateInputs(
         existing=existing,
         overrides=overrides,
@@ -58,6 +59,7 @@ def _run(spark: SparkSession, folder: str) -> UpdateResult:
         details=S.details(spark, folder),
         readmes=docs,
         contents=listing,
+        manifests=manifests,
     )
     return update_run(
         inputs, as_of, profile=PROFILE, topics=TOPICS, owner="u2", max_pages=HQ.PAGES, full_page=1
@@ -70,8 +72,8 @@ st AS (SELECT CAST(substring(full_name, 3) AS BIGINT) AS user_id, greatest(0, le
     ne * 25 + CASE WHEN template_files - ne > 0 THEN least((template_files - ne) * 5, 20) ELSE 0 END + nd * 10
     + CASE WHEN has_package_json THEN 15 ELSE 0 END + least(css_files * 3, 15) + least(js_files * 2, 10)
     + CASE WHEN image_files > 0 THEN 5 ELSE 0 END + least(partial_files * 3, 15) + CASE WHEN has_config THEN 10 ELSE 0 END
-    - (CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10 + CASE WHEN ha THEN 0 ELSE 5 END
-       + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END))) AS s FROM y),
+    + {SQ.MANIFEST_POINTS} - (CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10 + CASE WHEN ha THEN 0 ELSE 5 END
+       + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END))) AS s FROM y LEFT JOIN ({SQ.manifest_sql(TOPICS)}) m USING (full_name)),
 crawled AS (SELECT f.*, lower(c_mktsegment) AS topic, lower(text) AS t, coalesce(st.s, 0) AS s
             FROM first_seen f LEFT JOIN customer ON c_custkey = f.user_id LEFT JOIN documents d ON d.doc_id = f.user_id
             LEFT JOIN st ON st.user_id = f.user_id),

@@ -203,20 +203,64 @@ def structure_features(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumns({**lists, "suspicious": F.array_join("suspicious", ";")})
 
 
+def manifest_sql(keywords: tuple[str, ...]) -> str:
+    """What each manifest holds, by the rules of ``sample_tables.manifests``."""
+    return f"""SELECT 'r/' || p_partkey AS full_name, p_size > 30 AS engine, '>=' || p_size AS version, p_size > 3 AND p_size < 20 AS deps,
+      CASE WHEN p_size > 3 THEN concat_ws(', ', CASE WHEN {has_any('lower(p_type)', keywords)} THEN p_type END,
+        CASE WHEN {has_any('lower(p_brand)', keywords)} THEN p_brand END) ELSE '' END AS words FROM part"""
+
+
+#: Points of a manifest beside the listing that has it.
+MANIFEST_POINTS = """CASE WHEN has_package_json AND engine THEN 20 ELSE 0 END + CASE WHEN has_package_json AND words <> '' THEN 10 ELSE 0 END
+    + CASE WHEN has_package_json AND deps THEN 15 ELSE 0 END"""
+_WORDS = ("small", "#1")
+
+
+def _listed_with_manifests(spark: SparkSession, folder: str) -> DataFrame:
+    features = X.structure_features(S.listing(spark, folder))
+    manifests = X.manifest_features(S.manifests(spark, folder), domain_keywords=_WORDS)
+    return X.with_structure(features.select("full_name"), features, manifests)
+
+
+@query(
+    "structure_reasons",
+    f"""{LISTED}, m AS ({manifest_sql(_WORDS)}), r AS (SELECT *, template_files - ne AS extra FROM y LEFT JOIN m USING (full_name))
+    SELECT full_name, concat_ws('; ',
+      CASE WHEN ne > 0 THEN 'Found essential Ghost theme files: ' || replace(essential_files, ',', ', ') END,
+      CASE WHEN extra > 0 THEN 'Found ' || extra || ' additional .hbs files' END,
+      CASE WHEN theme_directories <> '' THEN 'Found theme directories: ' || replace(theme_directories, ',', ', ') END,
+      CASE WHEN has_package_json THEN 'Contains package.json' END,
+      CASE WHEN has_package_json AND engine THEN 'Specifies Ghost engine version: ' || version END,
+      CASE WHEN has_package_json AND words <> '' THEN 'Package.json contains Ghost keywords: ' || words END,
+      CASE WHEN has_package_json AND deps THEN 'Contains Ghost-related dependencies' END,
+      CASE WHEN css_files > 0 THEN 'Found ' || css_files || ' CSS/SCSS files' END,
+      CASE WHEN js_files > 0 THEN 'Found ' || js_files || ' JavaScript files' END,
+      CASE WHEN image_files > 0 THEN 'Found ' || image_files || ' image files' END,
+      CASE WHEN partial_files > 0 THEN 'Found ' || partial_files || ' partial templates' END,
+      CASE WHEN has_config THEN 'Contains Ghost configuration files' END,
+      CASE WHEN template_files = 0 THEN 'Structure penalty: No Handlebars (.hbs) files found' END,
+      CASE WHEN suspicious <> '' THEN 'Structure penalty: ' || replace(suspicious, ';', '; Structure penalty: ') END,
+      CASE WHEN NOT (ha AND hp) THEN 'Structure penalty: Missing essential directories: ' ||
+        concat_ws(', ', CASE WHEN NOT ha THEN 'assets' END, CASE WHEN NOT hp THEN 'partials' END) END,
+      CASE WHEN css_files = 0 THEN 'Structure penalty: No CSS/SCSS files found' END) AS reasons FROM r""",
+)
+def structure_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines about listing and manifest, for listings of every kind."""
+    return _listed_with_manifests(spark, folder).select("full_name", F.concat_ws("; ", *X.structure_reasons("Ghost")).alias("reasons"))
+
+
 @query(
     "structure_signal",
-    f"""{LISTED}, p AS (SELECT *, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
+    f"""{LISTED}, m AS ({manifest_sql(_WORDS)}), p AS (SELECT *, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
            + CASE WHEN ha THEN 0 ELSE 5 END + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END AS penalty,
            ne * 25 + CASE WHEN template_files - ne > 0 THEN least((template_files - ne) * 5, 20) ELSE 0 END + nd * 10
            + CASE WHEN has_package_json THEN 15 ELSE 0 END + least(css_files * 3, 15) + least(js_files * 2, 10)
            + CASE WHEN image_files > 0 THEN 5 ELSE 0 END + least(partial_files * 3, 15) + CASE WHEN has_config THEN 10 ELSE 0 END
-           AS points FROM y)
+           + {MANIFEST_POINTS} AS points FROM y LEFT JOIN m USING (full_name))
         SELECT full_name, CAST(penalty AS BIGINT) AS penalty, CAST(greatest(0, least(100, points - penalty)) AS BIGINT) AS signal FROM p""",
 )
 def structure_signal(spark: SparkSession, folder: str) -> DataFrame:
-    features = X.structure_features(S.listing(spark, folder))
-    found = X.with_structure(features.select("full_name"), features)
-    return found.select(
+    return _listed_with_manifests(spark, folder).select(
         "full_name",
         X.structure_penalty().cast("long").alias("penalty"),
         X.structure_signal().cast("long").alias("signal"),
