@@ -43,6 +43,78 @@ def _topics(words: tuple[str, ...]) -> str:
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160) || chr(8232) || chr(8233) || chr(65279)"
 
+LISTED = f"""
+WITH f AS ({S.LISTING_SQL}),
+x AS (SELECT full_name,
+  count(*) FILTER (l = 1 OR (l = 6 AND f = 'N') OR (l = 7 AND f = 'A')) AS template_files,
+  concat_ws(',', CASE WHEN bool_or(l = 1 AND f = 'A') THEN 'index.hbs' END, CASE WHEN bool_or(l = 1 AND f = 'R') THEN 'post.hbs' END,
+    CASE WHEN bool_or(l = 1 AND f = 'N') THEN 'default.hbs' END) AS essential_files,
+  concat_ws(',', CASE WHEN bool_or(l = 2 AND f = 'N') THEN 'partials' END, CASE WHEN bool_or(l = 2 AND f = 'A') THEN 'assets' END,
+    CASE WHEN bool_or(l = 2 AND f = 'R') THEN 'locales' END) AS theme_directories,
+  bool_or(l = 3 AND f = 'A') AS has_package_json, bool_or(l = 6 AND f = 'A') AS has_config,
+  bool_or(l = 2 AND f = 'A') AS ha, bool_or(l = 2 AND f = 'N') AS hp,
+  count(*) FILTER (l = 4 AND f = 'A') AS css, count(*) FILTER (l = 4 AND f = 'N') AS js, count(*) FILTER (l = 4 AND f = 'R') AS img,
+  count(*) FILTER (l = 5 AND f = 'A') AS par,
+  count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) AS doc_files,
+  concat_ws(';', CASE WHEN bool_or(l = 3 AND f = 'R') THEN 'Build tools present: webpack.config.js' END,
+    CASE WHEN bool_or(l = 6 AND f = 'R') THEN 'Framework files present: angular.json' END,
+    CASE WHEN bool_or((l = 5 AND f = 'N') OR (l = 7 AND f = 'R')) THEN 'Server-side files present: ' ||
+      concat_ws(', ', CASE WHEN bool_or(l = 5 AND f = 'N') THEN 'server.js' END, CASE WHEN bool_or(l = 7 AND f = 'R') THEN 'main.py' END) END,
+    CASE WHEN count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) > 5
+      THEN 'Many documentation files: ' || count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) END) AS suspicious
+  FROM f GROUP BY full_name),
+y AS (SELECT *, CASE WHEN ha THEN css ELSE 0 END AS css_files, CASE WHEN ha THEN js ELSE 0 END AS js_files,
+             CASE WHEN ha THEN img ELSE 0 END AS image_files, CASE WHEN hp THEN par ELSE 0 END AS partial_files,
+             CASE WHEN essential_files = '' THEN 0 ELSE len(string_split(essential_files, ',')) END AS ne,
+             CASE WHEN theme_directories = '' THEN 0 ELSE len(string_split(theme_directories, ',')) END AS nd,
+             CASE WHEN suspicious = '' THEN 0 ELSE len(string_split(suspicious, ';')) END AS ns FROM x)
+"""
+
+
+def manifest_sql(keywords: tuple[str, ...]) -> str:
+    """What each manifest holds, by the rules of ``sample_tables.manifests``."""
+    return f"""SELECT 'r/' || p_partkey AS full_name, p_size > 30 AS engine, '>=' || p_size AS version, p_size > 3 AND p_size < 20 AS deps,
+      CASE WHEN p_size > 3 THEN concat_ws(', ', CASE WHEN {has_any('lower(p_type)', keywords)} THEN p_type END,
+        CASE WHEN {has_any('lower(p_brand)', keywords)} THEN p_brand END) ELSE '' END AS words FROM part"""
+
+
+#: Points of a manifest beside the listing that has it.
+MANIFEST_POINTS = """CASE WHEN has_package_json AND engine THEN 20 ELSE 0 END + CASE WHEN has_package_json AND words <> '' THEN 10 ELSE 0 END
+    + CASE WHEN has_package_json AND deps THEN 15 ELSE 0 END"""
+_WORDS = ("small", "#1")
+
+
+STRUCTURE = f"""
+m AS ({manifest_sql(_WORDS)}),
+points AS (SELECT *, template_files - ne AS extra, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
+  + CASE WHEN ha THEN 0 ELSE 5 END + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END AS lost,
+  ne * 25 + CASE WHEN template_files - ne > 0 THEN least((template_files - ne) * 5, 20) ELSE 0 END + nd * 10
+  + CASE WHEN has_package_json THEN 15 ELSE 0 END + least(css_files * 3, 15) + least(js_files * 2, 10)
+  + CASE WHEN image_files > 0 THEN 5 ELSE 0 END + least(partial_files * 3, 15) + CASE WHEN has_config THEN 10 ELSE 0 END
+  + {MANIFEST_POINTS} AS won FROM y LEFT JOIN m USING (full_name)),
+st AS (SELECT full_name, CAST(lost AS BIGINT) AS penalty, CAST(greatest(0, least(100, won - lost)) AS BIGINT) AS signal, list_filter(list_concat([
+      CASE WHEN ne > 0 THEN 'Found essential Ghost theme files: ' || replace(essential_files, ',', ', ') END,
+      CASE WHEN extra > 0 THEN 'Found ' || extra || ' additional .hbs files' END,
+      CASE WHEN theme_directories <> '' THEN 'Found theme directories: ' || replace(theme_directories, ',', ', ') END,
+      CASE WHEN has_package_json THEN 'Contains package.json' END,
+      CASE WHEN has_package_json AND engine THEN 'Specifies Ghost engine version: ' || version END,
+      CASE WHEN has_package_json AND words <> '' THEN 'Package.json contains Ghost keywords: ' || words END,
+      CASE WHEN has_package_json AND deps THEN 'Contains Ghost-related dependencies' END,
+      CASE WHEN css_files > 0 THEN 'Found ' || css_files || ' CSS/SCSS files' END,
+      CASE WHEN js_files > 0 THEN 'Found ' || js_files || ' JavaScript files' END,
+      CASE WHEN image_files > 0 THEN 'Found ' || image_files || ' image files' END,
+      CASE WHEN partial_files > 0 THEN 'Found ' || partial_files || ' partial templates' END,
+      CASE WHEN has_config THEN 'Contains Ghost configuration files' END,
+      CASE WHEN template_files = 0 THEN 'Structure penalty: No Handlebars (.hbs) files found' END],
+    CASE WHEN suspicious <> '' THEN list_transform(string_split(suspicious, ';'), lambda x: 'Structure penalty: ' || x) ELSE [] END,
+    [CASE WHEN NOT (ha AND hp) THEN 'Structure penalty: Missing essential directories: ' ||
+        concat_ws(', ', CASE WHEN NOT ha THEN 'assets' END, CASE WHEN NOT hp THEN 'partials' END) END,
+      CASE WHEN css_files = 0 THEN 'Structure penalty: No CSS/SCSS files found' END]), lambda x: x IS NOT NULL) AS lines FROM points)"""
+
+#: The lines about a repository without a listing.
+_BARE = """['Structure penalty: No Handlebars (.hbs) files found', 'Structure penalty: Missing essential directories: assets, partials',
+  'Structure penalty: No CSS/SCSS files found']"""
+
 CTE = f"""
 WITH docs AS ({S.DOCUMENT_REPOS_SQL}),
 d AS (SELECT *, {_topics(DOMAIN)} AS dom, {_topics(THEME)} AS thm, lower(name || ' ' || coalesce(description, '')) AS label,
@@ -63,8 +135,10 @@ s AS (SELECT *,
     + CASE WHEN fork THEN 15 ELSE 0 END + CASE WHEN short = '' THEN 8 ELSE 0 END
     + CASE WHEN description <> '' AND length(short) < 20 THEN 5 ELSE 0 END AS penalty_signal
   FROM d),
-w AS (SELECT *, CAST(greatest(0, least(100, floor(topic_signal::DOUBLE * 0.4::DOUBLE + text_signal::DOUBLE * 0.3::DOUBLE
-        + 0::DOUBLE * 0.25::DOUBLE - penalty_signal::DOUBLE * 0.05::DOUBLE + 0.5::DOUBLE))) AS INTEGER) AS score FROM s),
+{LISTED.replace('WITH', '', 1)},
+{STRUCTURE},
+w AS (SELECT s.*, coalesce(lines, {_BARE}) AS lines, CAST(greatest(0, least(100, floor(topic_signal::DOUBLE * 0.4::DOUBLE + text_signal::DOUBLE * 0.3::DOUBLE
+        + coalesce(signal, 0)::DOUBLE * 0.25::DOUBLE - penalty_signal::DOUBLE * 0.05::DOUBLE + 0.5::DOUBLE))) AS INTEGER) AS score FROM s LEFT JOIN st ON st.full_name = 'r/' || doc_id),
 c AS (SELECT *, CASE WHEN score >= 75 THEN 'high' WHEN score >= 50 THEN 'medium' ELSE 'low' END AS confidence FROM w)
 """
 
@@ -97,13 +171,16 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    """Scored without listings: every document counts as a bare repository."""
-    features = X.structure_features(
-        _docs(spark, folder).select(
-            "full_name", F.lit("notes.txt").alias("path"), F.lit("notes.txt").alias("name"), F.lit("file").alias("type")
-        )
-    )
-    return C.classify(X.with_structure(_docs(spark, folder), features), AS_OF, PROFILE)
+    """Each document with the listing of the order and the manifest of the part that have its number."""
+    docs = _docs(spark, folder)
+    names = docs.select(F.col("full_name").alias("_name"), F.concat(F.lit("r/"), "doc_id").alias("_number"))
+
+    def of_documents(table: DataFrame) -> DataFrame:
+        return table.join(names, F.col("full_name") == F.col("_number")).withColumn("full_name", F.col("_name")).drop("_name", "_number")
+
+    features = X.structure_features(of_documents(S.listing(spark, folder)))
+    manifests = X.manifest_features(of_documents(S.manifests(spark, folder)), domain_keywords=_WORDS)
+    return C.classify(X.with_structure(docs, features, manifests), AS_OF, PROFILE)
 
 
 @query("weighted_score", f"{CTE} SELECT doc_id, score FROM c")
@@ -139,9 +216,7 @@ _REASONS = ", ".join(
         _reason("README", "Contains installation/setup instructions", has_any("t", ("install", "setup", "download"))),
         _reason("README", "Contains demo/preview links", has_any("t", ("demo", "preview", "live"))),
         _reason("README", "Contains images/screenshots", has_any("t", ("![", "<img"))),
-        _reason("Structure", "Structure penalty: No Handlebars (.hbs) files found", "true"),
-        _reason("Structure", "Structure penalty: Missing essential directories: assets, partials", "true"),
-        _reason("Structure", "Structure penalty: No CSS/SCSS files found", "true"),
+        "array_to_string(list_transform(lines, lambda x: 'Structure: ' || x), '|')",
         _reason("Penalty", "Repository is archived (major penalty)", "archived"),
         _reason("Penalty", "No activity since ", "pushed_at < TIMESTAMP '2022-01-01'", "strftime(pushed_at, '%a %b %d %Y')"),
         "CASE WHEN stars < 3 THEN 'Penalty: Very low star count: ' || stars WHEN stars < 10 THEN 'Penalty: Low star count: ' || stars END",
@@ -164,34 +239,6 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # ---- structure -------------------------------------------------------------
-LISTED = f"""
-WITH f AS ({S.LISTING_SQL}),
-x AS (SELECT full_name,
-  count(*) FILTER (l = 1 OR (l = 6 AND f = 'N') OR (l = 7 AND f = 'A')) AS template_files,
-  concat_ws(',', CASE WHEN bool_or(l = 1 AND f = 'A') THEN 'index.hbs' END, CASE WHEN bool_or(l = 1 AND f = 'R') THEN 'post.hbs' END,
-    CASE WHEN bool_or(l = 1 AND f = 'N') THEN 'default.hbs' END) AS essential_files,
-  concat_ws(',', CASE WHEN bool_or(l = 2 AND f = 'N') THEN 'partials' END, CASE WHEN bool_or(l = 2 AND f = 'A') THEN 'assets' END,
-    CASE WHEN bool_or(l = 2 AND f = 'R') THEN 'locales' END) AS theme_directories,
-  bool_or(l = 3 AND f = 'A') AS has_package_json, bool_or(l = 6 AND f = 'A') AS has_config,
-  bool_or(l = 2 AND f = 'A') AS ha, bool_or(l = 2 AND f = 'N') AS hp,
-  count(*) FILTER (l = 4 AND f = 'A') AS css, count(*) FILTER (l = 4 AND f = 'N') AS js, count(*) FILTER (l = 4 AND f = 'R') AS img,
-  count(*) FILTER (l = 5 AND f = 'A') AS par,
-  count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) AS doc_files,
-  concat_ws(';', CASE WHEN bool_or(l = 3 AND f = 'R') THEN 'Build tools present: webpack.config.js' END,
-    CASE WHEN bool_or(l = 6 AND f = 'R') THEN 'Framework files present: angular.json' END,
-    CASE WHEN bool_or((l = 5 AND f = 'N') OR (l = 7 AND f = 'R')) THEN 'Server-side files present: ' ||
-      concat_ws(', ', CASE WHEN bool_or(l = 5 AND f = 'N') THEN 'server.js' END, CASE WHEN bool_or(l = 7 AND f = 'R') THEN 'main.py' END) END,
-    CASE WHEN count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) > 5
-      THEN 'Many documentation files: ' || count(*) FILTER ((l = 3 AND f = 'N') OR (l = 5 AND f = 'R')) END) AS suspicious
-  FROM f GROUP BY full_name),
-y AS (SELECT *, CASE WHEN ha THEN css ELSE 0 END AS css_files, CASE WHEN ha THEN js ELSE 0 END AS js_files,
-             CASE WHEN ha THEN img ELSE 0 END AS image_files, CASE WHEN hp THEN par ELSE 0 END AS partial_files,
-             CASE WHEN essential_files = '' THEN 0 ELSE len(string_split(essential_files, ',')) END AS ne,
-             CASE WHEN theme_directories = '' THEN 0 ELSE len(string_split(theme_directories, ',')) END AS nd,
-             CASE WHEN suspicious = '' THEN 0 ELSE len(string_split(suspicious, ';')) END AS ns FROM x)
-"""
-
-
 @query(
     "structure_features",
     f"""{LISTED} SELECT full_name, template_files, essential_files, theme_directories, has_package_json, has_config,
@@ -203,62 +250,19 @@ def structure_features(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumns({**lists, "suspicious": F.array_join("suspicious", ";")})
 
 
-def manifest_sql(keywords: tuple[str, ...]) -> str:
-    """What each manifest holds, by the rules of ``sample_tables.manifests``."""
-    return f"""SELECT 'r/' || p_partkey AS full_name, p_size > 30 AS engine, '>=' || p_size AS version, p_size > 3 AND p_size < 20 AS deps,
-      CASE WHEN p_size > 3 THEN concat_ws(', ', CASE WHEN {has_any('lower(p_type)', keywords)} THEN p_type END,
-        CASE WHEN {has_any('lower(p_brand)', keywords)} THEN p_brand END) ELSE '' END AS words FROM part"""
-
-
-#: Points of a manifest beside the listing that has it.
-MANIFEST_POINTS = """CASE WHEN has_package_json AND engine THEN 20 ELSE 0 END + CASE WHEN has_package_json AND words <> '' THEN 10 ELSE 0 END
-    + CASE WHEN has_package_json AND deps THEN 15 ELSE 0 END"""
-_WORDS = ("small", "#1")
-
-
 def _listed_with_manifests(spark: SparkSession, folder: str) -> DataFrame:
     features = X.structure_features(S.listing(spark, folder))
     manifests = X.manifest_features(S.manifests(spark, folder), domain_keywords=_WORDS)
     return X.with_structure(features.select("full_name"), features, manifests)
 
 
-@query(
-    "structure_reasons",
-    f"""{LISTED}, m AS ({manifest_sql(_WORDS)}), r AS (SELECT *, template_files - ne AS extra FROM y LEFT JOIN m USING (full_name))
-    SELECT full_name, concat_ws('; ',
-      CASE WHEN ne > 0 THEN 'Found essential Ghost theme files: ' || replace(essential_files, ',', ', ') END,
-      CASE WHEN extra > 0 THEN 'Found ' || extra || ' additional .hbs files' END,
-      CASE WHEN theme_directories <> '' THEN 'Found theme directories: ' || replace(theme_directories, ',', ', ') END,
-      CASE WHEN has_package_json THEN 'Contains package.json' END,
-      CASE WHEN has_package_json AND engine THEN 'Specifies Ghost engine version: ' || version END,
-      CASE WHEN has_package_json AND words <> '' THEN 'Package.json contains Ghost keywords: ' || words END,
-      CASE WHEN has_package_json AND deps THEN 'Contains Ghost-related dependencies' END,
-      CASE WHEN css_files > 0 THEN 'Found ' || css_files || ' CSS/SCSS files' END,
-      CASE WHEN js_files > 0 THEN 'Found ' || js_files || ' JavaScript files' END,
-      CASE WHEN image_files > 0 THEN 'Found ' || image_files || ' image files' END,
-      CASE WHEN partial_files > 0 THEN 'Found ' || partial_files || ' partial templates' END,
-      CASE WHEN has_config THEN 'Contains Ghost configuration files' END,
-      CASE WHEN template_files = 0 THEN 'Structure penalty: No Handlebars (.hbs) files found' END,
-      CASE WHEN suspicious <> '' THEN 'Structure penalty: ' || replace(suspicious, ';', '; Structure penalty: ') END,
-      CASE WHEN NOT (ha AND hp) THEN 'Structure penalty: Missing essential directories: ' ||
-        concat_ws(', ', CASE WHEN NOT ha THEN 'assets' END, CASE WHEN NOT hp THEN 'partials' END) END,
-      CASE WHEN css_files = 0 THEN 'Structure penalty: No CSS/SCSS files found' END) AS reasons FROM r""",
-)
+@query("structure_reasons", f"{LISTED}, {STRUCTURE} SELECT full_name, array_to_string(lines, '; ') AS reasons FROM st")
 def structure_reasons(spark: SparkSession, folder: str) -> DataFrame:
     """All lines about listing and manifest, for listings of every kind."""
     return _listed_with_manifests(spark, folder).select("full_name", F.concat_ws("; ", *X.structure_reasons("Ghost")).alias("reasons"))
 
 
-@query(
-    "structure_signal",
-    f"""{LISTED}, m AS ({manifest_sql(_WORDS)}), p AS (SELECT *, CASE WHEN template_files = 0 THEN 30 ELSE 0 END + ns * 10
-           + CASE WHEN ha THEN 0 ELSE 5 END + CASE WHEN hp THEN 0 ELSE 5 END + CASE WHEN css_files = 0 THEN 15 ELSE 0 END AS penalty,
-           ne * 25 + CASE WHEN template_files - ne > 0 THEN least((template_files - ne) * 5, 20) ELSE 0 END + nd * 10
-           + CASE WHEN has_package_json THEN 15 ELSE 0 END + least(css_files * 3, 15) + least(js_files * 2, 10)
-           + CASE WHEN image_files > 0 THEN 5 ELSE 0 END + least(partial_files * 3, 15) + CASE WHEN has_config THEN 10 ELSE 0 END
-           + {MANIFEST_POINTS} AS points FROM y LEFT JOIN m USING (full_name))
-        SELECT full_name, CAST(penalty AS BIGINT) AS penalty, CAST(greatest(0, least(100, points - penalty)) AS BIGINT) AS signal FROM p""",
-)
+@query("structure_signal", f"{LISTED}, {STRUCTURE} SELECT full_name, penalty, signal FROM st")
 def structure_signal(spark: SparkSession, folder: str) -> DataFrame:
     return _listed_with_manifests(spark, folder).select(
         "full_name",
