@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.bytewords import buffer_of, row_slices
+from gleanery.llm.names import unused
 from gleanery.llm.saving import saved
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -247,7 +248,8 @@ def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str
 
 def clean_texts(docs: DataFrame, threshold: int = 10, text: str = "text", length: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` with their frequent lines dropped; a column ``length``, if there, is counted anew."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias("_"))
+    (more,) = unused(docs.columns, "_")  # a struct needs a field
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias(more))
     out = drop_lines(docs.select(row.alias("doc_id"), F.col(f"`{text}`").alias("text")), threshold)
     names = {c: F.col("doc_id").getField(c) for c in docs.columns}
     names[text] = F.col("kept")

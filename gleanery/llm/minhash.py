@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from gleanery.llm import bytewords as B
 from gleanery.llm.components import components
 from gleanery.llm.line_dedup import text_key
+from gleanery.llm.names import unused
 from gleanery.llm.saving import saved
 
 BANDS, ROWS = 32, 4
@@ -284,13 +285,14 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "te
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "n")
     one = counted.groupBy("label").agg(F.min(order).alias("one")).select("one.doc_id", "one.text_key", "one.n")
     empty = members.where("label IS NULL").select("doc_id", "text_key").distinct().withColumn("n", F.lit(1).cast("long"))
-    found = saved(one.unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("n").alias("_n")))
-    keyed = docs.withColumn("_text_key", text_key(text))
-    match = (F.col("_text_key") == F.col("_key")) & F.col(f"`{id}`").eqNullSafe(F.col("_id"))
-    out = keyed.join(found.where("_n = 1"), match, "left_semi").drop("_text_key")
-    repeated = found.where("_n > 1")
+    own, its_id, its_key, its_n = unused(docs.columns, "_text_key", "_id", "_key", "_n")
+    found = saved(one.unionByName(empty).select(F.col("doc_id").alias(its_id), F.col("text_key").alias(its_key), F.col("n").alias(its_n)))
+    keyed = docs.withColumn(own, text_key(text))
+    match = (F.col(own) == F.col(its_key)) & F.col(f"`{id}`").eqNullSafe(F.col(its_id))
+    out = keyed.join(found.where(F.col(its_n) == 1), match, "left_semi").drop(own)
+    repeated = found.where(F.col(its_n) > 1)
     if repeated.isEmpty():
         return out
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    same = keyed.join(repeated, match, "left_semi").groupBy(F.col("_text_key"), F.col(f"`{id}`").alias("_id"))
+    same = keyed.join(repeated, match, "left_semi").groupBy(F.col(own), F.col(f"`{id}`").alias(its_id))
     return out.unionByName(same.agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import bytewords as B
 from gleanery.llm.bytewords import row_slices
+from gleanery.llm.names import unused
 
 SLICE_TOKENS = 2_000_000
 _BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -219,5 +220,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, thresh
     key = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     keyed = docs.select(key.alias("doc_id"), F.col(text).alias("text"))
     found = contaminated(keyed, benchmark, min_match, threshold)
-    found = found.select(F.col("doc_id").alias("_found")).distinct()
-    return docs.withColumn("_text_key", key).join(found, F.col("_text_key") == F.col("_found"), "left_anti").drop("_text_key")
+    own, leaked = unused(docs.columns, "_text_key", "_found")
+    found = found.select(F.col("doc_id").alias(leaked)).distinct()
+    return docs.withColumn(own, key).join(found, F.col(own) == F.col(leaked), "left_anti").drop(own)
