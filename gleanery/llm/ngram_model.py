@@ -1,22 +1,28 @@
-"""Log-probabilities of texts by a weighted backoff automaton over smoothed word pairs.
+"""Log-probabilities of texts by a weighted backoff automaton over smoothed n-grams of any order.
 
 Tokens are the words of a text with A-Z lower-cased, then one end. Training counts come from the training documents only:
-``c(w)``, ``c(h, w)`` for a token after another one (or after the start), ``T(h)`` different tokens seen after h, ``N``
-tokens and ``V`` different ones. Absolute discounting with D gives a state for each history h with
+``c(w)``, ``c(h, w)`` for a token after the tokens h (the first of which may be the start), ``N`` tokens and ``V``
+different ones. A state stands for a history h of up to ``order - 1`` tokens that was trained on, or for none. It has
 
-* an arc for each w seen after it, with probability (c(h, w) - D) / c(h) + D T(h) / c(h) p(w), and
-* a failure arc with weight D T(h) / c(h) to the state without history, whose arcs have p(w) = (c(w) - D) / N, and
-  D V / N for all unknown tokens together.
+* an arc for each w trained on after it, with p(w | h) = (c(h, w) + K p(w | h')) / (c(h) + K), to the state of the longest
+  history that the tokens then end with; h' is h without its first token, and
+* a failure arc with weight K / (c(h) + K) to the state of h'.
 
-The probabilities after any history add up to one. A text is read once from left to right: each token moves along its
-arc, or along the failure arc first, and the state is then that token.
+Without history p(w) = max(c(w) - D, 0) / N + D V / N / (V + 1): what discounting sets free is shared evenly by the V words
+and one unknown word. So the probabilities after any history, with those of all V words and the unknown one, add up to one,
+and a text of unknown words is improbable. Without training documents p is 1 / (V + 1) = 1.
 
-The automaton of the whole corpus is never in one place. Blocks of documents (``blocks``) send the pairs and words they
-hold with their training counts, once each; the owners add the counts over all blocks and answer; each block then has
-exactly the states and arcs that its own texts can reach, and walks them. All sums are over the whole corpus.
+A text is read once from left to right (``BackoffAutomaton.walk``): it carries a state; each token takes failure arcs until
+a state has an arc for it, then that arc, and adds up the logarithms of their weights.
+
+The automaton of the whole corpus is never in one place. Blocks of documents (``blocks``) send the n-grams they hold with
+their training counts, once each; the owners add the counts over all blocks and answer; each block then builds exactly the
+states and arcs that its own texts can reach. An n-gram of three tokens or more is sent only if the two n-grams of one token
+less inside it occur in another block too: otherwise it can't either, and the block's own count is the count. All sums
+are over the whole corpus; rows are sent only where there is something to send.
 
 A null text is an empty text: one token, the end. Ids may be null or repeat; each row counts. A row whose training flag
-is null is held out. Other columns are not looked at. Words are known by 64-bit hashes.
+is null is held out. Other columns are not looked at. N-grams are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,14 +36,21 @@ from gleanery.llm import blocks as K
 from gleanery.llm import bytewords as B
 from gleanery.llm.bytewords import row_slices
 
+ORDER = 3
 DISCOUNT = 0.75
+WEIGHT = 8.0  # K above: how many tokens seen after a history weigh as much as the shorter history
 START, END = np.uint64(0x1D872B41C5A9F3E7), np.uint64(0xB5297A4D3F84D5B9)
+_FEW = 8  # texts still walked at once below which they are walked one by one
+
 
+class _Grams:
+    """The n-grams of a block's texts. Texts stand end to end, each as start, words, end.
 
-class _Tokens:
-    """The tokens of a block's texts, in order: the key of each, of the one before, and of both."""
+    By order (from 1): ``keys``, sorted; ``own``, their training counts in this block; ``before`` and ``rest``, the numbers
+    of the n-grams without the last and without the first token. ``word``: the number of each token.
+    """
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, order: int):
         data, offsets = B.buffer_of(table.column("text"))
         found, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for a, b in row_slices(offsets):
@@ -45,161 +58,290 @@ class _Tokens:
             words = B.find_words(span, offsets[a : b + 1] - offsets[a])
             found.append(B.word_hashes(span, words, fold=True))
             counts.append(np.diff(words.first))
-        n = np.concatenate(counts)
-        self.size = n + 1
-        self.first = np.concatenate([[0], np.cumsum(self.size)])
-        self.token = np.full(self.first[-1], END, np.uint64)
-        words_only = np.ones(len(self.token), bool)
-        words_only[self.first[1:] - 1] = False
-        self.token[words_only] = np.concatenate(found)
-        self.before = np.empty_like(self.token)
-        self.before[1:] = self.token[:-1]
-        self.before[self.first[:-1]] = START
-        self.pair = B.mix(self.before * np.uint64(0x9FB21C651E98DF25) + self.token)
+        self.size = np.concatenate(counts) + 1
+        self.first = np.concatenate([[0], np.cumsum(self.size + 1)])
+        token = np.zeros(self.first[-1], np.uint64)
+        inner = np.ones(len(token), bool)
+        inner[self.first[:-1]] = inner[self.first[1:] - 1] = False
+        token[inner] = np.concatenate(found)
+        token[self.first[:-1]], token[self.first[1:] - 1] = START, END
         train = np.array([bool(x) for x in table.column("train").to_pylist()], bool)
-        self.weight = np.repeat(train, self.size).astype(np.uint32)
-        self.pairs, at, self.which_pair = np.unique(self.pair, return_index=True, return_inverse=True)
-        self.pair_before = self.before[at]
-        self.pair_count = np.bincount(self.which_pair, self.weight, minlength=len(self.pairs)).astype(np.uint32)
-        self.words, which = np.unique(np.concatenate([self.token, [START]]), return_inverse=True)
-        self.which_word = which[:-1]
-        self.word_count = np.bincount(self.which_word, self.weight, minlength=len(self.words)).astype(np.uint32)
-
-
-def _sent(block: int, keys: np.ndarray, parts: int, columns: dict[str, np.ndarray]) -> pa.Table:
-    """One row for every part, also if nothing goes there, so that each part's sums reach every block."""
-    mixed = B.mix(keys)
-    order = np.argsort(mixed, kind="stable")
-    edges = np.searchsorted(K.part_of(mixed[order], parts), np.arange(parts + 1))
-    out = {"part": pa.array(np.arange(parts, dtype=np.int32)), "block": pa.array(np.full(parts, block, np.int32))}
-    for name, values in ({"keys": mixed} | columns).items():
-        values = values[order]
-        out[name] = pa.array([K.pack(values[a:b], name == "keys") for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-    return pa.table(out)
-
-
-def _received(replies: pa.Table, kind: int, keys: np.ndarray, name: str, dtype) -> np.ndarray:
-    """What the parts answered, in the order of ``keys``."""
-    rows = sorted((p, x) for p, k, x in zip(*(replies.column(c).to_pylist() for c in ("part", "kind", name)), strict=True) if k == kind)
-    out = np.empty(len(keys), dtype)
-    out[np.argsort(B.mix(keys), kind="stable")] = np.concatenate([K.unpack(x, dtype) for _, x in rows])
-    return out
-
-
-_REPLY = "block int, part int, kind int, counts binary, others binary, n long, v long"
+        self.train = train
+        weight = np.repeat(train, self.size + 1)
+        place = np.arange(len(token)) - np.repeat(self.first[:-1], self.size + 1)
+        self.keys, self.own, self.before, self.rest = [], [], [None], [None]
+        key, number = token, np.zeros(0, np.int64)
+        for k in range(1, order + 1):
+            ends = np.flatnonzero(place >= k - 1)
+            if k > 1:
+                longer = np.zeros_like(key)
+                longer[ends] = B.mix(key[ends - 1] * np.uint64(0x9FB21C651E98DF25) + token[ends])
+                key = longer
+            keys, at, which = np.unique(key[ends], return_index=True, return_inverse=True)
+            if k > 1:
+                self.before.append(number[ends[at] - 1])
+                self.rest.append(number[ends[at]])
+            self.keys.append(keys)
+            self.own.append(np.bincount(which, weight[ends], minlength=len(keys)).astype(np.int64))
+            number = np.full(len(token), -1, np.int64)
+            number[ends] = which
+            if k == 1:
+                self.word = which
+
+    def sent(self, k: int, answer: np.ndarray | None) -> np.ndarray:
+        """Which n-grams of order ``k`` are sent; ``answer``: what was answered for those of one token less."""
+        if k <= 2:
+            return np.ones(len(self.keys[k - 1]), bool)
+        return (answer[self.before[k - 1]] > 0) & (answer[self.rest[k - 1]] > 0)
+
+
+def _least(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return K.unpack(data, np.dtype(f"u{len(data) // n}")).astype(np.int64)
+
+
+_SENT = "part int, block int, kind int, keys binary, count binary"
+_REPLY = "block int, part int, kind int, counts binary, n long, v long"
+
+
+def _letters(block: int, grams: _Grams, k: int, chosen: np.ndarray, parts: int) -> pa.Table:
+    keys = grams.keys[k - 1][chosen]
+    part = K.part_of(keys, parts)
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(edges, len(part))[1:]
+    count = grams.own[k - 1][chosen]
+    return pa.table(
+        {
+            "part": pa.array(part[edges].astype(np.int32)),
+            "block": pa.array(np.full(len(edges), block, np.int32)),
+            "kind": pa.array(np.full(len(edges), k, np.int32)),
+            "keys": pa.array([K.pack(keys[a:b], True) for a, b in zip(edges, ends, strict=True)], pa.binary()),
+            "count": pa.array([K.pack(_least(count[a:b])) for a, b in zip(edges, ends, strict=True)], pa.binary()),
+        }
+    )
 
 
-def _reply(group: pa.Table, kind: int, counts: list[np.ndarray], others: list[np.ndarray], n: int, v: int) -> pa.Table:
+def _sums(group: pa.Table) -> pa.Table:
+    """For each n-gram sent to a part 0 if one block alone has it, else its count over all blocks and 1; with the
+    part's tokens and different words."""
+    own = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
+    count = np.concatenate([_numbers(x, len(k)) for x, k in zip(group.column("count").to_pylist(), own, strict=True)])
+    keys, which, blocks = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    total = np.bincount(which, count, minlength=len(keys)).astype(np.int64)
+    answer = np.where(blocks > 1, total + 1, 0)[which]
+    ends = np.cumsum([len(k) for k in own])[:-1]
+    total[keys == START] = 0
     rows = len(group)
     return pa.table(
         {
             "block": group.column("block"),
             "part": group.column("part"),
-            "kind": pa.array(np.full(rows, kind, np.int32)),
-            "counts": pa.array([K.pack(x) for x in counts], pa.binary()),
-            "others": pa.array([K.pack(x) for x in others], pa.binary()),
-            "n": pa.array(np.full(rows, n, np.int64)),
-            "v": pa.array(np.full(rows, v, np.int64)),
+            "kind": group.column("kind"),
+            "counts": pa.array([K.pack(_least(x)) for x in np.split(answer, ends)], pa.binary()),
+            "n": pa.array(np.full(rows, total.sum(), np.int64)),
+            "v": pa.array(np.full(rows, (total > 0).sum(), np.int64)),
         }
     )
 
 
-def _columns(group: pa.Table, *names: str) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
-    """Keys by row; their places among all distinct keys; the other columns, end to end."""
-    own = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
-    _, which = np.unique(np.concatenate(own), return_inverse=True)
-    return own, which, [np.concatenate([K.unpack(x, np.uint32) for x in group.column(c).to_pylist()]) for c in names]
-
-
-def _pair_sums(group: pa.Table) -> pa.Table:
-    """Counts of pairs over all blocks, and for each pair that was trained on one block that counts it as different."""
-    own, which, (count,) = _columns(group, "count")
-    total = np.bincount(which, count).astype(np.int64)
-    trained = np.flatnonzero(count)
-    _, first = np.unique(which[trained], return_index=True)
-    chosen = np.zeros(len(which), np.uint8)
-    chosen[trained[first]] = 1
-    ends = np.cumsum([len(k) for k in own])[:-1]
-    return _reply(group, 0, np.split(total[which] if len(which) else total, ends), np.split(chosen, ends), 0, 0)
-
-
-def _word_sums(group: pa.Table) -> pa.Table:
-    own, which, (count, kinds) = _columns(group, "count", "kinds")
-    total, different = np.bincount(which, count).astype(np.int64), np.bincount(which, kinds).astype(np.int64)
-    ends = np.cumsum([len(k) for k in own])[:-1]
-    spread = [np.split(x[which] if len(which) else x, ends) for x in (total, different)]
-    return _reply(group, 1, *spread, int(total.sum()), int((total > 0).sum()))
+def _answers(replies: pa.Table, grams: _Grams, order: int, parts: int) -> list[np.ndarray]:
+    """What was answered, for all n-grams up to ``order``; 0 for those not sent."""
+    rows = sorted(zip(*(replies.column(c).to_pylist() for c in ("kind", "part", "counts")), strict=True))
+    out: list[np.ndarray] = []
+    for k in range(1, order + 1):
+        chosen = np.flatnonzero(grams.sent(k, out[-1] if out else None))
+        part = K.part_of(grams.keys[k - 1][chosen], parts)
+        answer = np.zeros(len(grams.keys[k - 1]), np.int64)
+        for kind, p, counts in rows:
+            if kind == k:
+                a, b = np.searchsorted(part, [p, p + 1])
+                answer[chosen[a:b]] = _numbers(counts, b - a)
+        out.append(answer)
+    return out
 
 
 class BackoffAutomaton:
-    """States and arcs that some texts can reach; words and pairs are numbered by the caller."""
-
-    def __init__(self, count, kinds, history_count, pair_count, pair_before, pair_word, n: int, v: int):
-        """``count``, ``kinds``, ``history_count``: by word; ``pair_*``: by pair, with its two words' numbers."""
-        with np.errstate(divide="ignore", invalid="ignore"):
-            unknown = DISCOUNT * v / n if n else 1.0
-            self.alone = np.where(count > 0, (count - DISCOUNT) / max(n, 1), unknown)
-            self.failure = np.where(history_count > 0, DISCOUNT * kinds / history_count, 1.0)
-            direct = np.where(pair_count > 0, (pair_count - DISCOUNT) / history_count[pair_before], 0.0)
-        self.arc = direct + self.failure[pair_before] * self.alone[pair_word]
-
-    def walk(self, pairs: np.ndarray) -> np.ndarray:
-        """log10 of the weight of each step; a pair never seen has only the failure arc's part in ``arc``."""
-        return np.log10(self.arc)[pairs]
+    """States and arcs as arrays. State 0 has no history; the n-grams of each order below ``order`` follow it.
+
+    ``count``: by order, the training counts of n-grams; ``before`` and ``rest`` as in ``_Grams``; ``n``, ``v``: all
+    training tokens and the different ones. Words without training count have no arc but the one of state 0.
+    """
+
+    def __init__(self, count: list[np.ndarray], before: list, rest: list, n: int, v: int, weight: float):
+        order = len(count)
+        first = np.concatenate([[1], 1 + np.cumsum([len(c) for c in count])])  # first state of each order
+        states = first[order - 1]
+        self.words = len(count[0])
+        self.failure, self.failure_log = np.zeros(states, np.int64), np.zeros(states)
+        share = DISCOUNT * v / n / (v + 1) if n else 1.0 / (v + 1)
+        p = np.maximum(count[0] - DISCOUNT, 0) / max(n, 1) + share
+        trained = count[0] > 0
+        self.root_log = np.log10(p)
+        self.root_to = np.where(trained, np.arange(1, self.words + 1), 0) if order > 1 else np.zeros(self.words, np.int64)
+        arcs, logs, targets = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
+        last = np.arange(self.words)  # the last word of each n-gram
+        for k in range(1, order):
+            self.failure[first[k - 1] : first[k]] = 0 if k == 1 else first[k - 2] + rest[k - 1]
+            self.failure_log[first[k - 1] : first[k]] = np.log10(weight / (count[k - 1] + weight))
+            p = (count[k] + weight * p[rest[k]]) / (count[k - 1][before[k]] + weight)
+            last = last[rest[k]]
+            seen = np.flatnonzero(count[k] > 0)
+            arcs.append((first[k - 1] + before[k][seen]) * self.words + last[seen])
+            logs.append(np.log10(p[seen]))
+            targets.append(first[k] + seen if k < order - 1 else first[k - 1] + rest[k][seen])
+        arc = np.concatenate(arcs)
+        rank = np.argsort(arc, kind="stable")
+        self.arc, self.arc_log, self.arc_to = arc[rank], np.concatenate(logs)[rank], np.concatenate(targets)[rank]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One token for each of some texts: states after it, log10 of the weights passed, failure arcs taken."""
+        state, passed, failures = state.copy(), np.zeros(len(state)), np.zeros(len(state), np.int64)
+        todo = np.arange(len(state))
+        while len(todo):
+            here = state[todo]
+            root = here == 0
+            at_root = todo[root]
+            passed[at_root] += self.root_log[word[at_root]]
+            state[at_root] = self.root_to[word[at_root]]
+            todo, here = todo[~root], here[~root]
+            if not len(todo):
+                break
+            wanted = here * self.words + word[todo]
+            at = np.searchsorted(self.arc, wanted)
+            hit = np.zeros(len(todo), bool)
+            inside = at < len(self.arc)
+            hit[inside] = self.arc[at[inside]] == wanted[inside]
+            passed[todo[hit]] += self.arc_log[at[hit]]
+            state[todo[hit]] = self.arc_to[at[hit]]
+            todo, here = todo[~hit], here[~hit]
+            passed[todo] += self.failure_log[here]
+            state[todo] = self.failure[here]
+            failures[todo] += 1
+        return state, passed, failures
+
+    def walk(self, word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 of each text's probability and the failure arcs taken. All texts move on by one token at a time, from
+        the state of the start; the longest ones, when few are left, each on its own."""
+        size = np.diff(first) - 1
+        by_size = np.argsort(-size, kind="stable")
+        at, size = first[:-1][by_size], size[by_size]
+        state = self.root_to[word[at]]
+        total, failures = np.zeros(len(at)), np.zeros(len(at), np.int64)
+        left, j = len(at), 0
+        while left > _FEW or (left and j < size[left - 1]):
+            j += 1
+            left = int(np.searchsorted(-size, -j, side="right"))
+            if left:
+                state[:left], passed, failed = self.step(state[:left], word[at[:left] + j])
+                total[:left] += passed
+                failures[:left] += failed
+        for i in range(left):
+            total[i], failures[i] = self._alone(int(state[i]), word[at[i] + j + 1 : at[i] + size[i] + 1], total[i], failures[i])
+        out, taken = np.empty_like(total), np.empty_like(failures)
+        out[by_size], taken[by_size] = total, failures
+        return out, taken
+
+    def _alone(self, state: int, word: np.ndarray, total: float, failures: int) -> tuple[float, int]:
+        for w in word.tolist():
+            while state:
+                wanted = state * self.words + w
+                at = int(self.arc.searchsorted(wanted))
+                if at < len(self.arc) and self.arc[at] == wanted:
+                    total += self.arc_log[at]
+                    state = int(self.arc_to[at])
+                    break
+                total += self.failure_log[state]
+                state = int(self.failure[state])
+                failures += 1
+            else:
+                total += self.root_log[w]
+                state = int(self.root_to[w])
+        return total, failures
 
 
 def score_texts(
-    docs: DataFrame, train: Column, text: str = "text", id: str = "doc_id", block_bytes: int = 2 * K.BLOCK_BYTES
+    docs: DataFrame,
+    train: Column,
+    text: str = "text",
+    id: str = "doc_id",
+    order: int = ORDER,
+    weight: float = WEIGHT,
+    block_bytes: int = 2 * K.BLOCK_BYTES,
 ) -> DataFrame:
     """Per document ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one word
-    counts) and ``score``. ``train`` tells the documents to learn from."""
+    counts), ``score`` and ``n_failures`` (failure arcs taken). ``train`` tells the documents to learn from, ``order`` the
+    longest n-grams."""
     dealt, n_blocks = K.blocked(docs, text, id, block_bytes, train=F.coalesce(train, F.lit(False)))
-    parts = max(1, n_blocks // 2)
+    tasks = max(n_blocks // 4, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, n_blocks // 4)
     kind = dealt.schema["doc_id"].dataType.simpleString()
-    empty = np.zeros(0, np.uint64), parts
+    by_block = dealt.groupBy("block")
 
-    def pairs(table: pa.Table) -> pa.Table:
-        t = _Tokens(table)
-        return _sent(table.column("block")[0].as_py(), t.pairs, parts, {"count": t.pair_count})
+    def begin(table: pa.Table) -> pa.Table:
+        grams, block = _Grams(table, min(order, 2)), table.column("block")[0].as_py()
+        every = [_letters(block, grams, k, grams.sent(k, None), parts) for k in range(1, min(order, 2) + 1)]
+        return pa.concat_tables(every)
 
-    def words(table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not len(table):
-            return _sent(0, *empty, {"count": np.zeros(0, np.uint32), "kinds": np.zeros(0, np.uint32)}).slice(0, 0)
-        t = _Tokens(table)
-        chosen = _received(replies, 0, t.pairs, "others", np.uint8).astype(bool)
-        kinds = np.bincount(np.searchsorted(t.words, t.pair_before[chosen]), minlength=len(t.words)).astype(np.uint32)
-        return _sent(table.column("block")[0].as_py(), t.words, parts, {"count": t.word_count, "kinds": kinds})
+    def longer(k: int):
+        def send(table: pa.Table, replies: pa.Table) -> pa.Table:
+            grams = _Grams(table, k)
+            known = _answers(replies, grams, k - 1, parts)
+            return _letters(table.column("block")[0].as_py(), grams, k, grams.sent(k, known[-1]), parts)
+
+        return send
 
     def scores(table: pa.Table, replies: pa.Table) -> pa.Table:
-        t = _Tokens(table)
-        pair_count = _received(replies, 0, t.pairs, "counts", np.int64)
-        count, kinds = _received(replies, 1, t.words, "counts", np.int64), _received(replies, 1, t.words, "others", np.int64)
-        sums = {(p, k): (n, v) for p, k, n, v in zip(*(replies.column(c).to_pylist() for c in ("part", "kind", "n", "v")), strict=True)}
-        n, v = (sum(x[j] for (_, k), x in sums.items() if k == 1) for j in (0, 1))
-        history = count.copy()
-        history[np.searchsorted(t.words, START)] = count[np.searchsorted(t.words, END)]
-        before = np.searchsorted(t.words, t.pair_before)
-        after = np.empty(len(t.pairs), np.int64)
-        after[t.which_pair] = t.which_word
-        automaton = BackoffAutomaton(count, kinds, history, pair_count, before, after, n, v)
-        mine = count[t.which_word]
-        starts = t.first[:-1]
-        out = {
-            "doc_id": table.column("doc_id"),
-            "held_out": pa.array((~np.array([bool(x) for x in table.column("train").to_pylist()], bool))),
-            "n_tokens": pa.array(t.size),
-            "n_known": pa.array(np.add.reduceat((mine > 0).astype(np.int64), starts)),
-            "train_tokens": pa.array(np.full(len(starts), n, np.int64)),
-            "base_score": pa.array(np.add.reduceat(np.log10((mine + 1) / (n + v + 1)), starts)),
-            "score": pa.array(np.add.reduceat(automaton.walk(t.which_pair), starts)),
-        }
-        return pa.table(out)
+        if not len(table):
+            return pa.table({f.name: pa.array([], f.type) for f in to_arrow})
+        of_all = {k: (n, v) for k, n, v in zip(*(replies.column(c).to_pylist() for c in ("kind", "n", "v")), strict=True) if k == 0}
+        n, v = of_all[0]
+        grams = _Grams(table, order)
+        count = [np.where(x > 0, x - 1, own) for x, own in zip(_answers(replies, grams, order, parts), grams.own, strict=True)]
+        score, failures = BackoffAutomaton(count, grams.before, grams.rest, n, v, weight).walk(grams.word, grams.first)
+        mine = count[0][grams.word]
+        mine[grams.first[:-1]] = 0
+        base = np.log10((mine + 1) / (n + v + 1))
+        base[grams.first[:-1]] = 0.0
+        starts = grams.first[:-1]
+        return pa.table(
+            {
+                "doc_id": table.column("doc_id"),
+                "held_out": pa.array(~grams.train),
+                "n_tokens": pa.array(grams.size),
+                "n_known": pa.array(np.add.reduceat((mine > 0).astype(np.int64), starts)),
+                "train_tokens": pa.array(np.full(len(starts), n, np.int64)),
+                "base_score": pa.array(np.add.reduceat(base, starts)),
+                "score": pa.array(score),
+                "n_failures": pa.array(failures),
+            }
+        )
+
+    def answered(letters: DataFrame) -> DataFrame:
+        return letters.groupBy("part", "kind").applyInArrow(_sums, _REPLY).repartition(tasks, "block")
+
+    replies = answered(by_block.applyInArrow(begin, _SENT))
+    of_parts = replies.filter("kind = 1").groupBy("part").agg(F.max("n").alias("n"), F.max("v").alias("v"))
+    sums = of_parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v")])
+    for k in range(3, order + 1):
+        letters = by_block.cogroup(replies.groupBy("block")).applyInArrow(longer(k), _SENT)
+        replies = replies.unionByName(answered(letters))
+    told = sums.select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
+        F.lit(0).alias("part"), F.lit(0).alias("kind"), F.lit(b"").alias("counts"), "n", "v",
+    ).repartition(tasks, "block")
+    schema = (
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double,"
+        " n_failures long"
+    )
+    to_arrow = _arrow(schema)
+    return by_block.cogroup(replies.unionByName(told).groupBy("block")).applyInArrow(scores, schema)
 
-    by_block = dealt.groupBy("block")
-    sent = "part int, block int, keys binary, count binary"
-    pair_counts = by_block.applyInArrow(pairs, sent).groupBy("part").applyInArrow(_pair_sums, _REPLY)
-    word_counts = by_block.cogroup(pair_counts.groupBy("block")).applyInArrow(words, sent + ", kinds binary")
-    word_counts = word_counts.groupBy("part").applyInArrow(_word_sums, _REPLY)
-    told = pair_counts.unionByName(word_counts).groupBy("block")
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return by_block.cogroup(told).applyInArrow(scores, schema)
+
+def _arrow(schema: str) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(schema))

@@ -86,26 +86,33 @@ def strings(rows, length=200):
     return out
 
 
-def ngrams(rows, discount=0.75):
-    docs = [(i, WORD.findall((t or "").translate(FOLD)) + ["\n"]) for i, t in rows]
+def ngrams(rows, order=3, discount=0.75, weight=8.0):
+    docs = [(i, ["\t", *WORD.findall((t or "").translate(FOLD)), "\n"]) for i, t in rows]
     held = {i: i is None or zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs}
-    c, pairs, after = Counter(), Counter(), Counter()
+    c = Counter()
     for i, x in docs:
         if not held[i]:
-            c.update(x)
-            pairs.update(zip(["\t", *x], x, strict=False))
-            after.update(["\t", *x[:-1]])
-    kinds = Counter(h for h, _ in pairs)
-    n, v = sum(c.values()), len(c)
+            c.update(tuple(x[a:b]) for b in range(1, len(x) + 1) for a in range(max(0, b - order), b))
+    words = [w for w in c if len(w) == 1 and w != ("\t",)]
+    n, v = sum(c[w] for w in words), len(words)
+
+    def p(history, w):
+        if not history:
+            return max(c[w,] - discount, 0) / n + discount * v / n / (v + 1) if n else 1.0
+        return (c[*history, w] + weight * p(history[1:], w)) / (c[history] + weight)
+
+    def failures(history, w):
+        known = [k for k in range(len(history) + 1) if not k or c[history[-k:]]]
+        with_arc = [k for k in known if not k or c[*history[-k:], w]]
+        return max(known) - max(with_arc)
+
     out = []
     for i, x in docs:
-        base, score = 0.0, 0.0
-        for h, w in zip(["\t", *x], x, strict=False):
-            base += math.log10((c[w] + 1) / (n + v + 1))
-            alone = (c[w] - discount) / n if c[w] else (discount * v / n if n else 1.0)
-            p = max(pairs[h, w] - discount, 0) / after[h] + discount * kinds[h] / after[h] * alone if after[h] else alone
-            score += math.log10(p)
-        out.append((i, held[i], len(x), sum(c[w] > 0 for w in x), n, round(base, 4), round(score, 4)))
+        steps = [(tuple(x[max(0, b - order + 1) : b]), x[b]) for b in range(1, len(x))]
+        base = sum(math.log10((c[w,] + 1) / (n + v + 1)) for _, w in steps)
+        score = sum(math.log10(p(h, w)) for h, w in steps)
+        known = sum(c[w,] > 0 for _, w in steps)
+        out.append((i, held[i], len(steps), known, n, round(base, 4), round(score, 4), sum(failures(h, w) for h, w in steps)))
     return out
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,16 +14,22 @@ from tests.llm import brute
 QUALITY = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
+
+def _scored(docs, **more):
+    train = F.expr("crc32(cast(doc_id AS string)) % 7 <> 2")
+    scores = ngram_model.score_texts(docs, train, **more)
+    return scores.withColumn("base_score", F.round("base_score", 4)).withColumn("score", F.round("score", 4))
+
+
 CASES = {
     "pii": (lambda d: pii.digest(pii.find_pii(d)).drop("spans", "top_score"), brute.pii),
     "lines": (lambda d: line_dedup.drop_lines(d), brute.lines),
     "windows": (lambda d: suffix_trees.drop_repeats(d, digest=True, block_bytes=100_000), brute.windows),
     "windows in one block": (lambda d: suffix_trees.drop_repeats(d).drop("kept"), brute.windows),
-    "ngrams": (
-        lambda d: ngram_model.score_texts(d, F.expr("crc32(cast(doc_id AS string)) % 7 <> 2"), block_bytes=100_000)
-        .withColumn("base_score", F.round("base_score", 4)).withColumn("score", F.round("score", 4)),
-        brute.ngrams,
-    ),
+    "ngrams": (lambda d: _scored(d, block_bytes=100_000), brute.ngrams),
+    "ngrams in one block": (lambda d: _scored(d), brute.ngrams),
+    "ngrams of one": (lambda d: _scored(d, order=1, block_bytes=100_000), lambda rows: brute.ngrams(rows, order=1)),
+    "ngrams of five": (lambda d: _scored(d, order=5, block_bytes=100_000), lambda rows: brute.ngrams(rows, order=5)),
     "bpe": (lambda d: bpe.bpe(d, VOCABULARY, texts=False), brute.bpe),
     "strings": (lambda d: bwt_dedup.drop_repeats(d, digest=True, block_bytes=100_000), brute.strings),
     "strings in one block": (lambda d: bwt_dedup.drop_repeats(d).drop("kept"), brute.strings),
@@ -69,3 +77,24 @@ def test_a_crowded_prefix_is_dealt_by_longer_ones(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = suffix_trees.drop_repeats(docs, digest=True, block_bytes=4000).collect()
     assert sorted(map(tuple, got)) == sorted(brute.windows(rows))
+
+
+def test_probabilities_after_any_history_add_up_to_one():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcde"), rng.integers(0, 9))) for _ in range(40)]
+    table = pa.table({"text": pa.array(texts).cast(pa.binary()), "train": pa.array([True] * 39 + [False])})
+    grams = ngram_model._Grams(table, 3)
+    v = sum(grams.own[0][grams.keys[0] != ngram_model.START] > 0)
+    n = grams.own[0][grams.keys[0] != ngram_model.START].sum()
+    automaton = ngram_model.BackoffAutomaton(grams.own, grams.before, grams.rest, n, v, 2.0)
+    words = np.flatnonzero(grams.keys[0] != ngram_model.START)
+    unknown = ngram_model.DISCOUNT * v / n / (v + 1)
+    reached = np.unique(np.concatenate([[0], automaton.arc_to, automaton.root_to]))
+    for state in reached:
+        if state and not len(automaton.arc[automaton.arc // automaton.words == state]):
+            continue  # ends with the end
+        known = automaton.step(np.full(len(words), state), words)[1]
+        back, here = 0.0, state
+        while here:
+            back, here = back + automaton.failure_log[here], automaton.failure[here]
+        assert abs((10**known).sum() + 10**back * unknown - 1) < 1e-9
