@@ -87,21 +87,24 @@ def confirmed(kind: str, m: Column) -> Column:
 
 
 def _cumulated(matches: Column, gaps: Column) -> Column:
-    """For each match, the place where the text before it begins: 0, then the sums of the lengths so far."""
-    return F.aggregate(
-        F.transform(matches, lambda x, i: F.length(x) + F.length(F.get(gaps, i))),
-        F.array(F.lit(0)),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)),
-    )
+    """For each match, the place where the text after it begins: sums of the lengths so far, by adding to each sum the one
+    1, 2, 4, ... places before, so that n matches take about n log n steps."""
+    lengths = F.transform(matches, lambda x, i: F.length(x) + F.length(F.get(gaps, i)))
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(31)]), lambda k: k < F.size(matches))
+
+    def added(sums: Column, k: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.when(i < k, 0).otherwise(F.get(sums, i - k)))
+
+    return F.when(F.size(matches) > 0, F.aggregate(steps, lengths, added)).otherwise(F.array().cast("array<int>"))
 
 
-def _spans(kind: Kind, matches: Column, gaps: Column, before: Column) -> Column:
+def _spans(kind: Kind, matches: Column, gaps: Column, after: Column) -> Column:
     def span(x: Column, i: Column) -> Column:
-        start = F.get(before, i) + F.length(F.get(gaps, i))
+        end = F.get(after, i)
+        start = end - F.length(x)
         near = F.lower(F.right(F.get(gaps, i), F.lit(NEAR))).rlike(kind.context)
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, 0.35).otherwise(0.0))
         good = confirmed(kind.name, x) if kind.base else confirmed(kind.name, x) & (score >= THRESHOLD)
-        end = start + F.length(x)
         return F.when(
             good, F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score"))
         )
@@ -125,8 +128,8 @@ def find_pii(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
     df = df.select("*", *[c.alias(n) for n, c in step.items()])
     step = {f"g_{k.name}": F.when(F.size(f"m_{k.name}") > 0, F.split("t", k.pattern)).otherwise(none) for k in KINDS}
     df = df.select("doc_id", *[f"m_{k.name}" for k in KINDS], *[c.alias(n) for n, c in step.items()])
-    df = df.withColumns({f"b_{k.name}": _cumulated(F.col(f"m_{k.name}"), F.col(f"g_{k.name}")) for k in KINDS})
-    spans = [_spans(k, F.col(f"m_{k.name}"), F.col(f"g_{k.name}"), F.col(f"b_{k.name}")) for k in KINDS]
+    df = df.withColumns({f"a_{k.name}": _cumulated(F.col(f"m_{k.name}"), F.col(f"g_{k.name}")) for k in KINDS})
+    spans = [_spans(k, F.col(f"m_{k.name}"), F.col(f"g_{k.name}"), F.col(f"a_{k.name}")) for k in KINDS]
     return df.select("doc_id", F.concat(*spans).alias("found"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -98,3 +100,17 @@ def test_probabilities_after_any_history_add_up_to_one():
         while here:
             back, here = back + automaton.failure_log[here], automaton.failure[here]
         assert abs((10**known).sum() + 10**back * unknown - 1) < 1e-9
+
+
+def test_many_spans_in_one_text(spark):
+    rows = [(n, " ".join(f"höst a{i}@b.org 10.0.{i % 300}.1" for i in range(n))) for n in (1, 2, 3, 7, 8, 9, 5000)]
+    found = pii.digest(pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = sorted(tuple(r) for r in found.drop("spans", "top_score").collect())
+    assert got == sorted(brute.pii(rows))
+
+
+def test_a_text_with_very_many_spans_takes_seconds(spark):
+    rows = [(1, " ".join(f"a{i}@b.org" for i in range(80_000)))]
+    began = time.monotonic()
+    last = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).select(F.element_at("found", -1)["end"]).first()[0]
+    assert last == len(rows[0][1]) and time.monotonic() - began < 60
