@@ -8,9 +8,13 @@ tiles may stand in any order, passages that were moved around count whole. An it
 cover ``threshold`` of its tokens.
 
 The benchmark is read in slices of at most ``SLICE_TOKENS`` tokens; each is sent to all tasks, which search their
-documents for it, so no document is shuffled and the memory of a task is bounded for a benchmark of any size. Items with
-fewer tokens than ``min_match`` match only as a whole run of tokens. Null texts and texts without tokens match nothing. Equal
-items each give their own pair; equal documents too. Ids may be null. Other columns are not looked at.
+documents for it, so no document is shuffled and the memory of a task is bounded for a benchmark of any size. A pair looks
+only at the places of the document that hold its seeds, so a document that holds many items is not read again for each.
+
+Items with fewer tokens than ``min_match`` are found as a whole run of tokens (``item_tokens`` tells them); as any text may
+hold a word or two, ``keep_clean`` drops for them only a document that is the item. Null texts and texts without tokens match
+nothing. Equal items each give their own pair; equal documents too. Ids may be null and of any type. Other columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from gleanery.llm import bytewords as B
 from gleanery.llm.bytewords import row_slices
@@ -76,9 +81,11 @@ def _matches(doc, item, doc_free, item_free, width: int) -> tuple[np.ndarray, np
     return item_at[np.isin(item_runs, doc_runs)], doc_at, doc_runs
 
 
-def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
-    """The tiles (place in the document, place in the item, length), longest first, then by place in the item."""
-    doc_free, item_free, tiles = np.ones(len(doc), bool), np.ones(len(item), bool), []
+def tile(doc: np.ndarray, item: np.ndarray, min_match: int, free: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+    """The tiles (place in the document, place in the item, length), longest first, then by place in the item, then in the
+    document. ``free``: the document's tokens that may be in tiles."""
+    doc_free = np.ones(len(doc), bool) if free is None else free.copy()
+    item_free, tiles = np.ones(len(item), bool), []
     low = min(min_match, len(item))
     while low and (width := _longest(doc, item, doc_free, item_free, low)):
         item_at, doc_at, doc_runs = _matches(doc, item, doc_free, item_free, width)
@@ -94,6 +101,20 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, i
     return tiles
 
 
+def around(doc: np.ndarray, seeds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The document's tokens in seeds (``seeds``: their rising places) and whether each is free; between seeds that don't
+    touch stands one token that isn't. All tiles lie in seeds."""
+    new = np.ones(len(seeds), bool)
+    new[1:] = seeds[1:] > seeds[:-1] + width
+    begin, end = seeds[new], np.append(seeds[:-1][new[1:]], seeds[-1]) + width
+    size = end - begin + 1
+    stops = np.cumsum(size) - 1
+    places = np.arange(size.sum()) + np.repeat(begin - stops + size - 1, size)
+    free = np.ones(len(places), bool)
+    free[stops] = False
+    return doc[np.minimum(places, len(doc) - 1)], free
+
+
 class Slice:
     """Some benchmark items, with an index of their seeds."""
 
@@ -118,10 +139,9 @@ class Slice:
         order = np.argsort(seeds, kind="stable")
         self.by_width[width] = seeds[order], owners[order]
 
-    def pairs(self, hashes: np.ndarray, words: B.Words) -> set[tuple[int, int]]:
-        """(row, item) pairs that share a seed."""
-        out: set[tuple[int, int]] = set()
-        for width, (seeds, owners) in self.by_width.items():
+    def pairs(self, hashes: np.ndarray, words: B.Words) -> Iterator[tuple[int, int, np.ndarray, int]]:
+        """(row, item, places of shared seeds in the row, their width), by width, row and item."""
+        for width, (seeds, owners) in sorted(self.by_width.items()):
             at, found = B.windows(hashes, words, width)
             coarse = np.zeros(1 << 16, bool)
             coarse[(seeds >> np.uint64(48)).astype(np.int64)] = True
@@ -129,12 +149,18 @@ class Slice:
             at, found = at[maybe], found[maybe]
             left, right = np.searchsorted(seeds, found), np.searchsorted(seeds, found, side="right")
             hit = np.flatnonzero(right > left)
+            if not len(hit):
+                continue
             rows = np.searchsorted(words.first, at[hit], side="right") - 1
             size = right[hit] - left[hit]
             items = owners[np.repeat(left[hit] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-            n = np.int64(len(self.ids))
-            out.update((int(x // n), int(x % n)) for x in np.unique(np.repeat(rows, size).astype(np.int64) * n + items))
-        return out
+            pair = np.repeat(rows, size).astype(np.int64) * np.int64(len(self.ids)) + items
+            places = np.repeat(at[hit] - words.first[rows], size)
+            order = np.argsort(pair, kind="stable")
+            pair, places = pair[order], places[order]
+            edges = np.flatnonzero(np.diff(pair, prepend=-1))
+            for p, where in zip(pair[edges].tolist(), np.split(places, edges[1:]), strict=True):
+                yield *divmod(p, len(self.ids)), where, width
 
 
 def _slices(benchmark: DataFrame, min_match: int, text: str, id: str) -> Iterator[Slice]:
@@ -171,11 +197,12 @@ def contaminated(
     item_text: str = "text",
     item_id: str = "item_id",
 ) -> DataFrame:
-    """``(doc_id, item_id, n_tiles, covered, item_tokens)`` for each item found in a document."""
+    """``(doc_id, item_id, n_tiles, covered, item_tokens, doc_tokens)`` for each item found in a document."""
     some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    schema_names = ["doc_id", "item_id", "n_tiles", "covered", "item_tokens", "doc_tokens"]
     kinds = some.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_tiles int, covered int, item_tokens int"
-    kind = pa.array([], pa.int64()).type if kinds[1] == "bigint" else None
+    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_tiles int, covered int, item_tokens int, doc_tokens int"
+    kind = to_arrow_type(benchmark.schema[item_id].dataType)
 
     def search(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,19 +216,20 @@ def contaminated(
             words = B.find_words(data, offsets, _BREAK)
             hashes = B.word_hashes(data, words, fold=True)
             rows, ids, counts = [], [], []
-            for row, k in sorted(items.pairs(hashes, words)):
+            for row, k, seeds, width in items.pairs(hashes, words):
                 doc = hashes[words.first[row] : words.first[row + 1]]
                 item = items.hashes[items.first[k] : items.first[k + 1]]
-                tiles = tile(doc, item, min_match)
+                near, free = around(doc, seeds, width)
+                tiles = tile(near, item, min_match, free)
                 covered = sum(t[2] for t in tiles)
                 if covered >= threshold * len(item):
                     rows.append(row)
                     ids.append(items.ids[k])
-                    counts.append((len(tiles), covered, len(item)))
+                    counts.append((len(tiles), covered, len(item), len(doc)))
             columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(ids, kind)]
-            columns += [pa.array([c[j] for c in counts], pa.int32()) for j in range(3)]
+            columns += [pa.array([c[j] for c in counts], pa.int32()) for j in range(4)]
             if rows:
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_tiles", "covered", "item_tokens"])
+                yield pa.RecordBatch.from_arrays(columns, schema_names)
 
         return run
 
@@ -213,13 +241,15 @@ def contaminated(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, threshold: float = 0.8, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns.
+    """The rows of ``docs`` in which no item of ``min_match`` tokens or more is found and that are no shorter item, with all
+    their columns.
 
     A document is known by the digest of its text here, so rows without id or with one id twice are judged rightly.
     """
     key = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     keyed = docs.select(key.alias("doc_id"), F.col(text).alias("text"))
     found = contaminated(keyed, benchmark, min_match, threshold)
+    found = found.where((F.col("item_tokens") >= min_match) | (F.col("item_tokens") == F.col("doc_tokens")))
     own, leaked = unused(docs.columns, "_text_key", "_found")
     found = found.select(F.col("doc_id").alias(leaked)).distinct()
     return docs.withColumn(own, key).join(found, F.col(own) == F.col(leaked), "left_anti").drop(own)
