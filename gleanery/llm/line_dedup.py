@@ -5,9 +5,10 @@ table ``(key, refs)`` has one row per key and grows or shrinks with the document
 reversible. Keys with at least ``threshold`` documents are also in the cuckoo filter of their shard. Reading a
 document, only lines that a filter knows go on to the exact table, which has the last word.
 
-The filters go to every task only while their counted size is below ``MAX_FILTER_BYTES``; beyond that every line goes
-to the exact table, with the same result. Lines of one text need one decision, whatever the number of copies, so
-decisions are joined by the text's digest and hot lines or copies never meet in one task.
+The filters go to every task while their counted size is below ``MAX_FILTER_BYTES``; beyond that lines are dealt to the
+filter of their shard, where each task holds one filter at a time. Either way a filter is asked first. Lines of one text
+need one decision, whatever the number of copies, so decisions are joined by the text's digest. Copies of a text that
+holds more than a thousandth of all rows, and texts of blanks alone, are spread over ``SALTS`` parts for that join.
 
 Each row of the input is one document (repeated rows count each); a null text is an empty text, and either has one
 empty line. ``doc_id`` may be null. Only id and text are read, so other columns can't clash.
@@ -32,6 +33,8 @@ from gleanery.llm.saving import saved
 BLANKS = b" \t\n\x0b\x0c\r"
 MAX_FILTER_BYTES = 32 << 20
 KEYS_PER_SHARD = 100_000
+SALTS = 32
+HEAVY = 1000  # a text with fewer copies is never spread
 
 
 def line_keys(text: bytes) -> list[bytes]:
@@ -179,23 +182,40 @@ def move_filters(old: DataFrame, added: DataFrame, removed: DataFrame, shards: i
 
 
 def frequent_lines(docs: DataFrame, counts: DataFrame, threshold: int, text: str = "text") -> DataFrame:
-    """``(text_key, keys)``: for each distinct text with lines in ``threshold`` documents or more, those lines' digests."""
+    """``(text_key, keys, copies)``: for each distinct text with lines in ``threshold`` documents or more, those lines'
+    digests and the number of documents with that text."""
     hot = saved(counts.where(F.col("refs") >= threshold).select("key"))
     n = hot.count()
     shards = max(1, -(-n // KEYS_PER_SHARD))
-    known = None
+    some = docs.select(text_key(text).alias("text_key"), F.col(text).cast("binary").alias("text"))
+    known = filters(hot, shards)
     if n * 16 < MAX_FILTER_BYTES:  # two bytes a key, in tables at least an eighth full
-        known = docs.sparkSession.sparkContext.broadcast({r["shard"]: r["filter"] for r in filters(hot, shards).collect()})
+        lines = _probed_in_place(some, known, shards)
+    else:
+        lines = _probed_by_shard(some, known, shards)
+    lines = lines.groupBy("text_key", "key").agg(F.count(F.lit(1)).alias("copies"))
+    return lines.join(hot, "key", "left_semi").groupBy("text_key").agg(F.collect_list("key").alias("keys"), F.max("copies").alias("copies"))
+
+
+def _lines(batch: pa.RecordBatch) -> tuple[list[bytes], list[bytes]]:
+    """The text key and the digest of each different line of each document."""
+    texts, keys = [], []
+    for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        mine = {key_digest(k) for k in line_keys(value.as_py() or b"") if k}
+        texts += [key] * len(mine)
+        keys += mine
+    return texts, keys
+
+
+def _probed_in_place(some: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """``(text_key, key)`` of the lines that a filter knows; every task holds all filters."""
+    shared = some.sparkSession.sparkContext.broadcast({r["shard"]: r["filter"] for r in known.collect()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probe = {s: CuckooFilter.read(x) for s, x in known.value.items()} if known else None
+        probe = {s: CuckooFilter.read(x) for s, x in shared.value.items()}
         for batch in batches:
-            texts, keys = [], []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                mine = {key_digest(k) for k in line_keys(value.as_py() or b"") if k}
-                texts += [key] * len(mine)
-                keys += mine
-            if probe is not None and keys:
+            texts, keys = _lines(batch)
+            if keys:
                 shard, as_numbers = _shards_of(keys, shards), np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2)
                 hit = np.zeros(len(keys), bool)
                 for s, one in probe.items():
@@ -205,9 +225,43 @@ def frequent_lines(docs: DataFrame, counts: DataFrame, threshold: int, text: str
                 keys = [k for k, x in zip(keys, hit, strict=True) if x]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(keys, pa.binary())], ["text_key", "key"])
 
-    some = docs.select(text_key(text).alias("text_key"), F.col(text).cast("binary").alias("text"))
-    lines = some.mapInArrow(run, "text_key binary, key binary").distinct()
-    return lines.join(hot, "key", "left_semi").groupBy("text_key").agg(F.collect_list("key").alias("keys"))
+    return some.mapInArrow(run, "text_key binary, key binary")
+
+
+def _probed_by_shard(some: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """``(text_key, key)`` of the lines that a filter knows; lines go to the filter of their shard.
+
+    The lines of a shard are dealt to several cells by their text, so that one frequent line is spread too. A cell's
+    filter comes in front of its lines, which pass by in batches.
+    """
+    parts = max(1, -(-4 * int(some.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keys = _lines(batch)
+            cell = _shards_of(keys, shards).astype(np.int64) * parts + _shards_of(texts, parts)
+            columns = [pa.array(cell), pa.array(texts, pa.binary()), pa.array(keys, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cell", "text_key", "key"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, one = -1, CuckooFilter.of([])
+        for batch in batches:
+            cells, keep = batch.column(0).to_numpy(), np.zeros(len(batch), bool)
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]]) if len(cells) else [0]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if batch.column(3)[a].is_valid:
+                    at, one = cells[a], CuckooFilter.read(batch.column(3)[a].as_py())
+                    a += 1
+                if a < b and at == cells[a]:  # else no key of the shard is frequent
+                    rows = np.frombuffer(b"".join(batch.column(2).slice(a, b - a).to_pylist()), np.uint64).reshape(-1, 2)
+                    keep[a:b] = one.contains(rows)
+            yield batch.filter(pa.array(keep)).select(["text_key", "key"])
+
+    lowest = F.col("shard").cast("long") * parts
+    first = known.select(F.explode(F.sequence(lowest, lowest + (parts - 1))).alias("cell"), "filter")
+    rows = some.mapInArrow(deal, "cell long, text_key binary, key binary").unionByName(first, allowMissingColumns=True)
+    rows = rows.repartition("cell").sortWithinPartitions("cell", F.col("filter").isNull())
+    return rows.select("cell", "text_key", "key", "filter").mapInArrow(probe, "text_key binary, key binary")
 
 
 def text_key(text: str) -> Column:
@@ -217,9 +271,16 @@ def text_key(text: str) -> Column:
 def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Per document ``doc_id``, ``n_lines``, ``n_dropped``, and the ``kept`` text without the lines that are in
     ``threshold`` documents or more."""
-    doomed = frequent_lines(docs, line_counts(docs, text), threshold, text)
+    doomed = saved(frequent_lines(docs, line_counts(docs, text), threshold, text))
+    share = max(HEAVY, docs.count() // 1000)  # so at most 1,000 different texts are heavy
+    heavy = doomed.where(F.col("copies") > share).select("text_key", F.lit(True).alias("heavy"))
+    salts = F.when(F.col("copies") > share, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    doomed = doomed.select("text_key", "keys", F.explode(salts).alias("salt"))
     some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"), text_key(text).alias("text_key"))
-    some = some.join(doomed, "text_key", "left").select("doc_id", "text", "keys")
+    blank = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
+    spread = F.when(F.col("heavy").isNotNull() | blank, F.spark_partition_id() % SALTS).otherwise(0)
+    some = some.join(F.broadcast(heavy), "text_key", "left").withColumn("salt", spread)
+    some = some.join(doomed, ["text_key", "salt"], "left").select("doc_id", "text", "keys")
     schema = T.StructType([some.schema["doc_id"]])
     schema = schema.add("n_lines", "long").add("n_dropped", "long").add("kept", "binary")
 

@@ -67,10 +67,27 @@ class TestLines:
         hit = [bool(known[s].contains(np.frombuffer(k, np.uint64).reshape(1, 2))[0]) for s, k in zip(shard, keys, strict=True)]
         assert all(hit[500:2100]) and sum(hit[:500]) < 20 and sum(hit[2100:]) < 20
 
-    def test_without_filters_the_rows_are_the_same(self, docs, corpus, monkeypatch):
+    @pytest.mark.parametrize("per_shard", [100_000, 3])
+    def test_lines_dealt_to_their_filters_give_the_same_rows(self, docs, corpus, monkeypatch, per_shard):
         monkeypatch.setattr(line_dedup, "MAX_FILTER_BYTES", 0)
+        monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", per_shard)
         assert sorted(map(tuple, line_dedup.drop_lines(docs).collect()), key=repr) == sorted(brute.lines(corpus), key=repr)
 
+    def test_dealt_lines_that_no_filter_knows_go_no_further(self, spark):
+        docs = spark.createDataFrame([(f"{i}", f"own {i}\nshared") for i in range(400)], "id string, text string")
+        some = docs.select(line_dedup.text_key("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+        hot = spark.createDataFrame([(bytearray(line_dedup.key_digest(b"shared")),)], "key binary")
+        found = line_dedup._probed_by_shard(some, line_dedup.filters(hot, 3), 3)
+        keys = [bytes(r["key"]) for r in found.collect()]
+        assert keys.count(line_dedup.key_digest(b"shared")) == 400 and len(keys) < 410
+
+    def test_copies_and_blank_texts_are_spread(self, spark, monkeypatch):
+        monkeypatch.setattr(line_dedup, "HEAVY", 20)
+        texts = [(i, t) for i, t in enumerate(["same\nlines"] * 300 + [None, "", " \n\t"] * 40 + ["same\nown"] * 5 + ["own"])]
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+        got = {r["doc_id"]: tuple(r)[1:] for r in line_dedup.drop_lines(docs).collect()}
+        assert got == {r[0]: tuple(r[1:]) for r in brute.lines(texts)}
+
     def test_other_columns_stay(self, docs):
         out = line_dedup.clean_texts(docs)
         assert out.columns == docs.columns and out.dtypes == docs.dtypes and out.count() == docs.count()
