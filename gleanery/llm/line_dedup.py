@@ -182,8 +182,7 @@ def move_filters(old: DataFrame, added: DataFrame, removed: DataFrame, shards: i
 
 
 def frequent_lines(docs: DataFrame, counts: DataFrame, threshold: int, text: str = "text") -> DataFrame:
-    """``(text_key, keys, copies)``: for each distinct text with lines in ``threshold`` documents or more, those lines'
-    digests and the number of documents with that text."""
+    """``(text_key, keys)``: for each distinct text with lines in ``threshold`` documents or more, those lines' digests."""
     hot = saved(counts.where(F.col("refs") >= threshold).select("key"))
     n = hot.count()
     shards = max(1, -(-n // KEYS_PER_SHARD))
@@ -193,8 +192,7 @@ def frequent_lines(docs: DataFrame, counts: DataFrame, threshold: int, text: str
         lines = _probed_in_place(some, known, shards)
     else:
         lines = _probed_by_shard(some, known, shards)
-    lines = lines.groupBy("text_key", "key").agg(F.count(F.lit(1)).alias("copies"))
-    return lines.join(hot, "key", "left_semi").groupBy("text_key").agg(F.collect_list("key").alias("keys"), F.max("copies").alias("copies"))
+    return lines.distinct().join(hot, "key", "left_semi").groupBy("text_key").agg(F.collect_list("key").alias("keys"))
 
 
 def _lines(batch: pa.RecordBatch) -> tuple[list[bytes], list[bytes]]:
@@ -271,15 +269,16 @@ def text_key(text: str) -> Column:
 def drop_lines(docs: DataFrame, threshold: int = 10, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Per document ``doc_id``, ``n_lines``, ``n_dropped``, and the ``kept`` text without the lines that are in
     ``threshold`` documents or more."""
-    doomed = saved(frequent_lines(docs, line_counts(docs, text), threshold, text))
+    doomed = frequent_lines(docs, line_counts(docs, text), threshold, text)
     share = max(HEAVY, docs.count() // 1000)  # so at most 1,000 different texts are heavy
-    heavy = doomed.where(F.col("copies") > share).select("text_key", F.lit(True).alias("heavy"))
-    salts = F.when(F.col("copies") > share, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    doomed = doomed.select("text_key", "keys", F.explode(salts).alias("salt"))
+    copies = docs.groupBy(text_key(text).alias("text_key")).agg(F.count(F.lit(1)).alias("copies"))
+    heavy = F.broadcast(copies.where(F.col("copies") > share).select("text_key", F.lit(True).alias("heavy")))
     some = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("binary").alias("text"), text_key(text).alias("text_key"))
     blank = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
     spread = F.when(F.col("heavy").isNotNull() | blank, F.spark_partition_id() % SALTS).otherwise(0)
-    some = some.join(F.broadcast(heavy), "text_key", "left").withColumn("salt", spread)
+    some = some.join(heavy, "text_key", "left").withColumn("salt", spread)
+    salts = F.when(F.col("heavy").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    doomed = doomed.join(heavy, "text_key", "left").select("text_key", "keys", F.explode(salts).alias("salt"))
     some = some.join(doomed, ["text_key", "salt"], "left").select("doc_id", "text", "keys")
     schema = T.StructType([some.schema["doc_id"]])
     schema = schema.add("n_lines", "long").add("n_dropped", "long").add("kept", "binary")
