@@ -2,13 +2,14 @@
 
 Words are known by two numbers: a hash of their bytes and a shape (how many capitals, small letters, digits, marks and
 other characters). Each number has a fixed sparse random index vector; a number's word vector is the sum of the index
-vectors of the words beside it (and of its own) over the training sample. A document is the mean of its words' vectors,
-with the shares of repeated and of distinct words and its length beside it.
-
-Word vectors, network and temperature are learned on at most ``SAMPLE`` labelled documents of the training fold, those
-with the least hash of their id; all learning is deterministic. Every document is scored, whole. Null texts and texts
-without a word are scored too, by what the network makes of no words. Without any labelled row all scores are 0.5.
-An id that is labelled twice counts with its lower label. Ids may be null: such rows are scored, never learned from.
+vectors of the words beside it (and of its own) over all documents, labelled or not. A document is the mean of its
+words' vectors, with the shares of repeated and of distinct words and its length beside it.
+
+Network and temperature are learned on at most ``SAMPLE`` labelled documents of the training fold, those with the least
+hash of their id; all learning is deterministic. Every document is scored, whole. Null texts and texts without a word
+are scored too, by what the network makes of no words. Without any labelled row all scores are 0.5. An id that is
+labelled twice counts with its lower label, one that several documents have with the least of their texts. Ids may be
+null: such rows are scored and add to the word vectors, but give no label.
 Only id and text are read, so other columns can't clash.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,7 @@ from gleanery.llm.bytewords import row_slices
 SAMPLE = 8000  # the bound on labelled rows that are learned from
 TASKS = 8  # the tasks that read the sample
 BUCKETS, SHAPES, SIZE = 1 << 14, 1024, 32
+WORDS = 1 << 17  # words whose neighbours are added up at once
 HIDDEN, ROUNDS, SEED = 32, 400, 7
 
 
@@ -55,6 +58,7 @@ def shapes(data: np.ndarray, words: B.Words) -> np.ndarray:
     return out
 
 
+@cache
 def index_vectors(n: int, seed: int) -> np.ndarray:
     """Sparse random vectors: two ones and two minus ones each."""
     rng = np.random.default_rng(seed)
@@ -75,17 +79,52 @@ def context_sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     _, bucket, shape, words = _keys(data, offsets)
     out = []
     for key, n, seed in ((bucket, BUCKETS, SEED), (shape, SHAPES, SEED + 1)):
-        index, total = index_vectors(n, seed), np.zeros((n, SIZE), np.float32)
-        for step in (0, 1, 2):
-            a, b = key[: len(key) - step], key[step:]
-            same = words.row[: len(a)] == words.row[step:]
-            np.add.at(total, a[same], index[b[same]])
-            if step:
-                np.add.at(total, b[same], index[a[same]])
+        total = np.zeros((n, SIZE), np.float32)
+        for a in range(0, len(key), WORDS):
+            lo, hi = max(0, a - 2), min(len(key), a + WORDS + 2)
+            near = _near(key[lo:hi], words.row[lo:hi], index_vectors(n, seed))[a - lo : a - lo + WORDS]
+            mine = key[a : a + WORDS]
+            order = np.argsort(mine, kind="stable")
+            first = np.flatnonzero(np.diff(mine[order], prepend=-1))
+            total[mine[order][first]] += np.add.reduceat(near[order], first)
         out.append(total)
     return out[0], out[1]
 
 
+def _near(key: np.ndarray, row: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """For each word the index vectors of its own number and of the words up to two places away in its document."""
+    near = index[key]
+    for step in (1, 2):
+        same = (row[:-step] == row[step:])[:, None]
+        near[step:] += np.where(same, index[key[:-step]], 0)
+        near[:-step] += np.where(same, index[key[step:]], 0)
+    return near
+
+
+def word_vectors(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """The unit word vector of each hash and of each shape, from all documents.
+
+    A task adds up what its documents give and hands out one row for each number that it met, with whole numbers
+    that Spark adds up in any order; the driver gets one row a number, ``BUCKETS + SHAPES`` at most.
+    """
+    names = [f"c{i}" for i in range(SIZE)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BUCKETS + SHAPES, SIZE), np.int64)
+        for batch in batches:
+            for _, _, data, offsets in _slices(batch.column(0), 1 << 20):
+                total += np.concatenate(context_sums(data, offsets)).astype(np.int64)
+        some = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), *map(pa.array, total[some].T.copy())], ["number", *names])
+
+    parts = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(sums, "number long, " + ", ".join(f"{c} long" for c in names))
+    rows = parts.groupBy("number").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    total = np.zeros((BUCKETS + SHAPES, SIZE))
+    total[rows.column("number").to_numpy()] = np.stack([rows.column(c).to_numpy() for c in names], axis=1)
+    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1)
+    return total[:BUCKETS].astype(np.float32), total[BUCKETS:].astype(np.float32)
+
+
 def pooled(data: np.ndarray, offsets: np.ndarray, vectors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """A row of features for each document."""
     hashes, bucket, shape, words = _keys(data, offsets)
@@ -180,23 +219,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     known = known.groupBy(F.col(id).alias("_id")).agg(F.min(label).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
     some = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("text"))
-    some = some.join(F.broadcast(known), "_id").repartition(TASKS)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros((n, SIZE), np.float32) for n in (BUCKETS, SHAPES)]
-        for batch in batches:
-            for _, _, data, offsets in _slices(batch.column("text")):
-                for have, more in zip(total, context_sums(data, offsets), strict=True):
-                    have += more
-        yield pa.RecordBatch.from_arrays([pa.array([t.tobytes()], pa.binary()) for t in total], ["words", "shapes"])
-
-    parts = some.mapInArrow(sums, "words binary, shapes binary").collect()  # at most TASKS rows of a fixed size
-    made = []
-    for name, n in (("words", BUCKETS), ("shapes", SHAPES)):
-        total = sum((np.frombuffer(r[name], np.float32).reshape(n, SIZE) for r in parts), np.zeros((n, SIZE), np.float32))
-        total = np.round(total)  # sums of whole numbers: the same in any order
-        made.append(total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1))
-    vectors = made[0].astype(np.float32), made[1].astype(np.float32)
+    some = some.join(F.broadcast(known), "_id").groupBy("_id", "label").agg(F.min("text").alias("text")).repartition(TASKS)
+    vectors = word_vectors(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
                 yield pa.RecordBatch.from_arrays(columns, ["_id", "label", "features"])
 
     kind = some.schema["_id"].dataType.simpleString()
-    rows = some.mapInArrow(features, f"_id {kind}, label int, features binary").collect()  # at most SAMPLE ids
+    rows = some.mapInArrow(features, f"_id {kind}, label int, features binary").collect()  # at most SAMPLE rows
     rows.sort(key=lambda r: (r["_id"], r["features"]))
     x = np.array([np.frombuffer(r["features"], np.float32) for r in rows], np.float64)
     return train(vectors, x, np.array([r["label"] for r in rows]))
