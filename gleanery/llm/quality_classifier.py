@@ -30,7 +30,7 @@ from gleanery.llm.bytewords import row_slices
 SAMPLE = 8000  # the bound on labelled rows that are learned from
 TASKS = 8  # the tasks that read the sample
 BUCKETS, SHAPES, SIZE = 1 << 14, 1024, 32
-WORDS = 1 << 17  # words whose neighbours are added up at once
+WORDS = 1 << 15  # words whose neighbours are added up at once
 HIDDEN, ROUNDS, SEED = 32, 400, 7
 
 
@@ -84,7 +84,7 @@ def context_sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             lo, hi = max(0, a - 2), min(len(key), a + WORDS + 2)
             near = _near(key[lo:hi], words.row[lo:hi], index_vectors(n, seed))[a - lo : a - lo + WORDS]
             mine = key[a : a + WORDS]
-            order = np.argsort(mine, kind="stable")
+            order = np.argsort(mine.astype(np.uint16), kind="stable")  # below 65,536, sorted by digits
             first = np.flatnonzero(np.diff(mine[order], prepend=-1))
             total[mine[order][first]] += np.add.reduceat(near[order], first)
         out.append(total)
@@ -93,11 +93,14 @@ def context_sums(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def _near(key: np.ndarray, row: np.ndarray, index: np.ndarray) -> np.ndarray:
     """For each word the index vectors of its own number and of the words up to two places away in its document."""
-    near = index[key]
+    own = index[key]
+    near = own.copy()
     for step in (1, 2):
-        same = (row[:-step] == row[step:])[:, None]
-        near[step:] += np.where(same, index[key[:-step]], 0)
-        near[:-step] += np.where(same, index[key[step:]], 0)
+        near[step:] += own[:-step]
+        near[:-step] += own[step:]
+        apart = np.flatnonzero(row[:-step] != row[step:])  # few: words of two documents are no neighbours
+        near[apart + step] -= own[apart]
+        near[apart] -= own[apart + step]
     return near
 
 
