@@ -50,7 +50,7 @@ def letters(block: int, part: np.ndarray, columns: dict[str, np.ndarray], ordere
     """One row for each part with the packed columns that go there; ``part`` rises, as ``ordered`` does within a part.
     ``kind`` marks the rows where a block sends more than one list."""
     edges = np.flatnonzero(np.diff(part, prepend=-1))
-    ends = np.append(edges[1:], len(part))
+    ends = np.append(edges[1:], len(part))[: len(edges)]  # a block with nothing to send has no edges
     out = {"part": pa.array(part[edges].astype(np.int32)), "block": pa.array(np.full(len(edges), block, np.int32))}
     if kind is not None:
         out["kind"] = pa.array(np.full(len(edges), kind, np.int32))

@@ -96,7 +96,11 @@ def _merged(group: pa.Table) -> pa.Table:
 
 
 def _told(group: pa.Table) -> pa.Table:
-    """Answers of a part on anchors (0: at two places or more) and runs (2: the same, 3: yours is the one that goes on)."""
+    """Answers of a part on anchors (0: at two places or more) and runs (2: the same, 3: yours is the one that goes on).
+
+    Rows come from the shuffle in any order, and this is worked out more than once: the block with the least number goes on.
+    """
+    group = group.sort_by("block")
     kinds = group.column("kind").to_numpy()
     some, runs = (group.filter(pa.array(kinds == k)) for k in (0, 2))
     out = [K.live_numbers(some, 0)] if len(some) else []
