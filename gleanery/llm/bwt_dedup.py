@@ -3,10 +3,12 @@
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else too. Three steps, each over blocks of
 documents (``blocks``):
 
-1. Anchors and runs. A string's anchor is the least hash of its short grams, so repeated strings share one. Strings whose
-   anchor is at one place only can't be repeated and go no further. Where all that a run of neighbouring strings with one
-   anchor covers is at two places or more, as in copies, its strings are known to be repeated; only one of those places
-   takes part in what follows, so that others can meet it.
+1. Anchors and sectors. A string's anchor is the first of its least short grams, so repeated strings share it and its
+   distance from their start. ``SECTORS`` ranges of that distance cut the strings of an anchor into runs: what all strings
+   of such a range have in common is their core, what a run's strings cover together is their cover. Equal strings have
+   equal cores. A cover at two places or more makes all its strings known to be repeated, and strings whose core has one
+   cover only can't be repeated otherwise; they go no further. Of a core with several covers, the strings of each cover
+   take part in what follows from one place, so that others can meet them.
 2. Shards. Each block is a shard: it orders its remaining suffixes by their first ``length`` bytes, read as two
    fingerprints (32 bits of the first half, 64 bits of all), and sends each distinct one once to the part that owns its range.
 3. Merging. A part merges its shards two by two. The interleave of two shards starts as one interval and is refined
@@ -16,8 +18,8 @@ documents (``blocks``):
 
 The symbols are kept with the suffixes, as steps back through a transform would lead out of the part. Two different
 strings with equal fingerprints would count as repeated. Of pairs that share their first half, and are told apart
-by the other fingerprint alone, p give about p / 2^64 wrong matches. Runs are known by one fingerprint of 64 bits: r
-different ones give about r^2 / 2^65 wrong matches.
+by the other fingerprint alone, p give about p / 2^64 wrong matches. Cores and covers have a fingerprint of 64 bits each: of
+pairs of covers with one core, p give about p / 2^64 wrong matches; a wrong match of cores alone changes nothing.
 
 Each row is a document; repeated rows are repeats of each other. A null text is an empty text. Ids may be null or repeat.
 Other columns are not looked at. Long texts are read whole, in overlapping pieces.
@@ -38,19 +40,67 @@ from gleanery.llm.bytewords import row_slices
 
 PIECE = 1 << 19
 GRAM = 20
+SECTORS = 4
 
 
-def pieces(column: pa.Array, length: int, gram: int) -> Iterator[tuple[int, K.Windows]]:
-    """The windows of all rows, with the place in the block's bytes where each piece begins."""
+class _Strings:
+    """The strings of ``length`` bytes in one piece of rows.
+
+    ``at``: places of those that lie in one row. They come in runs of neighbours with one anchor place and sector; ``sizes``
+    has the strings of each run, ``core`` and ``cover`` stand for what they share and what they cover.
+    """
+
+    def __init__(self, data: np.ndarray, first: np.ndarray, length: int):
+        n, self.half = len(data), length // 2
+        self.at, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.core = self.cover = np.zeros(0, np.uint64)
+        if n < length:
+            return
+        up, self.down = (B._UP[:n], B._DOWN) if n <= len(B._UP) else (B._powers(B._BASE, n), B._powers(B._INVERSE, n))
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(B._TABLE[data] * up, out=self.sums[1:])
+        whole = np.ones(n - length + 1, bool)
+        for end in first[1:-1].tolist():
+            whole[max(0, end - length + 1) : end] = False
+        at = np.flatnonzero(whole)
+        if not len(at):
+            return
+        grams = B.mix((self.sums[GRAM:] - self.sums[: n + 1 - GRAM]) * self.down[: n + 1 - GRAM])
+        low = np.uint64((1 << (PIECE + length).bit_length()) - 1)  # bits of a place; the least gram is told by the others
+        least = K.sliding(grams & ~low | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1, np.minimum)
+        place = (least[at] & low).astype(np.int64)
+        span = length - GRAM + 1
+        sector = (place - at) * SECTORS // span
+        slot = place * SECTORS + sector
+        starts = np.flatnonzero(np.diff(slot, prepend=-1))
+        self.at, self.sizes = at.astype(np.int32), np.diff(np.append(starts, len(at)))
+        place, sector = place[starts], sector[starts]
+        nearest, farthest = -(-sector * span // SECTORS), -(-(sector + 1) * span // SECTORS) - 1
+        self.core = B.mix(self._hashes(place - nearest, place - farthest + length) + sector.astype(np.uint64))
+        begin, end = at[starts], at[starts + self.sizes - 1] + length
+        self.cover = B.mix(self._hashes(begin, end) + (end - begin).astype(np.uint64))
+
+    def _hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return B.mix((self.sums[end] - self.sums[begin]) * self.down[begin])
+
+    def keys(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of strings: 32 bits of a hash of the first half, then 64 bits of a hash of the whole, 32 of them in the second array."""
+        head, tail = self._hashes(at, at + self.half), self._hashes(at + self.half, at + 2 * self.half)
+        whole = B.mix(head + B.mix(tail))
+        return head >> np.uint64(32) << np.uint64(32) | whole >> np.uint64(32), whole.astype(np.uint32)
+
+
+def pieces(column: pa.Array, length: int) -> Iterator[tuple[int, _Strings]]:
+    """The strings of all rows, with the place in the block's bytes where each piece begins."""
     data, offsets = B.buffer_of(column)
     for a, b in row_slices(offsets, PIECE):
         lo, hi = int(offsets[a]), int(offsets[b])
         if b - a > 1 or hi - lo <= PIECE:
-            yield lo, K.Windows(B._TABLE[data[lo:hi]], offsets[a : b + 1] - lo, length, gram)
+            yield lo, _Strings(data[lo:hi], offsets[a : b + 1] - lo, length)
             continue
         for start in range(lo, hi, PIECE):
             end = min(hi, start + PIECE + length - 1)
-            yield start, K.Windows(B._TABLE[data[start:end]], np.array([0, end - start]), length, gram)
+            yield start, _Strings(data[start:end], np.array([0, end - start]), length)
 
 
 def merge(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,65 +142,77 @@ def _merged(group: pa.Table) -> pa.Table:
     while len(todo) > 1:
         todo = [merge(*todo[i : i + 2]) if i + 1 < len(todo) else todo[i] for i in range(0, len(todo), 2)]
     keys, repeated = todo[0]
-    return K.answers(group, [repeated[np.searchsorted(keys, k)] for k in own], 1)
+    return K.answers(group, [repeated[np.searchsorted(keys, k)] for k in own], 2)
 
 
 def _told(group: pa.Table) -> pa.Table:
-    """Answers of a part on anchors (0: at two places or more) and runs (2: the same, 3: yours is the one that goes on).
+    """Answers of a part on covers: 0, it is at two places or more; 1, its core has others too and yours is the one that goes on.
 
     Rows come from the shuffle in any order, and this is worked out more than once: the block with the least number goes on.
     """
     group = group.sort_by("block")
-    kinds = group.column("kind").to_numpy()
-    some, runs = (group.filter(pa.array(kinds == k)) for k in (0, 2))
-    out = [K.live_numbers(some, 0)] if len(some) else []
-    if len(runs):
-        out.append(K.live_numbers(runs, 2))
-        own = [K.unpack(x, ordered=True) for x in runs.column("keys").to_pylist()]
-        all_keys = np.concatenate(own)
-        first = np.zeros(len(all_keys), bool)
-        first[np.unique(all_keys, return_index=True)[1]] = True
-        out.append(K.answers(runs, np.split(first, np.cumsum([len(k) for k in own])[:-1]), 3))
-    return pa.concat_tables(out)
+    own = [K.unpack(x, ordered=True) for x in group.column("keys").to_pylist()]
+    core = np.concatenate(own)
+    cover = np.concatenate([K.unpack(x) for x in group.column("cover").to_pylist()])
+    more = np.concatenate([K.unpack(x, np.uint8) for x in group.column("more").to_pylist()])
+    order, new_core, new = _ordered(core, cover)
+    pair, which_core = np.cumsum(new) - 1, np.cumsum(new_core) - 1
+    known, goes_on = np.empty(len(core), bool), np.empty(len(core), bool)
+    known[order] = (np.bincount(pair, 1 + more[order]) > 1)[pair]
+    goes_on[order] = new & (np.bincount(which_core, new) > 1)[which_core]
+    ends = np.cumsum([len(k) for k in own])[:-1]
+    return pa.concat_tables([K.answers(group, np.split(bits, ends), kind) for kind, bits in enumerate((known, goes_on))])
+
+
+def _ordered(core: np.ndarray, cover: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order by core, then cover, then place; where a core begins in it, and where a cover of a core does."""
+    order = np.lexsort((cover, core))
+    new_core = np.ones(len(order), bool)
+    new_core[1:] = core[order][1:] != core[order][:-1]
+    new = new_core.copy()
+    new[1:] |= cover[order][1:] != cover[order][:-1]
+    return order, new_core, new
 
 
 class _Shard:
     """A block's suffixes; its texts are scanned once."""
 
     def __init__(self, table: pa.Table, length: int, parts: int):
-        self.number, self.parts = table.column("block")[0].as_py(), parts
-        self.pieces = list(pieces(table.column("text"), length, GRAM))
-        self.anchors, self.anchor_part, self.anchor_more = K.anchor_letters(0, (w for _, w in self.pieces), parts)
-        runs = np.concatenate([np.zeros(0, np.uint64), *[w.run_key for _, w in self.pieces]])
-        self.runs, self.first_run, self.which_run, count = np.unique(runs, True, True, True)
-        self.run_part, self.run_more = K.part_of(self.runs, parts), count > 1
+        self.number = table.column("block")[0].as_py()
+        self.pieces = list(pieces(table.column("text"), length))
+        core, cover = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in ([w.core for _, w in self.pieces], [w.cover for _, w in self.pieces]))
+        order, _, new = _ordered(core, cover)
+        self.first_run = order[new]
+        self.which_cover = np.empty(len(order), np.int64)
+        self.which_cover[order] = np.cumsum(new) - 1
+        self.core, self.cover = core[self.first_run], cover[self.first_run]
+        self.more = np.bincount(self.which_cover, minlength=len(self.core)) > 1
+        self.part = K.part_of(self.core, parts)
 
     def asks(self) -> pa.Table:
-        anchors = K.letters(self.number, self.anchor_part, {"keys": self.anchors, "more": self.anchor_more}, "keys", 0)
-        runs = K.letters(self.number, self.run_part, {"keys": self.runs, "more": self.run_more}, "keys", 2)
-        return pa.concat_tables([anchors, runs])
+        return K.letters(self.number, self.part, {"keys": self.core, "cover": self.cover, "more": self.more}, "keys")
 
     def read(self, replies: pa.Table) -> None:
         """``places``: where suffixes known to be repeated begin. ``keys``, ``rests``: distinct suffixes that take
         part, in order, ``sure``: whether one is known to be repeated or is here twice. ``open``, ``which``: where the
         others begin, and which of the keys they are."""
-        live = self.anchors[K.bits_of(replies, self.anchor_part, 0)]
-        repeated = K.bits_of(replies, self.run_part, 2)[self.which_run]
-        mine = np.zeros(len(repeated), bool)
-        mine[self.first_run] = K.bits_of(replies, self.run_part, 3)
+        repeated = K.bits_of(replies, self.part, 0)[self.which_cover]
+        goes_on = np.zeros(len(repeated), bool)
+        goes_on[self.first_run] = K.bits_of(replies, self.part, 1)
         at = 0
         done, todo, sure = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         keys, rests = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         for base, w in self.pieces:
-            n = len(w.run_key)
-            known, goes_on = repeated[at : at + n], w.live_runs(live) & (~repeated[at : at + n] | mine[at : at + n])
+            n = len(w.sizes)
+            known = np.repeat(repeated[at : at + n], w.sizes)
+            some = np.flatnonzero(np.repeat(goes_on[at : at + n], w.sizes))
             at += n
-            done.append(w.at[known[w.run]] + np.int64(base))
-            some = np.flatnonzero(goes_on[w.run])
+            done.append(w.at[known] + np.int64(base))
             todo.append(w.at[some] + np.int64(base))
-            keys.append(w.key[some])
-            rests.append(w.rest[some])
-            sure.append(known[w.run[some]])
+            if len(some):
+                for out, x in zip((keys, rests), w.keys(w.at[some]), strict=True):
+                    out.append(x)
+            sure.append(known[some])
         self.pieces = []
         self.places, self.open, known = np.concatenate(done), np.concatenate(todo), np.concatenate(sure)
         all_keys, all_rests = np.concatenate(keys), np.concatenate(rests)
@@ -189,7 +251,7 @@ def drop_repeats(
         data, offsets = B.buffer_of(block.column("text"))
         s = _Shard(block, length, parts)
         s.read(replies)
-        repeated = K.bits_of(replies, K.part_of(s.keys, parts), 1)
+        repeated = K.bits_of(replies, K.part_of(s.keys, parts), 2)
         hit = np.unique(np.concatenate([s.places, s.open[repeated[s.which]]]))
         change = np.zeros(len(data) + 1, np.int32)
         np.add.at(change, hit, 1)
@@ -212,7 +274,7 @@ def drop_repeats(
 
     sent = "part int, block int, keys binary, rest binary, more binary"
     by_block = dealt.groupBy("block")
-    asks = by_block.applyInArrow(asked, "part int, block int, kind int, keys binary, more binary")
+    asks = by_block.applyInArrow(asked, "part int, block int, keys binary, cover binary, more binary")
     told = asks.groupBy("part").applyInArrow(_told, K.ANSWER)
     shards = by_block.cogroup(told.groupBy("block")).applyInArrow(shard, sent)
     repeated = shards.groupBy("part").applyInArrow(_merged, K.ANSWER)
