@@ -127,3 +127,18 @@ def test_a_heavy_group_is_dealt_to_many_tasks_without_adaptive_help(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found == (0, 0) and sum(sizes) == 19_999 and len(sizes) >= 6 and max(sizes) < 0.4 * sum(sizes)
+
+
+def test_entries_of_one_file_are_combined_by_many_tasks(spark, tmp_path):
+    """All rows come in one task; the sorting aggregate over their tags and topics must not be in that task."""
+    rows = spark.range(0, 20_000, 1, 1).select(
+        F.concat(F.lit("r/"), F.col("id") % 5).alias("repo"), F.col("id").cast("string").alias("id"), (F.col("id") % 7).alias("stars"),
+        F.array((F.col("id") % 3).cast("string")).alias("tags"), F.array(F.lit("t"), (F.col("id") % 2).cast("string")).alias("topics"),
+    )
+    keyed = rows.select(F.col("repo").alias("_key"), F.struct((-F.col("stars")).alias("s"), F.col("id").alias("t")).alias("_rank"), "tags", "topics")
+    merged = D._merged_lists(keyed)
+    found = {r["_key"]: (r["_tags"], r["_topics"]) for r in merged.collect()}
+    assert len(found) == 5 and all(len(tags) == 3 and topics[0] == "t" and len(topics) == 3 for tags, topics in found.values())
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lowest = [line for line in plan.splitlines() if "SortAggregate" in line or "Exchange" in line]
+    assert "Exchange" in lowest[-1] and "SortAggregate" in lowest[-2]
