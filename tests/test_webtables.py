@@ -181,3 +181,12 @@ def test_categories_are_filled_within_each_page(spark):
     paged = W.page_rows(spark.createDataFrame([(1, page), (2, "<p>")], "page_id int, html string"))
     found = W.fill_category_down(paged).orderBy("row_pos").collect()
     assert [(r.row_pos, r.category) for r in found] == [(0, "Other"), (1, "Tool"), (2, "Tool"), (3, "Theme"), (4, "Official"), (5, "Official")]
+
+
+def test_a_page_is_read_once_for_its_rows(spark):
+    """A filter on the rows, which Spark adds where a column is unfolded, would work them out again."""
+    pages = spark.createDataFrame([(1, "<table><tr><td>a<td>b</table>"), (2, "no table"), (3, None)], "page_id int, html string")
+    rows = W.table_rows(pages.select("page_id", "html"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "Filter" not in plan
+    assert [(r.page_id, r.row_pos, r.cells) for r in rows.collect()] == [(1, 0, ["a", "b"])]
